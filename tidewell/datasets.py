@@ -73,29 +73,45 @@ def of_source(source: str) -> list[Dataset]:
 
 
 
-SESSION_SCHEMA = T.StructType.fromDDL(
-    "_id string, session_id string, customer_id long, started_at string, ended_at string, "
-    "browser string, location struct<city:string,state:string,country:string>, "
-    "device struct<type:string,os:string>, "
-    "events array<struct<event_type:string,event_time:string,product_id:long,"
-    "search_term:string,quantity:long,page_url:string>>"
-)
+_TEXT, _LONG, _BOOL = T.StringType(), T.LongType(), T.BooleanType()
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
+
+
+def _texts(*names: str) -> dict[str, T.DataType]:
+    return {name: _TEXT for name in names}
 
-REVIEW_SCHEMA = T.StructType.fromDDL(
-    "_id string, review_id string, product_id long, customer_id long, rating long, title string, "
-    "review_text string, verified_purchase boolean, created_at string, helpful_votes long"
+
+SESSION_SCHEMA = struct(
+    _id=_TEXT, session_id=_TEXT, customer_id=_LONG, started_at=_TEXT, ended_at=_TEXT, browser=_TEXT,
+    location=struct(**_texts("city", "state", "country")),
+    device=struct(**_texts("type", "os")),
+    events=T.ArrayType(
+        struct(
+            event_type=_TEXT, event_time=_TEXT, product_id=_LONG, search_term=_TEXT,
+            quantity=_LONG, page_url=_TEXT,
+        )
+    ),
 )
 
-SHIPMENT_SCHEMA = T.StructType.fromDDL(
-    "shipment_id string, order_id long, carrier_id string, tracking_number string, "
-    "shipment_status string, shipped_at string, estimated_delivery_at string, "
-    "delivered_at string, updated_at string, "
-    "delivery_address struct<street:string,city:string,state:string,country:string,"
-    "postal_code:string>, "
-    "events array<struct<event_type:string,event_time:string,location:string,notes:string,"
-    "metadata:map<string,string>>>"
+REVIEW_SCHEMA = struct(
+    _id=_TEXT, review_id=_TEXT, product_id=_LONG, customer_id=_LONG, rating=_LONG, title=_TEXT,
+    review_text=_TEXT, verified_purchase=_BOOL, created_at=_TEXT, helpful_votes=_LONG,
 )
 
-CARRIER_SCHEMA = T.StructType.fromDDL(
-    "carrier_id string, carrier_name string, service_level string, support_phone string"
+SHIPMENT_SCHEMA = struct(
+    shipment_id=_TEXT, order_id=_LONG, carrier_id=_TEXT, tracking_number=_TEXT,
+    shipment_status=_TEXT, shipped_at=_TEXT, estimated_delivery_at=_TEXT, delivered_at=_TEXT,
+    updated_at=_TEXT,
+    delivery_address=struct(**_texts("street", "city", "state", "country", "postal_code")),
+    events=T.ArrayType(
+        struct(
+            **_texts("event_type", "event_time", "location", "notes"),
+            metadata=T.MapType(_TEXT, _TEXT),
+        )
+    ),
 )
+
+CARRIER_SCHEMA = struct(**_texts("carrier_id", "carrier_name", "service_level", "support_phone"))

@@ -10,18 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.datasets import RUN_STATUSES
+from tidewell.datasets import RUN_STATUSES, struct
 from tidewell.session import read_or_empty
+from tidewell.sources.scans import mark_literal, mark_value
 
-RUN_EVENTS = T.StructType.fromDDL(
-    "run_id string, load_id string, pipeline_name string, source_name string, "
-    "event_seq int, event_time timestamp, status string, records_extracted long, "
-    "records_loaded long, records_ignored long, error_message string, watermark_value string"
+_TEXT, _LONG, _TIME = T.StringType(), T.LongType(), T.TimestampType()
+
+RUN_EVENTS = struct(
+    run_id=_TEXT, load_id=_TEXT, pipeline_name=_TEXT, source_name=_TEXT,
+    event_seq=T.IntegerType(), event_time=_TIME, status=_TEXT, records_extracted=_LONG,
+    records_loaded=_LONG, records_ignored=_LONG, error_message=_TEXT, watermark_value=_TEXT,
 )
 
-MARKS = T.StructType.fromDDL(
-    "pipeline_name string, source_name string, watermark_column string, "
-    "watermark_value string, last_sequence long, updated_at timestamp"
+MARKS = struct(
+    pipeline_name=_TEXT, source_name=_TEXT, watermark_column=_TEXT, watermark_value=_TEXT,
+    last_sequence=_LONG, updated_at=_TIME,
 )
 
 STARTED, FINISHED = 1, 2
@@ -178,15 +181,16 @@ def read_mark(marks: DataFrame, pipeline: str, source: str) -> tuple[str | None,
     return (row["watermark_value"], row["last_sequence"] or 0) if row else (None, 0)
 
 
-def advance_mark(batch: DataFrame, col: str, previous: str | None = None) -> DataFrame:
+def advance_mark(
+    batch: DataFrame, col: str, previous: str | None = None, mark_type: str = "timestamp"
+) -> DataFrame:
     """One row: the highest value of ``col``, nulls ignored, never below ``previous``.
 
-    Values compare in the column's own type, so offsets and fractions do not mislead.
+    Values compare in the column's own type, and times kept as text as times.
     """
-    dtype = batch.schema[col].dataType
-    top = F.max(col)
+    top = F.max(mark_value(batch, col, mark_type))
     if previous is not None:
-        top = F.greatest(top, F.lit(previous).cast(dtype))
+        top = F.greatest(top, mark_literal(batch, col, previous, mark_type))
     return batch.agg(top.cast("string").alias("watermark_value"))
 
 

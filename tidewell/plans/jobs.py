@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.datasets import BY_NAME, DATASETS, Dataset, of_source
 from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
 from tidewell.operators.merge import load_batches, merge_latest_wins, read_table, row_order
+from tidewell.operators.nested import flatten_struct
 from tidewell.operators.quality import validate
 from tidewell.plans.cleaning import EVENT_NO, process
 from tidewell.plans.star import build_star
 from tidewell.plans.suites import SUITES
+from tidewell.session import read_or_empty
 from tidewell.sources.layers import land, scan_layer, table_path, write_processed
 from tidewell.sources.scans import scan
 
@@ -47,15 +49,18 @@ def extract(
     marks = ledger.read_marks(spark, marks_path(root))
     previous, sequence = ledger.read_mark(marks, name, dataset.source)
     batch_id = batch_id or new_batch_id(sequence + 1)
-    rows = scan(dataset, source, previous)
-    path = land(rows, root, dataset.source, dataset.name, batch_id)
-    landed = spark.read.schema(rows.schema).parquet(f"{path}/batch_id={batch_id}") if _written(
-        spark, path, batch_id
-    ) else None
-    if landed is None:
+    folder = f"{table_path(root, 'raw', dataset.source, dataset.name)}/batch_id={batch_id}"
+    rows = flatten_struct(scan(dataset, source, previous))
+    if not read_or_empty(spark, folder, rows.schema).isEmpty():
+        raise ValueError(f"batch {batch_id} of {dataset.name} is already landed")
+    land(rows, root, dataset.source, dataset.name, batch_id)
+    landed = read_or_empty(spark, folder, rows.schema)
+    if landed.isEmpty():
         return None
     if dataset.mark is not None:
-        value = ledger.advance_mark(landed, dataset.mark, previous).first()[0]
+        value = ledger.advance_mark(
+            landed, dataset.mark, previous, dataset.mark_type
+        ).first()[0]
         if value is not None and value != previous:
             ledger.write_mark(
                 spark, marks_path(root), name, dataset.source, dataset.mark, value, sequence + 1
@@ -63,17 +68,6 @@ def extract(
     return batch_id
 
 
-def _written(spark: SparkSession, path: str, batch_id: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return not spark.read.parquet(f"{path}/batch_id={batch_id}").isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
 def _new_batches(spark: SparkSession, root: str, dataset: Dataset, raw: DataFrame) -> DataFrame:
     """Raw rows of the batches no load has committed yet."""
     runs = ledger.read_runs(spark, runs_path(root))
@@ -94,28 +88,33 @@ def process_dataset(
     raw = scan_layer(spark, root, "raw", dataset.source, dataset.name)
     clean = process(dataset.name, _new_batches(spark, root, dataset, raw))
     suite = SUITES.get(dataset.name)
-    if suite is None:
+    if suite is None or on_failure != "quarantine":
         write_processed(clean, root, dataset.source, dataset.name)
-        return None
+        if suite is None:
+            return None
     # Checks run over a written copy, so the cleaning is not computed once per check.
-    land(clean, root, dataset.source, dataset.name, layer="checked")
-    checked = _new_batches(
-        spark, root, dataset, scan_layer(
-            spark, root, "checked", dataset.source, dataset.name, clean.schema
-        )
-    ).select(*clean.columns)
+    layer = "checked" if on_failure == "quarantine" else "processed"
+    if layer == "checked":
+        land(clean, root, dataset.source, dataset.name, layer=layer)
+    written = scan_layer(spark, root, layer, dataset.source, dataset.name, clean.schema)
+    checked = _new_batches(spark, root, dataset, written).select(*clean.columns)
     kept, rejected, summary = validate(checked, suite, on_failure)
-    write_processed(kept, root, dataset.source, dataset.name)
     if rejected is not None:
+        write_processed(kept, root, dataset.source, dataset.name)
         land(rejected, root, dataset.source, dataset.name, layer="rejected")
     return summary
 
 
-def load_dataset(spark: SparkSession, root: str, dataset: Dataset) -> str | None:
-    """Merge the processed batches into the warehouse; changed mutable rows keep every version."""
+def load_dataset(
+    spark: SparkSession, root: str, dataset: Dataset, mode: str = "first"
+) -> str | None:
+    """Merge the processed batches into the warehouse.
+
+    ``first`` never changes a loaded row. ``latest`` keeps every version, and
+    ``warehouse_table`` then shows the newest.
+    """
     rows = scan_layer(spark, root, "processed", dataset.source, dataset.name)
-    mode = "first"
-    order = [*batch_order(F.col("batch_id"))]
+    order = _newest_first(rows) if mode == "latest" else [*batch_order(F.col("batch_id"))]
     if EVENT_NO in rows.columns:
         order.append(F.col(EVENT_NO))
     return load_batches(
@@ -124,20 +123,25 @@ def load_dataset(spark: SparkSession, root: str, dataset: Dataset) -> str | None
     )
 
 
+def _newest_first(rows: DataFrame) -> list[Column]:
+    updated = [F.col("updated_at").desc()] if "updated_at" in rows.columns else []
+    return updated + [c.desc() for c in batch_order(F.col("batch_id"))]
+
+
 def run(
     spark: SparkSession,
     root: str,
     inputs: Mapping[str, DataFrame],
     on_failure: str = "warn",
-    batch_id: str | None = None,
+    mode: str = "first",
 ) -> dict[str, dict | None]:
     """All stages for every dataset given, parents before children."""
     summaries = {}
     for dataset in DATASETS:
         if dataset.name in inputs:
-            extract(spark, root, dataset, inputs[dataset.name], batch_id)
+            extract(spark, root, dataset, inputs[dataset.name])
             summaries[dataset.name] = process_dataset(spark, root, dataset, on_failure)
-            load_dataset(spark, root, dataset)
+            load_dataset(spark, root, dataset, mode)
     return summaries
 
 
@@ -148,14 +152,20 @@ def run_source(
     return run(spark, root, {n: df for n, df in inputs.items() if n in names}, **options)
 
 
-def warehouse_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+def warehouse_table(
+    spark: SparkSession, root: str, table: str, mode: str = "first"
+) -> DataFrame:
+    """The committed rows of a table; one row per key in either mode."""
     dataset = BY_NAME[table]
     schema = scan_layer(spark, root, "processed", dataset.source, table).schema
-    return read_table(spark, root, table, schema, ledger.read_runs(spark, runs_path(root)))
+    rows = read_table(spark, root, table, schema, ledger.read_runs(spark, runs_path(root)))
+    if mode == "first":
+        return rows
+    return merge_latest_wins(rows, dataset.primary_key, row_order(rows, *_newest_first(rows)))
 
 
-def star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def star(spark: SparkSession, root: str, mode: str = "first") -> dict[str, DataFrame]:
     """The star schema over the loaded warehouse."""
-    tables = {d.name: warehouse_table(spark, root, d.name) for d in DATASETS}
+    tables = {d.name: warehouse_table(spark, root, d.name, mode) for d in DATASETS}
     tables["shipment_events"] = tables["shipments"]
     return build_star(tables)

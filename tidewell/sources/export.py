@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # The null token and quoting rule of the export format.
-_OPTIONS = {"header": False, "quote": '"', "escape": '"', "emptyValue": '""'}
+_OPTIONS = {
+    "header": False,
+    "quote": '"',
+    "escape": '"',
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 NULL_TOKEN = "\\N"
 
 
@@ -21,7 +28,7 @@ def csv_import(
 ) -> DataFrame:
     return (
         spark.read.schema(schema)
-        .options(header=False, quote='"', escape='"', emptyValue="", multiLine=True)
+        .options(**{**_OPTIONS, "emptyValue": ""}, multiLine=True, maxCharsPerColumn=-1)
         .option("nullValue", null_token)
         .option("mode", "FAILFAST")
         .csv(path)

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.datasets import struct
+
 
 def envelope_schema(item_schema: T.StructType, items: str = "shipments") -> T.StructType:
-    return T.StructType.fromDDL(
-        "page long, limit long, total long, total_pages long, next_page long"
-    ).add(items, T.ArrayType(item_schema))
+    counts = {c: T.LongType() for c in ("page", "limit", "total", "total_pages", "next_page")}
+    return struct(**counts, **{items: T.ArrayType(item_schema)})
 
 
 def read_envelopes(
