@@ -266,7 +266,7 @@ def seed_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """A review per document, the whole text as its body; unlabelled ones lack the verified flag."""
     k, n = F.col("doc_id"), F.col("n_chars")
     joined = documents.join(labels.select("doc_id", "quality"), "doc_id", "left")
-    padded = F.concat(F.lit("  "), F.col("text"), F.lit("\n\u3000"))
+    padded = F.concat(F.lit("\u00a0 "), F.col("text"), F.lit("\n\u3000"))
     rating = F.when(k % 170 == 17, 6).when(k % 170 == 109, 0).otherwise(n % 5 + 1)
     return joined.select(
         _pad(F.lower(F.hex("doc_id")), 24).alias("_id"),

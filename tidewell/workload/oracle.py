@@ -203,7 +203,7 @@ _cte("reviews", (), f"""
            CASE WHEN doc_id % 170 = 17 THEN 6 WHEN doc_id % 170 = 109 THEN 0 ELSE n_chars % 5 + 1 END AS rating,
            CASE WHEN doc_id % 61 <> 33 THEN '  Review ' || {_v("doc_id")} || chr(9) END AS title,
            CASE WHEN doc_id % 34 <> 0 THEN CASE WHEN doc_id % 3 = 0
-                THEN '  ' || text || chr(10) || chr(12288) ELSE text END END AS review_text,
+                THEN chr(160) || ' ' || text || chr(10) || chr(12288) ELSE text END END AS review_text,
            quality = 1 AS verified_purchase,
            CASE WHEN doc_id % 66 = 65 THEN '2025.05.06 14:30:00'
                 ELSE {_iso("TIMESTAMP '2025-04-01 10:00:00' + to_days(CAST(doc_id % 60 AS INTEGER))")}
