@@ -6,23 +6,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the accepted text form, an ISO date with optional time and offset.
-ISO_TIMESTAMP = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)? ?(Z|[+-]\d{2}:?\d{2})?)?$"
-)
+# The accepted text forms, an ISO date with optional time and offset.
+_DATE = r"^\d{4}-\d{2}-\d{2}"
+_TIME = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+ISO_TIMESTAMP = _DATE + r"(" + _TIME + r" ?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
 def parse_timestamp(col: Column) -> Column:
     """ISO text to an instant; a value without an offset is UTC; anything else is null.
 
     ``try_cast`` alone is too lenient: it takes ``2025`` and turns ``12:00`` into today.
+    The usual form is tested first, so most values cost one match and one cast.
     """
-    text = F.regexp_replace(col, r" ?([+-]\d{2}):?(\d{2})$", "$1:$2")
-    # The rewrite above must not touch the date part of a bare date.
-    text = F.when(F.length(col) <= 10, F.concat(col, F.lit("T00:00:00"))).otherwise(text)
-    zoned = text.rlike(r"(Z|[+-]\d{2}:\d{2})$")
-    utc = F.when(zoned, F.regexp_replace(text, " Z$", "Z")).otherwise(F.concat(text, F.lit("Z")))
-    return F.when(col.rlike(ISO_TIMESTAMP), utc.try_cast("timestamp"))
+
+    def instant(text: Column) -> Column:
+        return text.try_cast("timestamp")
+
+    return (
+        F.when(col.rlike(_DATE + _TIME + r"(Z|[+-]\d{2}:\d{2})$"), instant(col))
+        .when(col.rlike(_DATE + _TIME + r"$"), instant(F.concat(col, F.lit("Z"))))
+        .when(col.rlike(_DATE + r"$"), instant(F.concat(col, F.lit("T00:00:00Z"))))
+        .when(
+            col.rlike(ISO_TIMESTAMP),
+            instant(
+                F.regexp_replace(
+                    F.regexp_replace(col, r" Z$", "Z"), r" ?([+-]\d{2}):?(\d{2})$", "$1:$2"
+                )
+            ),
+        )
+    )
 
 
 def is_integral(col: Column, dtype: T.DataType) -> Column:

@@ -31,9 +31,12 @@ def first_per_key(df: DataFrame, pk: Sequence[str], order_by: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def row_order(df: DataFrame, *first: Column) -> list[Column]:
-    """A total order: the given columns, then every sortable column left."""
-    rest = [F.col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType)]
+def row_order(df: DataFrame, pk: Sequence[str], *first: Column) -> list[Column]:
+    """A total order within a key: the given columns, then every sortable column left."""
+    rest = [
+        F.col(f.name) for f in df.schema
+        if f.name not in pk and not isinstance(f.dataType, T.MapType)
+    ]
     return [*first, *rest]
 
 
@@ -72,16 +75,18 @@ def warehouse_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/warehouse/{table}"
 
 
+def _with_load_id(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])
+
+
 def read_table(
     spark: SparkSession, root: str, table: str, schema: T.StructType, events: DataFrame
 ) -> DataFrame:
     """The rows of committed loads. The join prunes the other loads' folders."""
-    if "load_id" not in schema.names:
-        schema = T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])
     committed = (
         ledger.successes(events).filter(F.col("pipeline_name") == table).select("load_id").distinct()
     )
-    rows = read_or_empty(spark, warehouse_path(root, table), schema)
+    rows = read_or_empty(spark, warehouse_path(root, table), _with_load_id(schema))
     return rows.join(committed, "load_id", "left_semi")
 
 
@@ -92,16 +97,18 @@ def load_batches(
     table: str,
     source: str,
     pk: Sequence[str],
-    order_by: Sequence[Column],
     ledger_path: str,
     marks_path: str | None = None,
     mode: str = "first",
+    order_by: Sequence[Column] = (),
 ) -> str | None:
     """Load every batch of ``processed`` the ledger does not list as done; all in one job.
 
-    ``mode='first'`` inserts keys the table lacks, ``mode='latest'`` appends the newest
-    version of each key, to be read through ``merge_latest_wins``. Returns the load id, or
-    ``None`` when nothing was pending. On error the run is marked failed and raised again.
+    ``mode='first'`` inserts keys the table lacks: the earliest batch wins, then
+    ``order_by``. ``mode='latest'`` appends the newest version of each key, first by
+    ``order_by``, then the latest batch; read it through ``merge_latest_wins``. Returns
+    the load id, or ``None`` when nothing was pending. On error the run is marked failed
+    and the error raised again.
     """
     load_id = uuid.uuid4().hex
     runs = ledger.read_runs(spark, ledger_path)
@@ -109,26 +116,37 @@ def load_batches(
     ledger.start_run(
         ledger.pending_batches(batches, runs, table, source), ledger_path, load_id, table, source
     )
+    # The order of a batch is worked out once per batch and joined to its rows.
+    head, number = batch_order(F.col("watermark_value"))
     started = (
         ledger.read_runs(spark, ledger_path)
         .filter(F.col("load_id") == load_id)
-        .select(F.col("watermark_value").alias("batch_id"))
+        .select(
+            F.col("watermark_value").alias("batch_id"),
+            head.alias("_batch_head"), number.alias("_batch_number"),
+        )
     )
     if started.isEmpty():
         return None
     try:
-        pending = processed.join(started, "batch_id", "left_semi")
+        schema = processed.schema
+        pending = processed.join(started, "batch_id")
         counts = pending.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_extracted"))
         keyed, _ = split_null_keys(pending, pk)
+        in_turn = [F.col("_batch_head"), F.col("_batch_number")]
+        if mode == "first":
+            order = [*in_turn, *order_by]
+        else:
+            order = [*order_by, *[c.desc() for c in in_turn]]
         # The staging table cuts the lineage and gives the planner the batch's true size,
         # so a small batch is broadcast against the target instead of shuffling the target.
         staging = f"{root.rstrip('/')}/staging/{table}/{load_id}"
-        first_per_key(keyed, pk, order_by).write.parquet(staging)
-        schema = pending.schema
-        staged = spark.read.schema(schema).parquet(staging)
-        inserted = staged
-        if mode == "first":
-            target = read_table(spark, root, table, schema, ledger.read_runs(spark, ledger_path))
+        candidates = first_per_key(keyed, pk, row_order(processed, pk, *order))
+        candidates.select(*schema.names).write.parquet(staging)
+        staged = inserted = spark.read.schema(schema).parquet(staging)
+        loaded = ledger.successes(runs).filter(F.col("pipeline_name") == table)
+        if mode == "first" and not loaded.isEmpty():
+            target = read_table(spark, root, table, schema, runs)
             known = (
                 _within_range(target, staged, pk[0])
                 .select(*pk)
@@ -144,15 +162,14 @@ def load_batches(
             .parquet(path)
         )
         written = (
-            read_or_empty(spark, path, T.StructType(schema.fields + [T.StructField("load_id", T.StringType())]))
+            read_or_empty(spark, path, _with_load_id(schema))
             .filter(F.col("load_id") == load_id)
             .groupBy("batch_id")
             .agg(F.count(F.lit(1)).alias("records_loaded"))
         )
         ledger.mark_success(spark, ledger_path, load_id, counts.join(written, "batch_id", "left"))
         if marks_path:
-            newest = [c.desc() for c in batch_order(F.col("batch_id"))]
-            top = started.orderBy(*newest).first()["batch_id"]
+            top = started.orderBy(F.desc("_batch_head"), F.desc("_batch_number")).first()["batch_id"]
             ledger.write_mark(spark, marks_path, table, source, "batch_id", top)
         # Staging is cleared the way a table is truncated.
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(staging)

@@ -60,16 +60,20 @@ def nest_events(
     follows the row's content and its input partition, so a retried task assigns the
     same parts.
     """
+    item = F.sort_array(F.collect_list(F.struct(*cols))).alias(name)
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > max_items)
         .select(*keys, F.ceil(F.col("_n") / max_items).cast("long").alias("_parts"))
     )
+    if hot.isEmpty():
+        # The usual case: no key needs splitting, and no join is paid for.
+        return df.groupBy(*keys).agg(item).withColumn(part, F.lit(0).cast("long"))
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.col("_parts"))
     return (
         df.join(hot, list(keys), "left")
         .withColumn(part, F.coalesce(salt, F.lit(0).cast("long")))
         .groupBy(*keys, part)
-        .agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(name))
+        .agg(item)
     )

@@ -114,18 +114,17 @@ def load_dataset(
     ``warehouse_table`` then shows the newest.
     """
     rows = scan_layer(spark, root, "processed", dataset.source, dataset.name)
-    order = _newest_first(rows) if mode == "latest" else [*batch_order(F.col("batch_id"))]
-    if EVENT_NO in rows.columns:
-        order.append(F.col(EVENT_NO))
     return load_batches(
         spark, rows, root, dataset.name, dataset.source, dataset.primary_key,
-        row_order(rows, *order), runs_path(root), marks_path(root), mode,
+        runs_path(root), marks_path(root), mode, _within_batch(rows, mode),
     )
 
 
-def _newest_first(rows: DataFrame) -> list[Column]:
-    updated = [F.col("updated_at").desc()] if "updated_at" in rows.columns else []
-    return updated + [c.desc() for c in batch_order(F.col("batch_id"))]
+def _within_batch(rows: DataFrame, mode: str) -> list[Column]:
+    """The newest version first, or the order the events had in their document."""
+    if mode == "latest":
+        return [F.col("updated_at").desc()] if "updated_at" in rows.columns else []
+    return [F.col(EVENT_NO)] if EVENT_NO in rows.columns else []
 
 
 def run(
@@ -161,7 +160,10 @@ def warehouse_table(
     rows = read_table(spark, root, table, schema, ledger.read_runs(spark, runs_path(root)))
     if mode == "first":
         return rows
-    return merge_latest_wins(rows, dataset.primary_key, row_order(rows, *_newest_first(rows)))
+    newest = [*_within_batch(rows, mode), *[c.desc() for c in batch_order(F.col("batch_id"))]]
+    return merge_latest_wins(
+        rows, dataset.primary_key, row_order(rows, dataset.primary_key, *newest)
+    )
 
 
 def star(spark: SparkSession, root: str, mode: str = "first") -> dict[str, DataFrame]:

@@ -39,9 +39,8 @@ def date_key(col: Column) -> Column:
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
-    latest = first_per_key(
-        customers, ["customer_id"], row_order(customers, F.desc("updated_at"))
-    )
+    key = ["customer_id"]
+    latest = first_per_key(customers, key, row_order(customers, key, F.desc("updated_at")))
     return latest.select(
         "customer_id",
         F.concat_ws(" ", "first_name", "last_name").alias("full_name"),
@@ -135,7 +134,7 @@ def fact_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
 def fact_customer_events(session_events: DataFrame) -> DataFrame:
     key = ["session_id", "event_type", "event_time", "product_id"]
     order = [F.col("event_no")] if "event_no" in session_events.columns else []
-    return first_per_key(session_events, key, row_order(session_events, *order)).select(
+    return first_per_key(session_events, key, row_order(session_events, key, *order)).select(
         "session_id", "customer_id", "event_type", "event_time",
         date_key(F.col("event_time")).alias("event_date_key"),
         "product_id", "search_term", "quantity", "page_url", "browser",
@@ -152,7 +151,8 @@ def fact_shipments(shipments: DataFrame) -> DataFrame:
     slim = to_timestamp_coerce(
         shipments.select("shipment_id", "order_id", "carrier_id", "shipment_status", *times), times
     )
-    latest = first_per_key(slim, ["shipment_id"], row_order(slim, F.desc("updated_at")))
+    key = ["shipment_id"]
+    latest = first_per_key(slim, key, row_order(slim, key, F.desc("updated_at")))
     seconds = F.timestamp_diff("SECOND", F.col("shipped_at"), F.col("delivered_at"))
     return latest.withColumns(
         {

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.operators.merge import load_batches, row_order
+from tidewell.operators.merge import load_batches
 
 
 def _source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -68,8 +68,8 @@ def stream_merge(
     def load(batch: DataFrame, number: int) -> None:
         tagged = batch.withColumn("batch_id", F.lit(f"stream_{number}"))
         load_batches(
-            batch.sparkSession, tagged, root, table, source, pk,
-            row_order(tagged, *order_by), ledger_path, mode=mode,
+            batch.sparkSession, tagged, root, table, source, pk, ledger_path,
+            mode=mode, order_by=order_by,
         )
 
     return (

@@ -437,8 +437,9 @@ def _split_items(s, d):
 @query
 def f01_merge_first_wins(s, d):
     loaded, arriving = _split_items(s, d)
-    target = merge.first_per_key(loaded, ["order_item_id"], merge.row_order(loaded))
-    new = merge.merge_first_wins(arriving, target, ["order_item_id"], merge.row_order(arriving))
+    key = ["order_item_id"]
+    target = merge.first_per_key(loaded, key, merge.row_order(loaded, key))
+    new = merge.merge_first_wins(arriving, target, key, merge.row_order(arriving, key))
     return target.unionByName(new)
 
 
@@ -450,16 +451,20 @@ def f02_merge_latest_wins(s, d):
     )
 
 
+def _land_items(s, root, rows):
+    layers.write_processed(rows, root, "postgres", "order_items")
+    return layers.scan_layer(s, root, "processed", "postgres", "order_items", rows.schema)
+
+
 def _load_items(s, d, rounds=1):
     """Load the items in batches by product; each round offers one more batch."""
     root = shared_dir(s, "warehouse")
-    rows = seeds.with_batches(items(s, d), "product_id")
+    rows = _land_items(s, root, seeds.with_batches(items(s, d), "product_id"))
     for n in range(1, rounds + 1):
         offered = rows if n == rounds else rows.filter(F.col("batch_id") <= f"20260101_000000_{n}")
         merge.load_batches(
             s, offered, root, "order_items", "postgres", ["order_item_id"],
-            merge.row_order(rows, *batch_order(F.col("batch_id"))), jobs.runs_path(root),
-            jobs.marks_path(root),
+            jobs.runs_path(root), jobs.marks_path(root),
         )
     return root, rows.schema
 
@@ -483,8 +488,8 @@ def f04_skip_loaded_batches(s, d):
 @query
 def f05_load_order(s, d):
     rows = seeds.with_batches(items(s, d), "product_id", 12)
-    order = merge.row_order(rows, *batch_order(F.col("batch_id")))
-    return merge.first_per_key(rows, ["order_item_id"], order)
+    key = ["order_item_id"]
+    return merge.first_per_key(rows, key, merge.row_order(rows, key, *batch_order(F.col("batch_id"))))
 
 
 @query
@@ -496,12 +501,12 @@ def f06_null_key_rows(s, d):
 
 def _failed_load(s, d):
     root = shared_dir(s, "warehouse")
-    rows = seeds.with_batches(items(s, d), "product_id")
+    rows = _land_items(s, root, seeds.with_batches(items(s, d), "product_id"))
     poison = F.when(F.col("quantity") > 49, F.raise_error("bad quantity").cast("long"))
     try:
         merge.load_batches(
             s, rows.withColumn("quantity", F.coalesce(poison, "quantity")), root, "order_items",
-            "postgres", ["order_item_id"], merge.row_order(rows), jobs.runs_path(root),
+            "postgres", ["order_item_id"], jobs.runs_path(root),
         )
     except Exception:
         return root, rows.schema
@@ -1071,7 +1076,7 @@ def k10_late_delivery_rate(s, d):
 
 @query
 def k11_orders_without_shipments(s, d):
-    return questions.orders_without_shipments(f_orders(s, d), f_shipments(s, d))
+    return questions.orders_without_shipments(f_orders(s, d), heads(s, d))
 
 
 @query
