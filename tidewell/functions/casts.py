@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 # The accepted text forms, an ISO date with optional time and offset.
 _DATE = r"^\d{4}-\d{2}-\d{2}"
-_TIME = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
-ISO_TIMESTAMP = _DATE + r"(" + _TIME + r" ?(Z|[+-]\d{2}:?\d{2})?)?$"
+_TIME = r"[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?"
+ISO_TIMESTAMP = _DATE + r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?( ?(Z|[+-]\d{2}:?\d{2}))?)?$"
+_ZONE = r"(Z|[+-]\d{2}:\d{2})$"
 
 
 def parse_timestamp(col: Column) -> Column:
@@ -22,18 +23,19 @@ def parse_timestamp(col: Column) -> Column:
     def instant(text: Column) -> Column:
         return text.try_cast("timestamp")
 
+    def utc(text: Column) -> Column:
+        return instant(F.concat(text, F.lit("Z")))
+
+    # Rare forms: a space or no colon in the offset, no seconds in the time.
+    full = F.regexp_replace(col, r" (Z|[+-]\d{2}:?\d{2})$", "$1")
+    full = F.regexp_replace(full, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    full = F.regexp_replace(full, r"^(.{10}[T ]\d{2}:\d{2})($|(?=[Z+-]))", "$1:00")
+    rare = F.when(full.rlike(_ZONE), instant(full)).otherwise(utc(full))
     return (
-        F.when(col.rlike(_DATE + _TIME + r"(Z|[+-]\d{2}:\d{2})$"), instant(col))
-        .when(col.rlike(_DATE + _TIME + r"$"), instant(F.concat(col, F.lit("Z"))))
-        .when(col.rlike(_DATE + r"$"), instant(F.concat(col, F.lit("T00:00:00Z"))))
-        .when(
-            col.rlike(ISO_TIMESTAMP),
-            instant(
-                F.regexp_replace(
-                    F.regexp_replace(col, r" Z$", "Z"), r" ?([+-]\d{2}):?(\d{2})$", "$1:$2"
-                )
-            ),
-        )
+        F.when(col.rlike(_DATE + _TIME + _ZONE), instant(col))
+        .when(col.rlike(_DATE + _TIME + "$"), utc(col))
+        .when(col.rlike(_DATE + "$"), utc(F.concat(col, F.lit("T00:00:00"))))
+        .when(col.rlike(ISO_TIMESTAMP), rare)
     )
 
 

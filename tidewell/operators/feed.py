@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewell.functions.casts import ISO_TIMESTAMP, parse_timestamp
+from tidewell.sources.scans import incremental_scan
 
 MAX_PAGE_SIZE = 100
 
@@ -28,23 +28,16 @@ def feed_filter(
     if status:
         df = df.filter(F.col(status_col) == status)
     if updated_since:
-        import re
-
-        if not re.match(ISO_TIMESTAMP, updated_since):
-            raise ValueError("updated_since must be an ISO-8601 datetime")
-        updated = F.col(updated_col)
-        if isinstance(df.schema[updated_col].dataType, T.StringType):
-            updated = parse_timestamp(updated)
-        cutoff = parse_timestamp(F.lit(updated_since))
-        df = df.filter(updated > cutoff.cast(_time_type(df, updated_col)))
+        try:
+            cutoff = datetime.fromisoformat(updated_since)
+        except ValueError:
+            raise ValueError("updated_since must be an ISO-8601 datetime") from None
+        if cutoff.tzinfo is not None:
+            cutoff = cutoff.astimezone(timezone.utc).replace(tzinfo=None)
+        df = incremental_scan(df, (), updated_col, cutoff.isoformat(" "))
     return df
 
 
-def _time_type(df: DataFrame, col: str) -> T.DataType:
-    dtype = df.schema[col].dataType
-    return T.TimestampType() if isinstance(dtype, T.StringType) else dtype
-
-
 def page(
     df: DataFrame,
     order_by: Sequence[str],
