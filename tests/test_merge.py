@@ -26,7 +26,7 @@ class Store:
         )
 
     def table(self):
-        return merge.read_table(self.spark, self.root, "products", self.schema, self.events())
+        return merge.read_table(self.spark, self.root, "products", self.events(), self.schema)
 
     def events(self):
         return ledger.read_runs(self.spark, self.runs)

@@ -80,13 +80,24 @@ def _with_load_id(schema: T.StructType) -> T.StructType:
 
 
 def read_table(
-    spark: SparkSession, root: str, table: str, schema: T.StructType, events: DataFrame
+    spark: SparkSession,
+    root: str,
+    table: str,
+    events: DataFrame,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The rows of committed loads. The join prunes the other loads' folders."""
+    """The rows of committed loads. The join prunes the other loads' folders.
+
+    Without a ``schema`` the columns are the union over all loads.
+    """
     committed = (
         ledger.successes(events).filter(F.col("pipeline_name") == table).select("load_id").distinct()
     )
-    rows = read_or_empty(spark, warehouse_path(root, table), _with_load_id(schema))
+    path = warehouse_path(root, table)
+    if schema is None:
+        rows = spark.read.option("mergeSchema", True).parquet(path)
+    else:
+        rows = read_or_empty(spark, path, _with_load_id(schema))
     return rows.join(committed, "load_id", "left_semi")
 
 
@@ -101,9 +112,12 @@ def load_batches(
     marks_path: str | None = None,
     mode: str = "first",
     order_by: Sequence[Column] = (),
+    batches: DataFrame | None = None,
 ) -> str | None:
     """Load every batch of ``processed`` the ledger does not list as done; all in one job.
 
+    ``batches`` names its batch ids where the caller knows them without reading rows.
+
     ``mode='first'`` inserts keys the table lacks: the earliest batch wins, then
     ``order_by``. ``mode='latest'`` appends the newest version of each key, first by
     ``order_by``, then the latest batch; read it through ``merge_latest_wins``. Returns
@@ -112,7 +126,8 @@ def load_batches(
     """
     load_id = uuid.uuid4().hex
     runs = ledger.read_runs(spark, ledger_path)
-    batches = processed.select("batch_id").distinct()
+    if batches is None:
+        batches = processed.select("batch_id").distinct()
     ledger.start_run(
         ledger.pending_batches(batches, runs, table, source), ledger_path, load_id, table, source
     )
@@ -146,7 +161,7 @@ def load_batches(
         staged = inserted = spark.read.schema(schema).parquet(staging)
         loaded = ledger.successes(runs).filter(F.col("pipeline_name") == table)
         if mode == "first" and not loaded.isEmpty():
-            target = read_table(spark, root, table, schema, runs)
+            target = read_table(spark, root, table, runs, schema)
             known = (
                 _within_range(target, staged, pk[0])
                 .select(*pk)

@@ -18,7 +18,7 @@ from tidewell.plans.cleaning import EVENT_NO, process
 from tidewell.plans.star import build_star
 from tidewell.plans.suites import SUITES
 from tidewell.session import read_or_empty
-from tidewell.sources.layers import land, scan_layer, table_path, write_processed
+from tidewell.sources.layers import batch_ids, land, scan_layer, table_path, write_processed
 from tidewell.sources.scans import scan
 
 EXTRACT = "extract"
@@ -68,13 +68,12 @@ def extract(
     return batch_id
 
 
-def _new_batches(spark: SparkSession, root: str, dataset: Dataset, raw: DataFrame) -> DataFrame:
-    """Raw rows of the batches no load has committed yet."""
+def _pending(spark: SparkSession, root: str, dataset: Dataset, layer: str) -> list[str]:
+    """The batch ids of a layer no load has committed yet: a few per run, never the history."""
+    listed = batch_ids(spark, root, layer, dataset.source, dataset.name)
     runs = ledger.read_runs(spark, runs_path(root))
-    pending = ledger.pending_batches(
-        raw.select("batch_id").distinct(), runs, dataset.name, dataset.source
-    )
-    return raw.join(pending, "batch_id", "left_semi")
+    pending = ledger.pending_batches(listed, runs, dataset.name, dataset.source)
+    return sorted(r.batch_id for r in pending.collect())
 
 
 def process_dataset(
@@ -83,25 +82,25 @@ def process_dataset(
     """Clean the pending batches, write them, validate what was written.
 
     With ``quarantine`` the rejected rows go to the ``rejected`` layer instead.
-    Returns the validation summary, if the dataset has a suite.
+    Returns the validation summary, if the dataset has a suite and anything was pending.
     """
-    raw = scan_layer(spark, root, "raw", dataset.source, dataset.name)
-    clean = process(dataset.name, _new_batches(spark, root, dataset, raw))
-    suite = SUITES.get(dataset.name)
-    if suite is None or on_failure != "quarantine":
-        write_processed(clean, root, dataset.source, dataset.name)
-        if suite is None:
-            return None
+    name, source = dataset.name, dataset.source
+    pending = _pending(spark, root, dataset, "raw")
+    if not pending:
+        return None
+    clean = process(name, scan_layer(spark, root, "raw", source, name, batches=pending))
+    suite = SUITES.get(name)
     # Checks run over a written copy, so the cleaning is not computed once per check.
-    layer = "checked" if on_failure == "quarantine" else "processed"
-    if layer == "checked":
-        land(clean, root, dataset.source, dataset.name, layer=layer)
-    written = scan_layer(spark, root, layer, dataset.source, dataset.name, clean.schema)
-    checked = _new_batches(spark, root, dataset, written).select(*clean.columns)
-    kept, rejected, summary = validate(checked, suite, on_failure)
+    quarantined = suite is not None and on_failure == "quarantine"
+    layer = "checked" if quarantined else "processed"
+    land(clean, root, source, name, layer=layer)
+    if suite is None:
+        return None
+    checked = scan_layer(spark, root, layer, source, name, clean.schema, pending)
+    kept, rejected, summary = validate(checked.select(*clean.columns), suite, on_failure)
     if rejected is not None:
-        write_processed(kept, root, dataset.source, dataset.name)
-        land(rejected, root, dataset.source, dataset.name, layer="rejected")
+        write_processed(kept, root, source, name)
+        land(rejected, root, source, name, layer="rejected")
     return summary
 
 
@@ -113,10 +112,14 @@ def load_dataset(
     ``first`` never changes a loaded row. ``latest`` keeps every version, and
     ``warehouse_table`` then shows the newest.
     """
-    rows = scan_layer(spark, root, "processed", dataset.source, dataset.name)
+    pending = _pending(spark, root, dataset, "processed")
+    if not pending:
+        return None
+    rows = scan_layer(spark, root, "processed", dataset.source, dataset.name, batches=pending)
+    ids = spark.createDataFrame([(b,) for b in pending], "batch_id string")
     return load_batches(
         spark, rows, root, dataset.name, dataset.source, dataset.primary_key,
-        runs_path(root), marks_path(root), mode, _within_batch(rows, mode),
+        runs_path(root), marks_path(root), mode, _within_batch(rows, mode), ids,
     )
 
 
@@ -156,8 +159,7 @@ def warehouse_table(
 ) -> DataFrame:
     """The committed rows of a table; one row per key in either mode."""
     dataset = BY_NAME[table]
-    schema = scan_layer(spark, root, "processed", dataset.source, table).schema
-    rows = read_table(spark, root, table, schema, ledger.read_runs(spark, runs_path(root)))
+    rows = read_table(spark, root, table, ledger.read_runs(spark, runs_path(root)))
     if mode == "first":
         return rows
     newest = [*_within_batch(rows, mode), *[c.desc() for c in batch_order(F.col("batch_id"))]]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +27,17 @@ def land(
 ) -> str:
     """Write one batch, or the batches named by a ``batch_id`` column, replacing only those.
 
-    The rebalance keeps files near the advisory size: small batches share no task with
-    thousands of tiny files, and a batch holding most of the rows is split over tasks.
+    A single batch is written by the tasks that read it, without a shuffle. Several batches
+    are rebalanced first: small ones then share no task with thousands of tiny files, and
+    one that holds most of the rows is split over many tasks.
     """
     path = table_path(root, layer, source, table)
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id))
+    else:
+        df = df.hint("rebalance", F.col("batch_id"))
     (
-        df.hint("rebalance", F.col("batch_id"))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows)
         .partitionBy("batch_id")
@@ -49,6 +51,17 @@ def write_processed(df: DataFrame, root: str, source: str, table: str) -> str:
     return land(df, root, source, table, layer="processed")
 
 
+def batch_ids(spark: SparkSession, root: str, layer: str, source: str, table: str) -> DataFrame:
+    """The batch ids of a table, from the file listing alone."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .load(table_path(root, layer, source, table))
+        .select(F.col("batch_id").cast("string"))
+        .distinct()
+    )
+
+
 def scan_layer(
     spark: SparkSession,
     root: str,
@@ -56,17 +69,25 @@ def scan_layer(
     source: str,
     table: str,
     schema: T.StructType | None = None,
+    batches: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All batches of a table as one frame, ``batch_id`` always text.
+    """The batches of a table as one frame, ``batch_id`` always text.
 
-    An unreadable file fails the job.
+    Only the folders of the named ``batches`` are listed and read. Without a ``schema`` the
+    columns are the union over the files read. An unreadable file fails the job.
     """
-    reader = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", schema is None)
+    path = table_path(root, layer, source, table)
+    reader = (
+        spark.read.option("pathGlobFilter", "*.parquet")
+        .option("basePath", path)
+        .option("mergeSchema", schema is None)
+    )
     if schema is not None:
         if "batch_id" not in schema.names:
             schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
         reader = reader.schema(schema)
-    df = reader.parquet(table_path(root, layer, source, table))
+    folders = [path] if batches is None else [f"{path}/batch_id={b}" for b in batches]
+    df = reader.parquet(*folders)
     return df.withColumn("batch_id", F.col("batch_id").cast("string"))
 
 
