@@ -35,9 +35,8 @@ def _rows(names, rows):
     return sorted([tuple(_cell(r[i]) for i in order) for r in rows])
 
 
-def difference(spark, con, sf_dir: str, fn, sql: str) -> str | None:
+def difference(df, con, sql: str) -> str | None:
     """``None`` when both sides give the same columns and the same bag of rows."""
-    df = fn(spark, sf_dir)
     left = _rows(df.columns, df.collect())
     cur = con.execute(sql)
     names = [c[0] for c in cur.description]
@@ -65,7 +64,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         start = time.time()
         try:
             if name in oracle:
-                found = difference(spark, con, sf_dir, fn, oracle[name])
+                found = difference(fn(spark, sf_dir), con, oracle[name])
             else:
                 found = f"no SQL, {fn(spark, sf_dir).count()} rows"
         except Exception as error:

@@ -11,16 +11,20 @@ from tidewell.plans import jobs, questions, seeds, star, views
 from tidewell.session import shared_dir
 
 
+# Tables of every kind: with a mark, without one, documents, feed.
+AGAIN = ("orders", "order_items", "product_reviews", "carriers")
+
+
 @pytest.fixture(scope="module")
 def loaded(spark):
-    """A lake and warehouse after two runs over the same sources."""
+    """A lake and warehouse after a run over all sources and a second one over some."""
     from conftest import SF_DIR
 
     root = shared_dir(spark, "jobs")
     inputs = seeds.source_tables(spark, SF_DIR)
     first = jobs.run(spark, root, inputs)
     counts = {d.name: jobs.warehouse_table(spark, root, d.name).count() for d in DATASETS}
-    jobs.run(spark, root, inputs)
+    jobs.run(spark, root, {name: inputs[name] for name in AGAIN})
     return root, inputs, first, counts
 
 
@@ -39,7 +43,7 @@ def test_the_second_run_lands_only_tables_without_a_mark(spark, loaded):
     state = ledger.run_state(ledger.read_runs(spark, jobs.runs_path(root)))
     per_table = {r[0]: r[1] for r in rows(state.groupBy("pipeline_name").count())}
     for d in DATASETS:
-        assert per_table[d.name] == (2 if d.mark is None else 1), d.name
+        assert per_table[d.name] == (2 if d.mark is None and d.name in AGAIN else 1), d.name
     again = state.filter("records_loaded = 0")
     assert {r.pipeline_name for r in again.collect()} == {"order_items", "carriers"}
     assert state.filter("status <> 'success'").isEmpty()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -116,11 +116,13 @@ def register_star(star: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def analytics_views(spark: SparkSession, star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def analytics_views(
+    spark: SparkSession, star: Mapping[str, DataFrame], names: Iterable[str] = tuple(VIEWS)
+) -> dict[str, DataFrame]:
     """Register the star and one view per question; returns the views."""
     register_star(star)
     out = {}
-    for name, sql in VIEWS.items():
-        out[name] = spark.sql(sql)
+    for name in names:
+        out[name] = spark.sql(VIEWS[name])
         out[name].createOrReplaceTempView(name)
     return out
