@@ -89,6 +89,10 @@ def test_star_and_views_agree_over_the_warehouse(spark, loaded):
     }
     for name, df in pairs.items():
         assert sorted(map(str, df.collect())) == sorted(map(str, found[name].collect())), name
+    # The facts hold every event, not only the first of each type that the merge keeps.
+    every = loaded[1]["customer_sessions"].agg(F.sum(F.size("events"))).first()[0]
+    assert tables["fact_customer_events"].count() == every
+    assert tables["fact_shipments"].count() == loaded[1]["shipments"].count()
     days = tables["dim_date"]
     assert days.count() == days.select("date_key").distinct().count()
     outside = tables["fact_orders"].join(

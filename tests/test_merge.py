@@ -147,7 +147,26 @@ def test_first_per_key_limits_before_the_shuffle(spark):
 def test_committed_loads_prune_folders(spark, store, products):
     store.load(products)
     store.load(spark.createDataFrame([("b_2", 9, "Nine")], PRODUCTS))
-    assert "dynamicpruning" in plan(store.table().select("product_id"))
+    text = plan(store.table().select("product_id"))
+    assert "PartitionFilters: [load_id" in text and "Join" not in text
+
+
+def test_a_hot_batch_is_not_shuffled_by_its_id(spark, store, monkeypatch):
+    """The pending rows meet the batch list by broadcast, then shuffle by key alone."""
+    plans, ranked = [], merge.first_per_key
+    monkeypatch.setattr(
+        merge, "first_per_key", lambda df, *a: plans.append(plan(df)) or ranked(df, *a)
+    )
+    hot = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "b_2").otherwise("b_1").alias("batch_id"),
+        (F.col("id") % 7_000).alias("product_id"), F.col("id").cast("string").alias("brand"),
+    )
+    store.load(hot)
+    assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
+    want = merge.first_per_key(hot, ["product_id"], [F.col("batch_id"), F.col("brand")])
+    got = store.table().select(*hot.columns)
+    assert got.count() == 7_000
+    assert got.exceptAll(want).isEmpty()
 
 
 def test_marks_and_runs(spark, tmp_path):

@@ -1,6 +1,10 @@
-from conftest import rows
+import re
+
+import pytest
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from tidewell import session
 from tidewell.operators import nested
 
 
@@ -36,6 +40,8 @@ def test_a_hot_key_is_split_and_nothing_is_lost(spark):
     cold = spark.range(900).select(F.concat(F.lit("k"), F.col("id") % 300).alias("k"), F.col("id").alias("v"))
     df = hot.unionByName(cold)
     docs = nested.nest_events(df, ["k"], ["v"], max_items=1000)
+    text = plan(docs)
+    assert "BroadcastHashJoin" in text and re.search(r"Exchange hashpartitioning\(k#\d+, part#", text)
     sizes = docs.select("k", F.size("events").alias("n")).collect()
     hot_sizes = [r.n for r in sizes if r.k == "hot"]
     assert len(hot_sizes) == 9 and sum(hot_sizes) == 9000
@@ -43,3 +49,13 @@ def test_a_hot_key_is_split_and_nothing_is_lost(spark):
     assert all(r.n == 3 for r in sizes if r.k != "hot")
     back = nested.expand_event(nested.explode_events(docs.drop("part")))
     assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_many_hot_keys_join_by_shuffle(spark, monkeypatch, limit):
+    monkeypatch.setattr(session, "MAX_BROADCAST_ROWS", limit)
+    df = spark.range(6000).select((F.col("id") % 6).alias("k"), F.col("id").alias("v"))
+    docs = nested.nest_events(df, ["k"], ["v"], max_items=300)
+    assert max(r.n for r in docs.select(F.size("events").alias("n")).collect()) < 700
+    back = nested.expand_event(nested.explode_events(docs.drop("part")))
+    assert back.exceptAll(df).isEmpty() and back.count() == 6000

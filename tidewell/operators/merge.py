@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
-from tidewell.session import read_or_empty
+from tidewell.session import broadcast_counted, read_or_empty
 
 
 def first_per_key(df: DataFrame, pk: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -86,19 +86,20 @@ def read_table(
     events: DataFrame,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The rows of committed loads. The join prunes the other loads' folders.
+    """The rows of committed loads; the other loads' folders are not opened.
 
-    Without a ``schema`` the columns are the union over all loads.
+    The load ids, one short text per load, become a partition filter rather than a join:
+    joined by shuffle, a first load would put most of the table under one key. Without a
+    ``schema`` the columns are the union over all loads.
     """
-    committed = (
-        ledger.successes(events).filter(F.col("pipeline_name") == table).select("load_id").distinct()
-    )
+    loads = ledger.successes(events).filter(F.col("pipeline_name") == table)
+    committed = sorted(r.load_id for r in loads.select("load_id").distinct().collect())
     path = warehouse_path(root, table)
     if schema is None:
         rows = spark.read.option("mergeSchema", True).parquet(path)
     else:
         rows = read_or_empty(spark, path, _with_load_id(schema))
-    return rows.join(committed, "load_id", "left_semi")
+    return rows.filter(F.col("load_id").isin(committed))
 
 
 def load_batches(
@@ -128,24 +129,22 @@ def load_batches(
     runs = ledger.read_runs(spark, ledger_path)
     if batches is None:
         batches = processed.select("batch_id").distinct()
-    ledger.start_run(
-        ledger.pending_batches(batches, runs, table, source), ledger_path, load_id, table, source
-    )
-    # The order of a batch is worked out once per batch and joined to its rows.
-    head, number = batch_order(F.col("watermark_value"))
-    started = (
-        ledger.read_runs(spark, ledger_path)
-        .filter(F.col("load_id") == load_id)
-        .select(
-            F.col("watermark_value").alias("batch_id"),
-            head.alias("_batch_head"), number.alias("_batch_number"),
-        )
-    )
-    if started.isEmpty():
+    pending_ids = ledger.pending_batches(batches, runs, table, source)
+    ids = sorted(r.batch_id for r in pending_ids.collect())
+    if not ids:
         return None
+    # The order of a batch is worked out here once, not for each of its rows. The list is
+    # short and counted, so it is broadcast, however unevenly the batches are filled.
+    head, number = batch_order(F.col("batch_id"))
+    started = spark.createDataFrame([(b,) for b in ids], "batch_id string").select(
+        "batch_id", head.alias("_batch_head"), number.alias("_batch_number")
+    )
+    ledger.start_run(started.select("batch_id"), ledger_path, load_id, table, source)
     try:
         schema = processed.schema
-        pending = processed.join(started, "batch_id")
+        pending = processed.filter(F.col("batch_id").isin(ids)).join(
+            broadcast_counted(started, len(ids)), "batch_id"
+        )
         counts = pending.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_extracted"))
         keyed, _ = split_null_keys(pending, pk)
         in_turn = [F.col("_batch_head"), F.col("_batch_number")]

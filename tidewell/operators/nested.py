@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.clean import maps_to_json
+from tidewell.session import broadcast_counted
 
 
 def _leaves(schema: T.StructType, path: str, name: str, sep: str) -> list[Column]:
@@ -67,13 +68,16 @@ def nest_events(
         .filter(F.col("_n") > max_items)
         .select(*keys, F.ceil(F.col("_n") / max_items).cast("long").alias("_parts"))
     )
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if n_hot == 0:
         # The usual case: no key needs splitting, and no join is paid for.
         return df.groupBy(*keys).agg(item).withColumn(part, F.lit(0).cast("long"))
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.col("_parts"))
     return (
-        df.join(hot, list(keys), "left")
+        df.join(broadcast_counted(hot, n_hot), list(keys), "left")
         .withColumn(part, F.coalesce(salt, F.lit(0).cast("long")))
+        # By key and part, so the parts of a hot key are collected by different tasks.
+        .repartition(*keys, part)
         .groupBy(*keys, part)
         .agg(item)
     )

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators.nested import nest_events
 
@@ -34,8 +35,15 @@ UNKNOWN_PRODUCT = 9_999_999_999
 PAGE_SIZE = 100
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A test table. Its schema is read from the file once per process."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def row_source(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -293,9 +301,13 @@ def seed_carriers(supplier: DataFrame) -> DataFrame:
     )
 
 
-def seed_shipment_heads(lineitem: DataFrame) -> DataFrame:
-    """One shipment per order, without its events."""
+def seed_shipment_heads(lineitem: DataFrame, typed: bool = False) -> DataFrame:
+    """One shipment per order, without its events.
+
+    Times are text, as the feed sends them, or ``typed``, as the processed layer holds them.
+    """
     k = F.col("l_orderkey")
+    stamp: Callable[[Column], Column] = (lambda c: c.cast("timestamp")) if typed else iso
     heads = lineitem.groupBy(k).agg(
         F.min("l_shipdate").alias("first_ship"),
         F.max("l_shipdate").alias("last_ship"),
@@ -308,10 +320,10 @@ def seed_shipment_heads(lineitem: DataFrame) -> DataFrame:
         F.concat(F.lit("car_"), F.col("carrier").cast("string")).alias("carrier_id"),
         F.concat(F.lit("trk-"), k.cast("string")).alias("tracking_number"),
         F.when(F.col("done"), "delivered").otherwise("in_transit").alias("shipment_status"),
-        iso(F.col("first_ship")).alias("shipped_at"),
-        iso(F.col("first_ship") + F.make_dt_interval(F.lit(45))).alias("estimated_delivery_at"),
-        F.when(F.col("done"), iso(F.col("last_ship"))).alias("delivered_at"),
-        iso(_hours(F.col("last_ship"), k % 24)).alias("updated_at"),
+        stamp(F.col("first_ship")).alias("shipped_at"),
+        stamp(F.col("first_ship") + F.make_dt_interval(F.lit(45))).alias("estimated_delivery_at"),
+        F.when(F.col("done"), stamp(F.col("last_ship"))).alias("delivered_at"),
+        stamp(_hours(F.col("last_ship"), k % 24)).alias("updated_at"),
         F.struct(
             F.concat(F.lit("Street "), (k % 100).cast("string")).alias("street"),
             F.concat(F.lit("City "), (k % 6).cast("string")).alias("city"),

@@ -142,16 +142,19 @@ def _quoted(text: str) -> str:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, date_col: str, grain: str = "month", mode: str = "overwrite"
+    df: DataFrame, path: str, date_col: str, grain: str = "month", replace_all: bool = True
 ) -> str:
-    """Parquet partitioned by day, month or year of ``date_col``; rows without one keep a null part."""
+    """Parquet partitioned by day, month or year of ``date_col``; rows without one keep a null part.
+
+    ``replace_all=False`` replaces only the parts ``df`` has rows for.
+    """
     pattern = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}[grain]
     part = f"{date_col}_{grain}"
     (
         df.withColumn(part, F.date_format(date_col, pattern))
         .hint("rebalance", F.col(part))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(part)
         .parquet(path)
     )

@@ -335,8 +335,8 @@ FROM products""")
 _register("a10_csv_export", "reviews",
           "SELECT review_id, rating, title, review_text, verified_purchase FROM reviews")
 _register("a12_partitioned_parquet", "shop_orders", f"""
-SELECT order_id, order_date, {_d("total_amount")} FROM shop_orders
-WHERE order_date >= TIMESTAMP '1996-01-01' AND order_date < TIMESTAMP '1996-07-01'""")
+SELECT strftime(order_date, '%Y-%m') AS order_date_month, order_id, order_date, {_d("total_amount")}
+FROM shop_orders""")
 
 # B
 
