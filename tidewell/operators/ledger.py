@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.datasets import RUN_STATUSES, struct
+from tidewell.functions.text import batch_order
 from tidewell.session import read_or_empty
 from tidewell.sources.scans import mark_literal, mark_value
 
@@ -164,6 +165,12 @@ def pending_batches(
     return batches.join(done, "batch_id", "left_anti")
 
 
+def pending_ids(batches: DataFrame, events: DataFrame, pipeline: str, source: str) -> list[str]:
+    """The pending batches in load order: a few ids per run, never the history."""
+    todo = pending_batches(batches, events, pipeline, source)
+    return [r.batch_id for r in todo.orderBy(*batch_order(F.col("batch_id"))).collect()]
+
+
 def latest_mark(marks: DataFrame) -> DataFrame:
     """The current mark per (pipeline, source): the last writer wins."""
     rest = [c for c in marks.columns if c not in ("pipeline_name", "source_name")]
@@ -188,10 +195,17 @@ def advance_mark(
 
     Values compare in the column's own type, and times kept as text as times.
     """
+    return batch.agg(highest_mark(batch, col, previous, mark_type).alias("watermark_value"))
+
+
+def highest_mark(
+    batch: DataFrame, col: str, previous: str | None = None, mark_type: str = "timestamp"
+) -> Column:
+    """The aggregate behind ``advance_mark``."""
     top = F.max(mark_value(batch, col, mark_type))
     if previous is not None:
         top = F.greatest(top, mark_literal(batch, col, previous, mark_type))
-    return batch.agg(top.cast("string").alias("watermark_value"))
+    return top.cast("string")
 
 
 def write_mark(

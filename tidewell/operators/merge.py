@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
 from tidewell.session import broadcast_counted, read_or_empty
 
@@ -79,6 +78,12 @@ def _with_load_id(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])
 
 
+def committed_loads(events: DataFrame, table: str) -> list[str]:
+    """The ids of a table's visible loads: one short text per load."""
+    loads = ledger.successes(events).filter(F.col("pipeline_name") == table)
+    return sorted(r.load_id for r in loads.select("load_id").distinct().collect())
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -88,18 +93,16 @@ def read_table(
 ) -> DataFrame:
     """The rows of committed loads; the other loads' folders are not opened.
 
-    The load ids, one short text per load, become a partition filter rather than a join:
-    joined by shuffle, a first load would put most of the table under one key. Without a
-    ``schema`` the columns are the union over all loads.
+    The load ids become a partition filter rather than a join: joined by shuffle, a first
+    load would put most of the table under one key. Without a ``schema`` the columns are
+    the union over all loads.
     """
-    loads = ledger.successes(events).filter(F.col("pipeline_name") == table)
-    committed = sorted(r.load_id for r in loads.select("load_id").distinct().collect())
     path = warehouse_path(root, table)
     if schema is None:
         rows = spark.read.option("mergeSchema", True).parquet(path)
     else:
         rows = read_or_empty(spark, path, _with_load_id(schema))
-    return rows.filter(F.col("load_id").isin(committed))
+    return rows.filter(F.col("load_id").isin(committed_loads(events, table)))
 
 
 def load_batches(
@@ -113,11 +116,11 @@ def load_batches(
     marks_path: str | None = None,
     mode: str = "first",
     order_by: Sequence[Column] = (),
-    batches: DataFrame | None = None,
+    pending: Sequence[str] | None = None,
 ) -> str | None:
     """Load every batch of ``processed`` the ledger does not list as done; all in one job.
 
-    ``batches`` names its batch ids where the caller knows them without reading rows.
+    ``pending`` names those batches, in load order, where the caller has looked them up.
 
     ``mode='first'`` inserts keys the table lacks: the earliest batch wins, then
     ``order_by``. ``mode='latest'`` appends the newest version of each key, first by
@@ -127,39 +130,34 @@ def load_batches(
     """
     load_id = uuid.uuid4().hex
     runs = ledger.read_runs(spark, ledger_path)
-    if batches is None:
+    if pending is None:
         batches = processed.select("batch_id").distinct()
-    pending_ids = ledger.pending_batches(batches, runs, table, source)
-    ids = sorted(r.batch_id for r in pending_ids.collect())
-    if not ids:
+        pending = ledger.pending_ids(batches, runs, table, source)
+    if not pending:
         return None
-    # The order of a batch is worked out here once, not for each of its rows. The list is
-    # short and counted, so it is broadcast, however unevenly the batches are filled.
-    head, number = batch_order(F.col("batch_id"))
-    started = spark.createDataFrame([(b,) for b in ids], "batch_id string").select(
-        "batch_id", head.alias("_batch_head"), number.alias("_batch_number")
+    # The list is short and counted, so it is broadcast, however unevenly the batches are filled.
+    started = spark.createDataFrame(
+        list(enumerate(pending)), "_batch_no long, batch_id string"
     )
     ledger.start_run(started.select("batch_id"), ledger_path, load_id, table, source)
     try:
         schema = processed.schema
-        pending = processed.filter(F.col("batch_id").isin(ids)).join(
-            broadcast_counted(started, len(ids)), "batch_id"
+        rows = processed.filter(F.col("batch_id").isin(list(pending))).join(
+            broadcast_counted(started, len(pending)), "batch_id"
         )
-        counts = pending.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_extracted"))
-        keyed, _ = split_null_keys(pending, pk)
-        in_turn = [F.col("_batch_head"), F.col("_batch_number")]
+        counts = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_extracted"))
+        keyed, _ = split_null_keys(rows, pk)
         if mode == "first":
-            order = [*in_turn, *order_by]
+            order = [F.col("_batch_no"), *order_by]
         else:
-            order = [*order_by, *[c.desc() for c in in_turn]]
+            order = [*order_by, F.col("_batch_no").desc()]
         # The staging table cuts the lineage and gives the planner the batch's true size,
         # so a small batch is broadcast against the target instead of shuffling the target.
         staging = f"{root.rstrip('/')}/staging/{table}/{load_id}"
         candidates = first_per_key(keyed, pk, row_order(processed, pk, *order))
         candidates.select(*schema.names).write.parquet(staging)
         staged = inserted = spark.read.schema(schema).parquet(staging)
-        loaded = ledger.successes(runs).filter(F.col("pipeline_name") == table)
-        if mode == "first" and not loaded.isEmpty():
+        if mode == "first" and committed_loads(runs, table):
             target = read_table(spark, root, table, runs, schema)
             known = (
                 _within_range(target, staged, pk[0])
@@ -183,8 +181,7 @@ def load_batches(
         )
         ledger.mark_success(spark, ledger_path, load_id, counts.join(written, "batch_id", "left"))
         if marks_path:
-            top = started.orderBy(F.desc("_batch_head"), F.desc("_batch_number")).first()["batch_id"]
-            ledger.write_mark(spark, marks_path, table, source, "batch_id", top)
+            ledger.write_mark(spark, marks_path, table, source, "batch_id", pending[-1])
         # Staging is cleared the way a table is truncated.
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(staging)
     except Exception as error:

@@ -55,25 +55,26 @@ def extract(
         raise ValueError(f"batch {batch_id} of {dataset.name} is already landed")
     land(rows, root, dataset.source, dataset.name, batch_id)
     landed = read_or_empty(spark, folder, rows.schema)
-    if landed.isEmpty():
+    mark = (
+        ledger.highest_mark(landed, dataset.mark, previous, dataset.mark_type)
+        if dataset.mark
+        else F.lit(None)
+    )
+    found = landed.agg(F.count(F.lit(1)).alias("rows"), mark.alias("mark")).first()
+    if found["rows"] == 0:
         return None
-    if dataset.mark is not None:
-        value = ledger.advance_mark(
-            landed, dataset.mark, previous, dataset.mark_type
-        ).first()[0]
-        if value is not None and value != previous:
-            ledger.write_mark(
-                spark, marks_path(root), name, dataset.source, dataset.mark, value, sequence + 1
-            )
+    if found["mark"] is not None and found["mark"] != previous:
+        ledger.write_mark(
+            spark, marks_path(root), name, dataset.source, dataset.mark, found["mark"], sequence + 1
+        )
     return batch_id
 
 
 def _pending(spark: SparkSession, root: str, dataset: Dataset, layer: str) -> list[str]:
-    """The batch ids of a layer no load has committed yet: a few per run, never the history."""
+    """The batch ids of a layer no load has committed yet, in load order."""
     listed = batch_ids(spark, root, layer, dataset.source, dataset.name)
     runs = ledger.read_runs(spark, runs_path(root))
-    pending = ledger.pending_batches(listed, runs, dataset.name, dataset.source)
-    return sorted(r.batch_id for r in pending.collect())
+    return ledger.pending_ids(listed, runs, dataset.name, dataset.source)
 
 
 def process_dataset(
@@ -116,10 +117,9 @@ def load_dataset(
     if not pending:
         return None
     rows = scan_layer(spark, root, "processed", dataset.source, dataset.name, batches=pending)
-    ids = spark.createDataFrame([(b,) for b in pending], "batch_id string")
     return load_batches(
         spark, rows, root, dataset.name, dataset.source, dataset.primary_key,
-        runs_path(root), marks_path(root), mode, _within_batch(rows, mode), ids,
+        runs_path(root), marks_path(root), mode, _within_batch(rows, mode), pending,
     )
 
 
