@@ -2,6 +2,7 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from conftest import plan, rows
@@ -218,6 +219,8 @@ def test_page_bounds_and_totals(spark):
     assert rows(feed.page(df.limit(0), ["shipment_id"], 1, 10)[1]) == [(1, 10, 0, 0, None)]
     after, _ = feed.page(df, ["shipment_id"], 3, 10, after=["019"])
     assert rows(after) == rows(got)
+    pairs = spark.range(6).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"))
+    assert rows(feed.page(pairs, ["a", "b"], 1, 3, after=[0, 2])[0]) == [(0, 4), (1, 1), (1, 3)]
     for bad in ((0, 10), (1, 0), (1, 101)):
         with pytest.raises(ValueError):
             feed.page(df, ["shipment_id"], *bad)
@@ -238,6 +241,16 @@ def test_shared_dir_reads_the_session(spark):
     assert shared_dir(spark, "x").startswith(base) and shared_dir(spark, "x") != shared_dir(spark, "x")
 
 
+def test_only_a_local_session_may_use_its_own_disk():
+    def session(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert "tidewell-" in shared_dir(session("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077"), "x")
+
+
 def test_read_or_empty(spark, tmp_path):
     schema = spark.range(1).schema
     assert read_or_empty(spark, str(tmp_path / "none"), schema).isEmpty()

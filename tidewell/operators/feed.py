@@ -55,11 +55,13 @@ def page(
         raise ValueError(f"page must be >= 1 and limit between 1 and {MAX_PAGE_SIZE}")
     rows = df
     if after is not None:
-        key = F.struct(*order_by)
-        last = F.struct(
-            *[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_by, after, strict=True)]
-        )
-        rows = rows.filter(key > last).orderBy(*order_by).limit(limit)
+        last = [
+            F.lit(v).cast(df.schema[c].dataType).alias(c)
+            for c, v in zip(order_by, after, strict=True)
+        ]
+        # On the leading column alone first, which the source can use to skip data.
+        rows = rows.filter(F.col(order_by[0]) >= last[0])
+        rows = rows.filter(F.struct(*order_by) > F.struct(*last)).orderBy(*order_by).limit(limit)
     else:
         rows = rows.orderBy(*order_by).offset((page - 1) * limit).limit(limit)
     total = F.count(F.lit(1))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell import datasets as D
-from tidewell.functions.casts import is_integral, parse_timestamp, to_int
-from tidewell.functions.text import batch_id_from_name, batch_order, normalize_case
+from tidewell.functions.casts import parse_timestamp, to_int
+from tidewell.functions.text import batch_id_from_name, batch_order
 from tidewell.operators import checks, clean, feed, ledger, merge, nested, quality
 from tidewell.plans import cleaning, jobs, questions, seeds, star, suites, views
 from tidewell.session import pin, shared_dir
