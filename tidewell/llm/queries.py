@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
+from tidewell.llm.quality_rules import judge_documents
+from tidewell.llm.simhash import near_duplicates
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_documents(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +26,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op6_simhash_dedup": op6_simhash_dedup,
 }
