@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -78,27 +79,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def running_start(df: DataFrame, group: list[str], key: str, order: list[str], size: str, name: str, slices: int = 1024) -> DataFrame:
     """Adds ``name``: the sum of ``size`` over the rows before each one in its group.
 
-    Rows are in order of ``md5(key)`` cut to three hexadecimal digits, then of ``order``. A slice is a
-    group's rows with the same digits: sums run inside a slice, and a slice starts where the sums of the
-    slices before it end, so that no task holds more than a slice of a group, however large the group.
+    Rows are in order of their slice (``slice_of`` the key), then of ``order``. Sums run inside a slice, and
+    a slice starts where the sums of the slices before it end, so that no task holds more than a slice of a
+    group, however large the group. Group columns must not be null.
     """
-    from pyspark.sql import Window as W
-
-    if slices not in (16, 256, 4096, 1024):
-        raise ValueError("slices is 16, 256, 1024 or 4096")
-    part = slice_of(F.col(key), slices)
-    df = df.withColumn("_slice", part)
-    sums = df.groupBy(*group, "_slice").agg(F.sum(size).alias("_sum"))
+    df = df.withColumn("_slice", slice_of(F.col(key), slices))
+    keys = [*group, "_slice"]
     before = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(*group, "_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    inside = W.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    starts = df.groupBy(*keys).agg(F.sum(size).alias("_sum"))
+    starts = starts.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = df.withColumn("_local", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    same = [local[c].eqNullSafe(starts[c]) for c in [*group, "_slice"]]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    joined = local.join(starts, condition, "left")
-    return joined.select(*[local[c] for c in df.columns if c != "_slice"], (local["_local"] + starts["_start"]).alias(name))
+    return local.join(starts, keys).withColumn(name, F.col("_local") + F.col("_start")).drop("_slice", "_local", "_start")
 
 
 def slice_of(key: Column, slices: int) -> Column:

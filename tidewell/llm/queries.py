@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.quality_rules import judge_documents
+from tidewell.llm.sharding import shard_by_size
 from tidewell.llm.simhash import near_duplicates
 
 
@@ -31,8 +32,24 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    placed = shard_by_size(docs.select("doc_id", "text", crc.alias("text_crc32")), carry=["doc_id", "text_crc32"])
+    return placed.select(
+        "row.doc_id",
+        "size",
+        "row.text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op10_sharding": op10_sharding,
 }
