@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
+from tidewell.llm.mixing import mix
 from tidewell.llm.quality_rules import judge_documents
 from tidewell.llm.sharding import shard_by_size
 from tidewell.llm.simhash import near_duplicates
@@ -32,6 +33,11 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -51,5 +57,6 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }
