@@ -23,4 +23,19 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op7_exact_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }

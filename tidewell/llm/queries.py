@@ -9,8 +9,21 @@ from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.mixing import mix
 from tidewell.llm.quality_rules import judge_documents
+from tidewell.llm.secrets import listed, scan_secrets
 from tidewell.llm.sharding import shard_by_size
 from tidewell.llm.simhash import near_duplicates
+from tidewell.llm.voronoi import top_k
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    base = ("assign", "access", "hex")
+    return found.select(
+        "row.doc_id",
+        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in (*base, "random")],
+        F.sha2(listed(*base).cast("binary"), 256).alias("base_sha256"),
+        listed(*base, "random").alias("spans"),
+    )
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +46,12 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = top_k(vectors, F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -54,9 +73,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_exact_top_k": op7_exact_top_k,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }
