@@ -9,6 +9,7 @@ from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.mixing import mix
 from tidewell.llm.quality_rules import judge_documents
+from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.secrets import listed, scan_secrets
 from tidewell.llm.sharding import shard_by_size
 from tidewell.llm.simhash import near_duplicates
@@ -41,6 +42,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = remove_repeats(docs, window=50, carry=["doc_id"])
+    return kept.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
@@ -76,6 +83,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_exact_top_k": op7_exact_top_k,
     "op9_mixing": op9_mixing,
