@@ -31,9 +31,9 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def packed(df: DataFrame, **more: Column) -> DataFrame:
-    """All columns in one struct ``row``, next to the given ones."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in more.items()])
+def packed(df: DataFrame, carry: list[str] | None = None, **more: Column) -> DataFrame:
+    """All columns, or those to ``carry``, in one struct ``row``, next to the given ones."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in carry or df.columns]).alias("row"), *[c.alias(k) for k, c in more.items()])
 
 
 def unpacked(df: DataFrame, **replaced: Column) -> DataFrame:

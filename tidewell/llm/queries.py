@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.mixing import mix
+from tidewell.llm.pieces import decode, encode
 from tidewell.llm.quality_rules import judge_documents
 from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.secrets import listed, scan_secrets
@@ -59,6 +60,13 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    encoded = encode(docs, carry=["doc_id", "text_sha256"]).select("row.*", "ids", F.size("ids").cast("long").alias("n_pieces"))
+    decoded = F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    return decode(encoded).select("row.*", decoded)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -86,6 +94,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }
