@@ -9,6 +9,7 @@ from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.mixing import mix
 from tidewell.llm.pieces import decode, encode
+from tidewell.llm.quality_classifier import score_documents
 from tidewell.llm.quality_rules import judge_documents
 from tidewell.llm.repeats import remove_repeats
 from tidewell.llm.secrets import listed, scan_secrets
@@ -49,6 +50,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs, table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return scored.select("row.doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
@@ -92,6 +99,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_sentencepiece": op8_sentencepiece,
