@@ -191,10 +191,12 @@ def judge(text: str | None, key: str | None, references: dict, limits: Limits) -
     return len(words), _letter_count(words), symbols, repeated_lines(data), repeated, failed, by_class, by_word, kept
 
 
-def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """``row`` (the input) and the columns of ``RESULT``; ``kept`` is the verdict."""
+def judge_documents(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits(), carry: list[str] | None = None
+) -> DataFrame:
+    """``row`` (the input, or its ``carry`` columns) and the columns of ``RESULT``; ``kept`` is the verdict."""
     references = language_references(docs, lang_col, text_col, limits)
-    frame = packed(docs, lang=F.col(f"`{lang_col}`").cast("string"), text=F.col(f"`{text_col}`"))
+    frame = packed(docs, carry, lang=F.col(f"`{lang_col}`").cast("string"), text=F.col(f"`{text_col}`"))
     schema = T.StructType([T.StructField("row", frame.schema["row"].dataType), *T.StructType.fromDDL(RESULT)])
 
     def run(rows: pa.Array, langs: pa.Array, texts: pa.Array):

@@ -30,7 +30,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge_documents(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    judged = judge_documents(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), carry=["doc_id"])
     return judged.select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -58,7 +58,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs).select("row.doc_id", "fingerprint", "component_id")
+    return near_duplicates(docs, carry=["doc_id"]).select("row.doc_id", "fingerprint", "component_id")
 
 
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

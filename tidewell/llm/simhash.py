@@ -50,15 +50,16 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """``row`` with the input's columns, and ``fp`` as a signed long."""
+def fingerprints(docs: DataFrame, text_col: str, id_col: str, shingle: int, carry: list[str] | None = None) -> DataFrame:
+    """``row`` with the input's columns (or those to ``carry``), ``id``, and ``fp`` as a signed long."""
 
-    def run(rows: pa.Array, texts: pa.Array):
+    def run(rows: pa.Array, ids: pa.Array, texts: pa.Array):
         found = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
-        return rows, found.view(np.int64)
+        return rows, ids, found.view(np.int64)
 
-    frame = packed(docs, text=F.col(f"`{text_col}`"))
-    return map_rows(frame, run, T.StructType().add("row", frame.schema["row"].dataType).add("fp", "long"))
+    frame = packed(docs, carry, id=F.col(f"`{id_col}`"), text=F.col(f"`{text_col}`"))
+    schema = T.StructType([frame.schema["row"], frame.schema["id"], T.StructField("fp", T.LongType())])
+    return map_rows(frame, run, schema)
 
 
 def spanning_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,15 +123,25 @@ def _links(tiles: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, tile_rows: int = 8192
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+    tile_rows: int = 8192,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """Returns ``row`` (the input), ``fingerprint`` (16 hexadecimal digits) and ``component_id``.
+    """Returns ``row`` (the input, or its ``carry`` columns), ``fingerprint``, ``component_id`` and ``stays``.
 
-    ``component_id`` is the smallest id that links of ``radius`` bits or fewer reach. A tile number with
-    more than ``tile_rows`` fingerprints is split into chunks; all pairs of chunks are compared.
+    ``component_id`` is the smallest id that links of ``radius`` bits or fewer reach. ``stays`` holds for one
+    row of each component, one with that id. A tile number with more than ``tile_rows`` fingerprints is split
+    into chunks; all pairs of chunks are compared.
     """
-    marked = stored(fingerprints(docs, text_col, shingle).withColumn("_id", F.col(f"row.`{id_col}`")), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("_id").alias("least"))
+    # The table is written once, so the numbers that tell equal rows apart are fixed from then on.
+    found = fingerprints(docs, text_col, id_col, shingle, carry).withColumn("uid", F.monotonically_increasing_id())
+    marked = stored(found, "fingerprints")
+    first = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id").alias("id"), F.col("uid").alias("uid"))
+    classes = marked.groupBy("fp").agg(F.min(first).alias("least"))
     quarters = [F.bit_count(F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF))).cast("int") for k in (3, 2, 1, 0)]
     number = ((quarters[0] * 64 + quarters[1]) * 64 + quarters[2]) * 64 + quarters[3]
     classes = stored(classes.withColumn("tile", number), "classes")
@@ -139,6 +150,7 @@ def near_duplicates(
     tiles = classes.join(F.broadcast(sizes), "tile").groupBy("tile", "chunks", chunk.alias("chunk")).agg(F.collect_list("fp").alias("fps"))
     roots = components(_links(stored(tiles, "tiles"), radius))
     linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("first")), "root").select("fp", "first")
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return marked.join(named, "fp").select("row", hexadecimal, "component_id")
+    stays = F.col("uid") == F.col("first.uid")
+    return marked.join(named, "fp").select("row", hexadecimal, F.col("first.id").alias("component_id"), stays.alias("stays"))
