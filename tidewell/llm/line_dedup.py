@@ -151,7 +151,8 @@ def drop_repeated_lines(
     """
     spark = docs.sparkSession
     doc = F.col(f"`{id_col}`").cast("long")
-    cuts = docs.select(doc.alias("doc")).approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)
+    shares = [i / batches for i in range(1, batches)]
+    cuts = docs.select(doc.alias("doc")).approxQuantile("doc", shares, 0.01) if shares else []
     number: Column = F.lit(0)
     for cut in cuts:
         number = number + F.when(F.col("doc") > cut, 1).otherwise(0)
