@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidewell.operators import ledger, merge
+from tidewell.sources.layers import scan_layer
 
 PRODUCTS = "batch_id string, product_id long, brand string"
 FAILURES = (PySparkException, Py4JJavaError)
@@ -80,6 +81,11 @@ def test_composite_and_null_keys(spark, store):
     assert sorted(rows(store.table().select("product_id", "brand"))) == [(1, "A"), (1, "B")]
     keyed, rejected = merge.split_null_keys(df, ["product_id", "brand"])
     assert keyed.count() == 2 and rejected.count() == 2
+    # The rows no merge can place are kept, and every row read is accounted for.
+    kept = scan_layer(spark, store.root, merge.UNKEYED, "postgres", "products", df.schema)
+    assert sorted(rows(kept.select(*df.columns)), key=repr) == sorted(rows(rejected), key=repr)
+    run = ledger.run_state(store.events()).first()
+    assert (run.records_extracted, run.records_loaded, run.records_ignored, run.records_rejected) == (4, 2, 0, 2)
 
 
 def test_latest_wins(spark, store):
@@ -109,6 +115,48 @@ def test_failure_is_recorded_and_raised(spark, store, products):
     assert sorted(s[1] for s in store.state()) == ["failed", "success"]
 
 
+def test_a_long_error_is_stored_whole(spark, store, products, monkeypatch):
+    text = "x" * 5000 + " the cause"
+
+    def broken(*args):
+        raise ValueError(text)
+
+    monkeypatch.setattr(merge, "first_per_key", broken)
+    with pytest.raises(ValueError):
+        store.load(products)
+    assert rows(ledger.run_state(store.events()).select("error_message")) == [(text,)]
+
+
+def test_a_failure_after_the_commit_is_no_failed_load(spark, store, products, monkeypatch):
+    def broken(*args):
+        raise OSError("marks are away")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "write_mark", broken)
+        with pytest.raises(OSError):
+            store.load(products)
+    assert [s[:2] for s in store.state()] == [("b_1", "success")]
+    assert store.table().count() == 3
+    assert store.load(products) is None
+
+
+def test_a_load_that_is_overtaken_inserts_no_key_twice(spark, store, products, monkeypatch):
+    counts, overtaking = merge._counts, []
+
+    def overtaken(*args):
+        if not overtaking:
+            overtaking.append(True)
+            store.load(spark.createDataFrame([("b_0", 1, "first come"), ("b_0", 7, "Seven")], PRODUCTS))
+        return counts(*args)
+
+    monkeypatch.setattr(merge, "_counts", overtaken)
+    store.load(products)
+    got = rows(store.table().select("product_id", "brand"), "product_id")
+    assert [r[0] for r in got] == sorted({r[0] for r in got})
+    assert got[0] == (1, "first come")
+    assert len(got) == 4
+
+
 def test_crash_before_commit_leaves_nothing_visible(spark, store, products, monkeypatch):
     store.load(products)
 
@@ -152,7 +200,7 @@ def test_committed_loads_prune_folders(spark, store, products):
 
 
 def test_a_hot_batch_is_not_shuffled_by_its_id(spark, store, monkeypatch):
-    """The pending rows meet the batch list by broadcast, then shuffle by key alone."""
+    """The pending rows are ranked as they are read: no join and no shuffle by batch."""
     plans, ranked = [], merge.first_per_key
     monkeypatch.setattr(
         merge, "first_per_key", lambda df, *a: plans.append(plan(df)) or ranked(df, *a)
@@ -162,7 +210,7 @@ def test_a_hot_batch_is_not_shuffled_by_its_id(spark, store, monkeypatch):
         (F.col("id") % 7_000).alias("product_id"), F.col("id").cast("string").alias("brand"),
     )
     store.load(hot)
-    assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
+    assert "Join" not in plans[0] and "Exchange" not in plans[0]
     want = merge.first_per_key(hot, ["product_id"], [F.col("batch_id"), F.col("brand")])
     got = store.table().select(*hot.columns)
     assert got.count() == 7_000

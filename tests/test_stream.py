@@ -29,8 +29,14 @@ def test_only_new_files_are_processed(spark, tmp_path):
     assert sorted(os.listdir(out)) == folders
     land(spark.createDataFrame([(2, "x")], SCHEMA), root, "postgres", "products", "b_2")
     run()
-    got = spark.read.parquet(out).select("product_id", "batch_id", "micro_batch")
-    assert rows(got, "product_id") == [(1, "b_1", 0), (2, "b_2", 1)]
+    got = spark.read.parquet(out).select("product_id", "batch_id")
+    assert rows(got, "product_id") == [(1, "b_1"), (2, "b_2")]
+    # A lost checkpoint replays every batch into its own folder.
+    check = f"{tmp_path}/check2"
+    land(spark.createDataFrame([(3, "y")], SCHEMA), root, "postgres", "products", "b_3")
+    run()
+    got = spark.read.parquet(out).select("product_id", "batch_id")
+    assert rows(got, "product_id") == [(1, "b_1"), (2, "b_2"), (3, "b_3")]
 
 
 def test_stream_merge_is_idempotent(spark, tmp_path):
@@ -56,10 +62,25 @@ def test_stream_merge_is_idempotent(spark, tmp_path):
     run()
     assert table() == [(1, "a"), (2, "c"), (3, "d")]
     run()
-    # A lost checkpoint replays from batch 0, whose success row stops it.
+    # A lost checkpoint replays all batches; the ledger lets only the new one through.
+    land(spark.createDataFrame([(1, "q"), (4, "e")], SCHEMA), root, "postgres", "products", "b_10", layer="processed")
     run("other")
-    assert table() == [(1, "a"), (2, "c"), (3, "d")]
+    assert table() == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
     done = ledger.successes(ledger.read_runs(spark, runs))
     assert rows(done.select("watermark_value", "records_loaded"), F.col("watermark_value")) == [
-        ("stream_0", 2), ("stream_1", 1),
+        ("b_1", 2), ("b_10", 1), ("b_2", 1),
     ]
+
+
+def test_batches_of_one_trigger_load_in_their_order(spark, tmp_path):
+    root, runs = str(tmp_path), f"{tmp_path}/runs"
+    source = table_path(root, "processed", "postgres", "products")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for batch, brand in (("20260101_000000_10", "apple-second"), ("20260101_000000_9", "zebra-first")):
+        land(spark.createDataFrame([(1, brand)], SCHEMA), root, "postgres", "products", batch, layer="processed")
+    incremental.stream_merge(
+        spark, source, root, f"{root}/check", schema, "products", "postgres", ["product_id"], runs
+    ).awaitTermination()
+    tagged = spark.createDataFrame([], SCHEMA + ", batch_id string").schema
+    table = merge.read_table(spark, root, "products", ledger.read_runs(spark, runs), tagged)
+    assert rows(table.select("brand")) == [("zebra-first",)]

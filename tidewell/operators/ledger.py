@@ -20,7 +20,7 @@ _TEXT, _LONG, _TIME = T.StringType(), T.LongType(), T.TimestampType()
 RUN_EVENTS = struct(
     run_id=_TEXT, load_id=_TEXT, pipeline_name=_TEXT, source_name=_TEXT,
     event_seq=T.IntegerType(), event_time=_TIME, status=_TEXT, records_extracted=_LONG,
-    records_loaded=_LONG, records_ignored=_LONG, error_message=_TEXT, watermark_value=_TEXT,
+    records_loaded=_LONG, records_ignored=_LONG, records_rejected=_LONG, error_message=_TEXT, watermark_value=_TEXT,
 )
 
 MARKS = struct(
@@ -84,18 +84,25 @@ def _finish(started: DataFrame, status: Column, **values: Column) -> DataFrame:
     return started.withColumns(replaced)
 
 
-def mark_success(spark: SparkSession, path: str, load_id: str, counts: DataFrame) -> None:
+def mark_success(
+    spark: SparkSession, path: str, load_id: str, counts: DataFrame, folder: str | None = None
+) -> None:
     """A ``success`` row per started batch of the load.
 
-    ``counts`` holds ``batch_id, records_extracted, records_loaded``: rows read and rows
-    inserted are different numbers, and the rest was ignored as already present.
+    ``counts`` holds ``batch_id, records_extracted, records_loaded, records_rejected``. Rows
+    read that were neither loaded nor rejected were ignored as already present. ``folder`` is
+    the load id the rows were stored under, if it is another one.
     """
-    started = _started(spark, path, load_id).drop("records_extracted", "records_loaded")
+    numbers = ["records_extracted", "records_loaded", "records_rejected"]
+    started = _started(spark, path, load_id).drop(*numbers)
+    given = counts if "records_rejected" in counts.columns else counts.withColumn("records_rejected", F.lit(0))
     rows = started.join(
-        counts.withColumnRenamed("batch_id", "watermark_value"), "watermark_value", "left"
-    ).fillna(0, ["records_extracted", "records_loaded"])
-    ignored = F.col("records_extracted") - F.col("records_loaded")
-    append_runs(_finish(rows, F.lit("success"), records_ignored=ignored), path)
+        given.withColumnRenamed("batch_id", "watermark_value"), "watermark_value", "left"
+    ).fillna(0, numbers)
+    ignored = F.col("records_extracted") - F.col("records_loaded") - F.col("records_rejected")
+    append_runs(
+        _finish(rows, F.lit("success"), records_ignored=ignored, load_id=F.lit(folder or load_id)), path
+    )
 
 
 def mark_fail(spark: SparkSession, path: str, load_id: str, error: str) -> None:

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
-from tidewell.session import broadcast_counted, read_or_empty
+from tidewell.session import read_or_empty
+from tidewell.sources.layers import land
 
 
 def first_per_key(df: DataFrame, pk: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -125,8 +127,11 @@ def load_batches(
     ``mode='first'`` inserts keys the table lacks: the earliest batch wins, then
     ``order_by``. ``mode='latest'`` appends the newest version of each key, first by
     ``order_by``, then the latest batch; read it through ``merge_latest_wins``. Returns
-    the load id, or ``None`` when nothing was pending. On error the run is marked failed
-    and the error raised again.
+    the load id, or ``None`` when nothing was pending. On error before the commit the run is
+    marked failed and the error raised again.
+
+    Rows with a null key part go to the ``unkeyed`` layer and are counted as rejected. A load
+    that others overtake takes their keys out and writes again before it commits.
     """
     load_id = uuid.uuid4().hex
     runs = ledger.read_runs(spark, ledger_path)
@@ -135,61 +140,92 @@ def load_batches(
         pending = ledger.pending_ids(batches, runs, table, source)
     if not pending:
         return None
-    # The list is short and counted, so it is broadcast, however unevenly the batches are filled.
-    started = spark.createDataFrame(
-        list(enumerate(pending)), "_batch_no long, batch_id string"
-    )
-    ledger.start_run(started.select("batch_id"), ledger_path, load_id, table, source)
+    started = spark.createDataFrame([(b,) for b in pending], "batch_id string")
+    ledger.start_run(started, ledger_path, load_id, table, source)
+    staging = f"{root.rstrip('/')}/staging/{table}/{load_id}"
     try:
         schema = processed.schema
-        rows = processed.filter(F.col("batch_id").isin(list(pending))).join(
-            broadcast_counted(started, len(pending)), "batch_id"
-        )
-        counts = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_extracted"))
-        keyed, _ = split_null_keys(rows, pk)
+        rows = processed.filter(F.col("batch_id").isin(list(pending)))
+        keyed, unkeyed = split_null_keys(rows, pk)
+        counts = _counts(rows, pk)
+        if any(c.records_rejected for c in counts):
+            land(unkeyed.select(*schema.names), root, source, table, layer=UNKEYED)
+        number = batch_order(F.col("batch_id"))
         if mode == "first":
-            order = [F.col("_batch_no"), *order_by]
+            order = [*number, *order_by]
         else:
-            order = [*order_by, F.col("_batch_no").desc()]
+            order = [*order_by, *[c.desc() for c in number]]
         # The staging table cuts the lineage and gives the planner the batch's true size,
         # so a small batch is broadcast against the target instead of shuffling the target.
-        staging = f"{root.rstrip('/')}/staging/{table}/{load_id}"
         candidates = first_per_key(keyed, pk, row_order(processed, pk, *order))
         candidates.select(*schema.names).write.parquet(staging)
         staged = inserted = spark.read.schema(schema).parquet(staging)
-        if mode == "first" and committed_loads(runs, table):
-            target = read_table(spark, root, table, runs, schema)
-            known = (
-                _within_range(target, staged, pk[0])
-                .select(*pk)
-                .join(staged.select(*pk), list(pk), "left_semi")
-            )
-            inserted = staged.join(known, list(pk), "left_anti")
-        path = warehouse_path(root, table)
-        (
-            inserted.select(*schema.names)
-            .withColumn("load_id", F.lit(load_id))
-            .write.mode("append")
-            .partitionBy("load_id")
-            .parquet(path)
+        seen: set[str] = set()
+        # Loads that others commit meanwhile are taken out before this one commits.
+        attempt, folder = 0, load_id
+        while True:
+            loads = set(committed_loads(runs, table))
+            if mode == "first" and loads - seen:
+                target = _read_loads(spark, root, table, loads - seen, schema)
+                known = (
+                    _within_range(target, staged, pk[0])
+                    .select(*pk)
+                    .join(staged.select(*pk), list(pk), "left_semi")
+                )
+                inserted = inserted.join(known, list(pk), "left_anti")
+            # A folder of its own: loads of one table that run side by side share no commit.
+            path = f"{warehouse_path(root, table)}/load_id={folder}"
+            inserted.select(*schema.names).write.mode("errorifexists").parquet(path)
+            inserted = spark.read.schema(schema).parquet(path)
+            seen |= loads
+            runs = ledger.read_runs(spark, ledger_path)
+            if mode != "first" or not set(committed_loads(runs, table)) - seen:
+                break
+            attempt += 1
+            folder = f"{load_id}_{attempt}"
+        written = inserted.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_loaded"))
+        counted = spark.createDataFrame(
+            [tuple(c) for c in counts], "batch_id string, records_extracted long, records_rejected long"
         )
-        written = (
-            read_or_empty(spark, path, _with_load_id(schema))
-            .filter(F.col("load_id") == load_id)
-            .groupBy("batch_id")
-            .agg(F.count(F.lit(1)).alias("records_loaded"))
+        ledger.mark_success(
+            spark, ledger_path, load_id, counted.join(written, "batch_id", "left"), folder
         )
-        ledger.mark_success(spark, ledger_path, load_id, counts.join(written, "batch_id", "left"))
-        if marks_path:
-            ledger.write_mark(spark, marks_path, table, source, "batch_id", pending[-1])
-        # Staging is cleared the way a table is truncated.
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(staging)
     except Exception as error:
-        ledger.mark_fail(spark, ledger_path, load_id, str(error)[:2000])
+        ledger.mark_fail(spark, ledger_path, load_id, str(error))
         raise
+    # The load is committed: what fails from here on raises, but it is no failed load.
+    if marks_path:
+        ledger.write_mark(spark, marks_path, table, source, "batch_id", pending[-1])
+    _remove(spark, staging)
     return load_id
 
 
+# The layer that keeps rows no merge can place, because part of their key is null.
+UNKEYED = "unkeyed"
+
+
+def _counts(rows: DataFrame, pk: Sequence[str]) -> list:
+    """Rows read and rows without a whole key, per pending batch."""
+    null_part = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
+    return rows.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("records_extracted"),
+        F.count(F.when(null_part, 1)).alias("records_rejected"),
+    ).collect()
+
+
+def _read_loads(
+    spark: SparkSession, root: str, table: str, loads: set[str], schema: T.StructType
+) -> DataFrame:
+    rows = read_or_empty(spark, warehouse_path(root, table), _with_load_id(schema))
+    return rows.filter(F.col("load_id").isin(sorted(loads)))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def snapshot(df: DataFrame, path: str) -> str:
     """Write a compacted copy of a table view to a new folder."""
     df.hint("rebalance").write.mode("errorifexists").parquet(path)

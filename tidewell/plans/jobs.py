@@ -169,16 +169,26 @@ def warehouse_table(
 
 
 # Tables whose declared key is coarser than an event: the merge keeps one event per key, and
-# the shipment columns of the first version. Their facts come from the processed layer instead.
+# the shipment columns of the first version. Their facts come from the processed layer instead, of committed batches.
 FROM_PROCESSED = ("customer_sessions", "shipments")
 
 
+def _committed(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+    """The processed rows of the batches that a load has committed."""
+    rows = scan_layer(spark, root, "processed", dataset.source, dataset.name)
+    done = ledger.successes(ledger.read_runs(spark, runs_path(root))).filter(
+        (F.col("pipeline_name") == dataset.name) & (F.col("source_name") == dataset.source)
+    )
+    done = done.select(F.col("watermark_value").alias("batch_id"))
+    return rows.join(done, "batch_id", "left_semi").select(*rows.columns)
+
+
 def star(spark: SparkSession, root: str, mode: str = "first") -> dict[str, DataFrame]:
     """The star schema over the loaded warehouse, with every event and the latest shipments."""
     tables = {}
     for d in DATASETS:
         if d.name in FROM_PROCESSED:
-            tables[d.name] = scan_layer(spark, root, "processed", d.source, d.name)
+            tables[d.name] = _committed(spark, root, d)
         else:
             tables[d.name] = warehouse_table(spark, root, d.name, mode)
     tables["shipment_events"] = tables["shipments"]

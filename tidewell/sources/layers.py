@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,14 +53,21 @@ def write_processed(df: DataFrame, root: str, source: str, table: str) -> str:
 
 
 def batch_ids(spark: SparkSession, root: str, layer: str, source: str, table: str) -> DataFrame:
-    """The batch ids of a table, from the file listing alone."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(table_path(root, layer, source, table))
-        .select(F.col("batch_id").cast("string"))
-        .distinct()
-    )
+    """The batch ids of a table, from the file listing alone; none where nothing was landed."""
+    none = spark.createDataFrame([], "batch_id string")
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .load(table_path(root, layer, source, table))
+        )
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return none
+        raise
+    if "batch_id" not in files.columns:
+        return none
+    return files.select(F.col("batch_id").cast("string")).distinct()
 
 
 def scan_layer(

@@ -1,4 +1,4 @@
-"""New raw files picked up by Structured Streaming, each exactly once per checkpoint."""
+"""New batches picked up by Structured Streaming, each exactly once."""
 
 from __future__ import annotations
 
@@ -9,13 +9,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewell.operators import ledger
 from tidewell.operators.merge import load_batches
 
 
 def _source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if "batch_id" not in schema.names:
-        schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+    return spark.readStream.schema(_tagged(schema)).option("pathGlobFilter", "*.parquet").parquet(path)
+
+
+def _tagged(schema: T.StructType) -> T.StructType:
+    if "batch_id" in schema.names:
+        return schema
+    return T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
+
+
+def _landed(batch: DataFrame, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame] | None:
+    """The ids of the landed batches a trigger brought, and all rows of their folders.
+
+    Whole folders, as a trigger may have seen only some of a batch's files.
+    """
+    ids = batch.select("batch_id").distinct()
+    names = [r.batch_id for r in ids.collect()]  # the batches of one trigger
+    if not names:
+        return None
+    folders = [f"{path.rstrip('/')}/batch_id={n}" for n in names]
+    rows = batch.sparkSession.read.schema(_tagged(schema)).option("basePath", path).parquet(*folders)
+    return batch.sparkSession.createDataFrame([(n,) for n in names], "batch_id string"), rows
 
 
 def stream_processed(
@@ -26,16 +45,18 @@ def stream_processed(
     schema: T.StructType,
     transform: Callable[[DataFrame], DataFrame],
 ) -> StreamingQuery:
-    """Clean the files that arrived since the last run, then stop.
+    """Clean the batches that arrived since the last run, then stop.
 
-    Each micro-batch owns the folder ``micro_batch=<n>`` and overwrites it whole, so a replay
-    after a crash writes the same rows to the same place.
+    Every landed batch keeps its ``batch_id`` and owns the folder of that name, which a replay
+    overwrites whole. So neither a crash nor a lost checkpoint repeats a row.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        transform(batch).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(f"{out.rstrip('/')}/micro_batch={number}")
+        found = _landed(batch, raw, schema)
+        if found:
+            transform(found[1]).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("batch_id").parquet(out)
 
     return (
         _source(spark, raw, schema)
@@ -59,18 +80,22 @@ def stream_merge(
     order_by: Sequence[Column] = (),
     mode: str = "first",
 ) -> StreamingQuery:
-    """Merge newly processed files into a warehouse table, one load per micro-batch.
+    """Merge newly processed batches into a warehouse table, one load per trigger.
 
-    The micro-batch number is the batch id, so a replayed micro-batch finds its own
-    success row in the ledger and loads nothing.
+    Landed batches keep their ids: the ledger says which of them are loaded, whatever the
+    checkpoint says, and their order decides between versions.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        tagged = batch.withColumn("batch_id", F.lit(f"stream_{number}"))
-        load_batches(
-            batch.sparkSession, tagged, root, table, source, pk, ledger_path,
-            mode=mode, order_by=order_by,
-        )
+        found = _landed(batch, processed, schema)
+        if found:
+            ids, rows = found
+            session = batch.sparkSession
+            pending = ledger.pending_ids(ids, ledger.read_runs(session, ledger_path), table, source)
+            load_batches(
+                session, rows, root, table, source, pk, ledger_path,
+                mode=mode, order_by=order_by, pending=pending,
+            )
 
     return (
         _source(spark, processed, schema)
