@@ -1,10 +1,7 @@
-import re
-
 import pytest
-from conftest import plan, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
-from tidewell import session
 from tidewell.operators import nested
 
 
@@ -35,27 +32,26 @@ def test_nest_is_the_inverse_of_explode(spark):
     assert sorted(rows(back)) == sorted(rows(df))
 
 
-def test_a_hot_key_is_split_and_nothing_is_lost(spark):
+def test_parts_follow_the_content_and_nothing_is_lost(spark):
     hot = spark.range(9000).select(F.lit("hot").alias("k"), (F.col("id") % 4000).alias("v"))
     cold = spark.range(900).select(F.concat(F.lit("k"), F.col("id") % 300).alias("k"), F.col("id").alias("v"))
     df = hot.unionByName(cold)
-    docs = nested.nest_events(df, ["k"], ["v"], max_items=1000)
-    text = plan(docs)
-    assert "BroadcastHashJoin" in text and re.search(r"Exchange hashpartitioning\(k#\d+, part#", text)
-    sizes = docs.select("k", F.size("events").alias("n")).collect()
-    hot_sizes = [r.n for r in sizes if r.k == "hot"]
-    assert len(hot_sizes) == 9 and sum(hot_sizes) == 9000
-    assert max(hot_sizes) < 2000
-    assert all(r.n == 3 for r in sizes if r.k != "hot")
+    docs = nested.nest_events(df, ["k"], ["v"], part=F.col("v") % 10)
+    sizes = [r.n for r in docs.filter("k = 'hot'").select(F.size("events").alias("n")).collect()]
+    assert len(sizes) == 10 and sum(sizes) == 9000 and max(sizes) == 900
     back = nested.expand_event(nested.explode_events(docs.drop("part")))
     assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_many_hot_keys_join_by_shuffle(spark, monkeypatch, limit):
-    monkeypatch.setattr(session, "MAX_BROADCAST_ROWS", limit)
-    df = spark.range(6000).select((F.col("id") % 6).alias("k"), F.col("id").alias("v"))
-    docs = nested.nest_events(df, ["k"], ["v"], max_items=300)
-    assert max(r.n for r in docs.select(F.size("events").alias("n")).collect()) < 700
-    back = nested.expand_event(nested.explode_events(docs.drop("part")))
-    assert back.exceptAll(df).isEmpty() and back.count() == 6000
+@pytest.mark.parametrize("files", [1, 7])
+def test_documents_do_not_depend_on_the_files_of_copies(spark, files):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)] * 10, "k string, v long")
+    docs = nested.nest_events(df.repartition(files), ["k"], ["v"], part=F.col("v") % 3)
+    got = rows(docs.select("k", "part", "events.v"), "k", "part")
+    assert got == [("a", 1, [1] * 20), ("a", 2, [2] * 10), ("b", 1, [1] * 10)]
+
+
+def test_no_job_runs_while_documents_are_planned(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v long")
+    poisoned = df.withColumn("v", F.raise_error(F.lit("read too early")).cast("long"))
+    assert nested.nest_events(poisoned, ["k"], ["v"]).columns == ["k", "part", "events"]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.clean import maps_to_json
-from tidewell.session import broadcast_counted
 
 
 def _leaves(schema: T.StructType, path: str, name: str, sep: str) -> list[Column]:
@@ -51,33 +50,16 @@ def nest_events(
     keys: Sequence[str],
     cols: Sequence[str],
     name: str = "events",
-    max_items: int = 100_000,
-    part: str = "part",
+    part: Column | None = None,
+    part_name: str = "part",
 ) -> DataFrame:
-    """Rows back to documents: one array of structs per key, sorted by ``cols``.
+    """Rows back to documents: one array of structs per key and ``part``, sorted by ``cols``.
 
-    A key with more than ``max_items`` rows is split into several documents, numbered in
-    ``part``, so that no task and no row ever holds an unbounded group. The split
-    follows the row's content and its input partition, so a retried task assigns the
-    same parts.
+    ``part`` is for keys that may hold a large share of the rows: an expression over a row's
+    content, such as a time slot and a hash bucket. It always applies, so the documents depend
+    neither on the number of rows nor on how they lie in files, and copies of a row share a
+    document. Without it a key is one document.
     """
     item = F.sort_array(F.collect_list(F.struct(*cols))).alias(name)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_items)
-        .select(*keys, F.ceil(F.col("_n") / max_items).cast("long").alias("_parts"))
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        # The usual case: no key needs splitting, and no join is paid for.
-        return df.groupBy(*keys).agg(item).withColumn(part, F.lit(0).cast("long"))
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.col("_parts"))
-    return (
-        df.join(broadcast_counted(hot, n_hot), list(keys), "left")
-        .withColumn(part, F.coalesce(salt, F.lit(0).cast("long")))
-        # By key and part, so the parts of a hot key are collected by different tasks.
-        .repartition(*keys, part)
-        .groupBy(*keys, part)
-        .agg(item)
-    )
+    number = (F.lit(0) if part is None else part).cast("long")
+    return df.withColumn(part_name, number).groupBy(*keys, part_name).agg(item)

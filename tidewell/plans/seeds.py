@@ -19,8 +19,7 @@ from tidewell.operators.nested import nest_events
 # Names the seeds choose from by position.
 PAYMENT_METHODS = ("card", "bank_transfer", "ussd", "wallet")
 BROWSERS = ("Chrome", "Safari", "Edge", "Firefox")
-DEVICE_TYPES = ("mobile", "desktop", "mobile", "tablet")
-DEVICE_SYSTEMS = ("Android", "Windows", "iOS", "Android")
+DEVICES = (("phone", "Android"), ("laptop", "Linux"), ("tablet", "iPadOS"))
 SERVICE_LEVELS = ("standard", "premium", "regional")
 EVENT_TYPES = {
     "view": "product_view",
@@ -85,6 +84,7 @@ def iso(col: Column) -> Column:
 def seed_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     city = F.initcap("n_name")
+    joined = F.col("c_nationkey") * 31 + k % 300
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -93,47 +93,50 @@ def seed_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
             F.split("c_name", "#")[0].alias("first_name"),
             F.split("c_name", "#")[1].alias("last_name"),
             F.concat(
-                F.lit("customer"), _pad(F.when(k % 100 == 88, k - 1).otherwise(k), 9),
-                F.lit("@example.com"),
+                F.lit("buyer."), _pad(F.when(k % 64 == 63, k - 1).otherwise(k), 9), F.lit("@mail.test")
             ).alias("email"),
-            F.when(k % 41 != 15, F.concat(F.lit("+"), _pad(k * 371, 12))).alias("phone"),
-            F.when(k % 71 == 23, F.lower(city)).otherwise(city).alias("city"),
+            # A balance in debt hides the phone; one segment writes its cities in lower case.
+            F.when(
+                F.col("c_acctbal") >= 0,
+                F.concat(F.lit("00"), _pad(F.col("c_nationkey"), 2), _pad(k, 9)),
+            ).alias("phone"),
+            F.when(F.col("c_mktsegment") == "FURNITURE", F.lower(city)).otherwise(city).alias("city"),
             F.col("r_name").alias("state"),
-            F.lit("NG").alias("country"),
-            _days("1995-01-01 08:00:00", k % 365).alias("created_at"),
-            _days("1995-01-01 08:00:00", k % 365 + k % 7).alias("updated_at"),
+            F.col("n_name").alias("country"),
+            _days("1992-01-01 00:00:00", joined).alias("created_at"),
+            _days("1992-01-01 00:00:00", joined + F.floor(F.abs("c_acctbal")) % 90).alias("updated_at"),
         )
     )
 
 
 def seed_products(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
+    size = F.col("p_size")
     price = _money(F.col("p_retailprice"))
     return part.select(
-        k.alias("product_id"),
+        F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.when(k % 35 != 7, F.col("p_brand")).alias("brand"),
+        F.when(size % 12 != 5, F.col("p_brand")).alias("brand"),
         price.alias("unit_price"),
-        _money(price - F.lit(250).cast("decimal(12,2)")).alias("cost_price"),
-        F.col("p_size").cast("long").alias("stock_quantity"),
-        _days("1995-01-01 00:00:00", k % 365).alias("created_at"),
-        _days("1995-02-01 00:00:00", k % 20).alias("updated_at"),
+        _money(price - _money(size * 10)).alias("cost_price"),
+        size.cast("long").alias("stock_quantity"),
+        _days("1994-03-01 00:00:00", size * 9).alias("created_at"),
+        _days("1994-03-01 00:00:00", size * 9 + F.floor("p_retailprice") % 40).alias("updated_at"),
     )
 
 
 def seed_orders(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
+    urgency = F.substring("o_orderpriority", 1, 1).cast("int")
     base = orders.select(
-        k.alias("order_id"),
+        F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         _map(ORDER_STATUS, F.col("o_orderstatus")).alias("order_status"),
         F.col("o_orderdate").alias("order_date"),
-        F.lit("NGN").alias("currency"),
-        _money(15 + (k % 4) * 5).alias("shipping_fee"),
-        _money(F.when(k % 9 == 0, 20).otherwise(0)).alias("discount_amount"),
+        F.lit("USD").alias("currency"),
+        _money(30 - urgency * 4).alias("shipping_fee"),
+        _money(F.when(F.col("o_totalprice") > 200_000, 75).otherwise(0)).alias("discount_amount"),
         _money(F.col("o_totalprice")).alias("total_amount"),
-        _hours(F.col("o_orderdate"), k % 11 + 1).alias("updated_at"),
+        _hours(F.col("o_orderdate"), F.floor("o_totalprice") % 72).alias("updated_at"),
     )
     off = _money(F.when(F.col("order_id") % 1000 == 333, 1).otherwise(0))
     subtotal = F.col("total_amount") - F.col("shipping_fee") + F.col("discount_amount") + off
@@ -173,33 +176,31 @@ def seed_order_lines(orders: DataFrame) -> DataFrame:
         (F.col("order_id") * 2 + F.col("item_no")).alias("order_item_id"),
         "order_id",
         F.col("item_no").cast("long").alias("item_no"),
-        ((F.col("order_id") + F.col("item_no")) % 3 + 1).alias("quantity"),
+        (F.col("order_id") % 5 + F.col("item_no")).alias("quantity"),
     )
 
 
 def seed_payments(orders: DataFrame) -> DataFrame:
-    """One payment per order; id n pays order n."""
-    ids = orders.select(F.col("o_orderkey").alias("payment_id"))
-    paid = seed_orders(orders)
-    k = F.col("payment_id")
+    """One payment per order, with the order's id. What goes wrong follows the whole amount."""
+    k, whole = F.col("order_id"), F.floor("total_amount")
     status = (
-        F.when(k % 17 == 0, "failed")
+        F.when(whole % 16 == 3, "failed")
         .when(F.col("order_status") == "delivered", "successful")
         .when(F.col("order_status") == "processing", "pending")
         .otherwise("refunded")
     )
-    off = F.when(k % 100 == 18, 750).when(k % 100 == 57, -500).otherwise(0)
-    return ids.join(paid, F.col("order_id") == k).select(
-        "payment_id",
+    off = F.when(whole % 128 == 1, 60).when(whole % 128 == 2, -40).otherwise(0)
+    return seed_orders(orders).select(
+        k.alias("payment_id"),
         "order_id",
-        _pick(PAYMENT_METHODS, k).alias("payment_method"),
+        _pick(PAYMENT_METHODS, whole).alias("payment_method"),
         status.alias("payment_status"),
         _money(F.col("total_amount") + _money(off)).alias("amount"),
-        F.concat(F.lit("TXN-"), _pad(F.when(k % 500 == 499, k - 1).otherwise(k), 12)).alias(
+        F.concat(F.lit("ref/"), _pad(F.when(k % 256 == 255, k - 1).otherwise(k), 10)).alias(
             "transaction_reference"
         ),
-        F.when(k % 13 != 0, _hours(F.col("order_date"), k % 6)).alias("paid_at"),
-        _hours(F.col("updated_at"), k % 5).alias("updated_at"),
+        F.when(status != "failed", _hours(F.col("order_date"), whole % 30)).alias("paid_at"),
+        _hours(F.col("updated_at"), whole % 48).alias("updated_at"),
     )
 
 
@@ -207,11 +208,12 @@ def _event_rows(events: DataFrame) -> DataFrame:
     k, user = F.col("event_id"), F.col("user_id")
     kind = _map(EVENT_TYPES, F.col("event_type"))
     product = F.get_json_object("props", "$.k").cast("long")
-    product = F.when(k % 997 == 5, F.lit(UNKNOWN_PRODUCT)).otherwise(product)
-    return events.select(
+    product = F.when(k % 1009 == 500, F.lit(UNKNOWN_PRODUCT)).otherwise(product)
+    rows = events.select(
         user.alias("user_id"),
         F.date_format("ts", "yyyyMMdd").alias("day"),
-        F.when(k % 997 == 44, F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
+        F.floor(F.hour("ts") / 6).alias("slot"),
+        F.when(k % 1009 == 10, F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
         .otherwise(iso(F.col("ts"))).alias("event_time"),
         kind.alias("event_type"),
         F.when(kind != "checkout_started", product).alias("product_id"),
@@ -221,6 +223,13 @@ def _event_rows(events: DataFrame) -> DataFrame:
         F.when(~kind.isin("checkout_started", "product_view"), k % 3 + 1).alias("quantity"),
         F.concat(F.lit("/products/"), product.cast("string")).alias("page_url"),
     )
+    return rows.withColumn("part", F.col("slot") * 4 + _bucket("event_time", "event_type", "page_url"))
+
+
+def _bucket(*cols: str) -> Column:
+    """0 to 3 by the content of the columns, so that copies stay together."""
+    digit = F.substring(F.md5(F.concat_ws("|", *cols).cast("binary")), 1, 1)
+    return (F.instr(F.lit("0123456789abcdef"), digit) - 1) % 4
 
 
 EVENT_FIELDS = ["event_time", "event_type", "product_id", "search_term", "quantity", "page_url"]
@@ -232,27 +241,31 @@ def _session_columns(part: Column) -> dict[str, Column]:
     return {
         "_id": F.concat(day, _pad(user, 12), _pad(part, 4)),
         "session_id": F.concat_ws("_", F.lit("sess"), user.cast("string"), day),
-        "customer_id": F.when(user % 133 != 9, user),
-        "started_at": F.when(user % 78 == 11, F.lit("04-15-2025 12:00:00")).otherwise(iso(at)),
+        "customer_id": F.when(user % 120 != 2, user),
+        "started_at": F.when(user % 90 == 4, F.lit("15.04.2025 noon")).otherwise(iso(at)),
         "ended_at": iso(_hours(at, F.lit(23))),
         "browser": _pick(BROWSERS, user),
         "location": F.struct(
             F.concat(F.lit("City "), (user % 6).cast("string")).alias("city"),
             F.concat(F.lit("State "), (user % 3).cast("string")).alias("state"),
-            F.lit("NG").alias("country"),
+            F.lit("FR").alias("country"),
         ),
         "device": F.when(
-            user % 52 != 3,
+            user % 45 != 6,
             F.struct(
-                _pick(DEVICE_TYPES, user).alias("type"), _pick(DEVICE_SYSTEMS, user).alias("os")
+                _pick(tuple(d[0] for d in DEVICES), user).alias("type"),
+                _pick(tuple(d[1] for d in DEVICES), user).alias("os"),
             ),
         ),
     }
 
 
-def seed_sessions(events: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """One document per user and day, with its events as an array sorted by time."""
-    docs = nest_events(_event_rows(events), ["user_id", "day"], EVENT_FIELDS, max_items=max_items)
+def seed_sessions(events: DataFrame) -> DataFrame:
+    """Documents per user and day, with their events as an array sorted by time.
+
+    A day comes in parts, one per six hours and content bucket, whatever the number of events.
+    """
+    docs = nest_events(_event_rows(events), ["user_id", "day"], EVENT_FIELDS, part=F.col("part"))
     cols = _session_columns(F.col("part"))
     return docs.select(*[c.alias(n) for n, c in cols.items()], "events")
 
@@ -275,19 +288,19 @@ def seed_reviews(documents: DataFrame, labels: DataFrame) -> DataFrame:
     k, n = F.col("doc_id"), F.col("n_chars")
     joined = documents.join(labels.select("doc_id", "quality"), "doc_id", "left")
     padded = F.concat(F.lit("\u00a0 "), F.col("text"), F.lit("\n\u3000"))
-    rating = F.when(k % 170 == 17, 6).when(k % 170 == 109, 0).otherwise(n % 5 + 1)
+    rating = F.when(n % 97 == 4, 6).when(n % 97 == 8, 0).otherwise(n % 5 + 1)
     return joined.select(
         _pad(F.lower(F.hex("doc_id")), 24).alias("_id"),
         F.concat(F.lit("rev_"), _pad(k, 9)).alias("review_id"),
-        F.when(k % 88 == 87, F.lit(UNKNOWN_PRODUCT)).otherwise(k % 200).alias("product_id"),
-        (k % 150).alias("customer_id"),
+        F.when(n % 83 == 5, F.lit(UNKNOWN_PRODUCT)).otherwise(n % 200).alias("product_id"),
+        (n % 150).alias("customer_id"),
         rating.cast("long").alias("rating"),
         F.when(k % 61 != 33, F.concat(F.lit("  Review "), k.cast("string"), F.lit("\t"))).alias("title"),
-        F.when(k % 34 != 0, F.when(k % 3 == 0, padded).otherwise(F.col("text"))).alias("review_text"),
+        F.when(n % 29 != 0, F.when(k % 3 == 0, padded).otherwise(F.col("text"))).alias("review_text"),
         (F.col("quality") == 1).alias("verified_purchase"),
-        F.when(k % 66 == 65, F.lit("2025.05.06 14:30:00"))
-        .otherwise(iso(_days("2025-04-01 10:00:00", k % 60))).alias("created_at"),
-        (n % 31).alias("helpful_votes"),
+        F.when(k % 50 == 21, F.lit("6 May, half past two"))
+        .otherwise(iso(_days("2024-06-01 09:00:00", n % 90))).alias("created_at"),
+        (n % 37).alias("helpful_votes"),
     )
 
 
@@ -297,7 +310,7 @@ def seed_carriers(supplier: DataFrame) -> DataFrame:
         F.concat(F.lit("car_"), k.cast("string")).alias("carrier_id"),
         F.concat(F.lit(" "), F.col("s_name"), F.lit("\t")).alias("carrier_name"),
         _pick(SERVICE_LEVELS, k).alias("service_level"),
-        F.concat(F.lit(" +"), _pad(k * 371, 12), F.lit(" ")).alias("support_phone"),
+        F.concat(F.lit(" 0800 "), _pad(k, 7), F.lit(" ")).alias("support_phone"),
     )
 
 
@@ -328,14 +341,14 @@ def seed_shipment_heads(lineitem: DataFrame, typed: bool = False) -> DataFrame:
             F.concat(F.lit("Street "), (k % 100).cast("string")).alias("street"),
             F.concat(F.lit("City "), (k % 6).cast("string")).alias("city"),
             F.concat(F.lit("State "), (k % 3).cast("string")).alias("state"),
-            F.lit("NG").alias("country"),
+            F.lit("FR").alias("country"),
             _pad(k % 1000, 6).alias("postal_code"),
         ).alias("delivery_address"),
     )
 
 
-def seed_shipments(lineitem: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """Shipment documents: the head plus an array of scans, one per order line."""
+def seed_shipments(lineitem: DataFrame) -> DataFrame:
+    """Shipment documents, one per order as in the feed: the head plus an array of scans."""
     line = F.col("l_linenumber")
     scans = lineitem.select(
         "l_orderkey",
@@ -347,8 +360,7 @@ def seed_shipments(lineitem: DataFrame, max_items: int = 100_000) -> DataFrame:
         line.cast("string").alias("line"),
     )
     docs = nest_events(
-        scans, ["l_orderkey"], ["event_time", "event_type", "location", "notes", "line"],
-        max_items=max_items,
+        scans, ["l_orderkey"], ["event_time", "event_type", "location", "notes", "line"]
     )
     with_map: Callable[[Column], Column] = lambda e: F.struct(
         e["event_type"].alias("event_type"),

@@ -7,7 +7,6 @@ import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
@@ -20,15 +19,6 @@ SETTINGS = {
 }
 
 
-# A side counted beforehand may be broadcast up to this many rows of a few short columns.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_counted(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side of known row count; beyond the bound leave the join to a shuffle."""
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
-
-
 def build_session(master: str | None = None, app: str = "tidewell", **extra: str) -> SparkSession:
     """A session with this package's settings; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")

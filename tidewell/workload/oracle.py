@@ -64,39 +64,41 @@ def _cte(name: str, needs: tuple[str, ...], sql: str) -> None:
 _cte("customers", (), f"""
     SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
            split_part(c_name, '#', 2) AS last_name,
-           'customer' || {_pad("CASE WHEN c_custkey % 100 = 88 THEN c_custkey - 1 ELSE c_custkey END", 9)}
-               || '@example.com' AS email,
-           CASE WHEN c_custkey % 41 <> 15 THEN '+' || {_pad("c_custkey * 371", 12)} END AS phone,
-           CASE WHEN c_custkey % 71 = 23 THEN lower(n_name)
+           'buyer.' || {_pad("CASE WHEN c_custkey % 64 = 63 THEN c_custkey - 1 ELSE c_custkey END", 9)}
+               || '@mail.test' AS email,
+           CASE WHEN c_acctbal >= 0 THEN '00' || {_pad("c_nationkey", 2)} || {_pad("c_custkey", 9)} END AS phone,
+           CASE WHEN c_mktsegment = 'FURNITURE' THEN lower(n_name)
                 ELSE upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) END AS city,
-           r_name AS state, 'NG' AS country,
-           TIMESTAMP '1995-01-01 08:00:00' + to_days(CAST(c_custkey % 365 AS INTEGER)) AS created_at,
-           TIMESTAMP '1995-01-01 08:00:00'
-               + to_days(CAST(c_custkey % 365 + c_custkey % 7 AS INTEGER)) AS updated_at
+           r_name AS state, n_name AS country,
+           TIMESTAMP '1992-01-01' + to_days(CAST(c_nationkey * 31 + c_custkey % 300 AS INTEGER)) AS created_at,
+           TIMESTAMP '1992-01-01' + to_days(CAST(c_nationkey * 31 + c_custkey % 300
+               + CAST(floor(abs(c_acctbal)) AS BIGINT) % 90 AS INTEGER)) AS updated_at
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 
 _cte("products", (), """
     SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-           CASE WHEN p_partkey % 35 <> 7 THEN p_brand END AS brand,
+           CASE WHEN p_size % 12 <> 5 THEN p_brand END AS brand,
            CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,
-           CAST(CAST(p_retailprice AS DECIMAL(12,2)) - 250 AS DECIMAL(12,2)) AS cost_price,
+           CAST(CAST(p_retailprice AS DECIMAL(12,2)) - p_size * 10 AS DECIMAL(12,2)) AS cost_price,
            CAST(p_size AS BIGINT) AS stock_quantity,
-           TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey % 365 AS INTEGER)) AS created_at,
-           TIMESTAMP '1995-02-01' + to_days(CAST(p_partkey % 20 AS INTEGER)) AS updated_at
+           TIMESTAMP '1994-03-01' + to_days(CAST(p_size * 9 AS INTEGER)) AS created_at,
+           TIMESTAMP '1994-03-01'
+               + to_days(CAST(p_size * 9 + CAST(floor(p_retailprice) AS BIGINT) % 40 AS INTEGER)) AS updated_at
     FROM part""")
 
 _cte("shop_orders", (), """
     SELECT o_orderkey AS order_id, o_custkey AS customer_id,
            CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'processing'
                 WHEN 'P' THEN 'cancelled' END AS order_status,
-           CAST(o_orderdate AS TIMESTAMP) AS order_date, 'NGN' AS currency,
-           CAST(CAST(o_totalprice AS DECIMAL(12,2)) - (15 + (o_orderkey % 4) * 5)
-                + CASE WHEN o_orderkey % 9 = 0 THEN 20 ELSE 0 END
+           CAST(o_orderdate AS TIMESTAMP) AS order_date, 'USD' AS currency,
+           CAST(CAST(o_totalprice AS DECIMAL(12,2)) - (30 - CAST(o_orderpriority[1] AS INTEGER) * 4)
+                + CASE WHEN o_totalprice > 200000 THEN 75 ELSE 0 END
                 + CASE WHEN o_orderkey % 1000 = 333 THEN 1 ELSE 0 END AS DECIMAL(12,2)) AS subtotal,
-           CAST(15 + (o_orderkey % 4) * 5 AS DECIMAL(12,2)) AS shipping_fee,
-           CAST(CASE WHEN o_orderkey % 9 = 0 THEN 20 ELSE 0 END AS DECIMAL(12,2)) AS discount_amount,
+           CAST(30 - CAST(o_orderpriority[1] AS INTEGER) * 4 AS DECIMAL(12,2)) AS shipping_fee,
+           CAST(CASE WHEN o_totalprice > 200000 THEN 75 ELSE 0 END AS DECIMAL(12,2)) AS discount_amount,
            CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount,
-           CAST(o_orderdate AS TIMESTAMP) + to_hours(o_orderkey % 11 + 1) AS updated_at,
+           CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(floor(o_totalprice) AS BIGINT) % 72) AS updated_at,
+           CAST(floor(o_totalprice) AS BIGINT) AS whole,
            o_orderstatus = 'P' AS is_cancelled
     FROM orders""")
 
@@ -114,20 +116,22 @@ _cte("items", (), """
 
 _cte("payments", ("shop_orders",), f"""
     SELECT order_id AS payment_id, order_id, customer_id, total_amount,
-           {_pick("'card','bank_transfer','ussd','wallet'", "order_id % 4")} AS payment_method,
-           CASE WHEN order_id % 17 = 0 THEN 'failed' WHEN order_status = 'delivered' THEN 'successful'
+           {_pick("'card','bank_transfer','ussd','wallet'", "whole % 4")} AS payment_method,
+           CASE WHEN whole % 16 = 3 THEN 'failed' WHEN order_status = 'delivered' THEN 'successful'
                 WHEN order_status = 'processing' THEN 'pending' ELSE 'refunded' END AS payment_status,
-           CAST(total_amount + CASE order_id % 100 WHEN 18 THEN 750 WHEN 57 THEN -500 ELSE 0 END
+           CAST(total_amount + CASE whole % 128 WHEN 1 THEN 60 WHEN 2 THEN -40 ELSE 0 END
                 AS DECIMAL(12,2)) AS amount,
-           'TXN-' || {_pad("CASE WHEN order_id % 500 = 499 THEN order_id - 1 ELSE order_id END", 12)}
+           'ref/' || {_pad("CASE WHEN order_id % 256 = 255 THEN order_id - 1 ELSE order_id END", 10)}
                AS transaction_reference,
-           CASE WHEN order_id % 13 <> 0 THEN order_date + to_hours(order_id % 6) END AS paid_at,
-           updated_at + to_hours(order_id % 5) AS updated_at
+           CASE WHEN whole % 16 <> 3 THEN order_date + to_hours(whole % 30) END AS paid_at,
+           updated_at + to_hours(whole % 48) AS updated_at
     FROM shop_orders""")
 
 _cte("event_rows", (), f"""
-    SELECT user_id, strftime(ts, '%Y%m%d') AS day, event_type AS raw_type, ts,
-           CASE WHEN event_id % 997 = 44 THEN strftime(ts, '%Y/%m/%d %H:%M:%S')
+    SELECT *, slot * 4 + (strpos('0123456789abcdef',
+                  md5(concat_ws('|', event_time, event_type, page_url))[1]) - 1) % 4 AS part FROM (
+    SELECT user_id, CAST(hour(ts) // 6 AS BIGINT) AS slot, strftime(ts, '%Y%m%d') AS day, event_type AS raw_type, ts,
+           CASE WHEN event_id % 1009 = 10 THEN strftime(ts, '%Y/%m/%d %H:%M:%S')
                 ELSE {_iso("ts")} END AS event_time,
            kind AS event_type,
            CASE WHEN kind <> 'checkout_started' THEN product END AS product_id,
@@ -137,23 +141,23 @@ _cte("event_rows", (), f"""
     FROM (SELECT *, CASE event_type WHEN 'view' THEN 'product_view' WHEN 'signup' THEN 'checkout_started'
                  WHEN 'click' THEN 'add_to_cart' WHEN 'error' THEN 'remove_from_cart'
                  WHEN 'purchase' THEN 'purchase_completed' END AS kind,
-                 CASE WHEN event_id % 997 = 5 THEN 9999999999
+                 CASE WHEN event_id % 1009 = 500 THEN 9999999999
                       ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS product
-          FROM events)""")
+          FROM events))""")
 
 _SESSION_HEAD = f"""
-    day || {_pad("user_id", 12)} || '0000' AS _id,
+    day || {_pad("user_id", 12)} || {_pad("part", 4)} AS _id,
     'sess_' || {_v("user_id")} || '_' || day AS session_id,
-    CASE WHEN user_id % 133 <> 9 THEN user_id END AS customer_id,
-    CASE WHEN user_id % 78 = 11 THEN '04-15-2025 12:00:00'
+    CASE WHEN user_id % 120 <> 2 THEN user_id END AS customer_id,
+    CASE WHEN user_id % 90 = 4 THEN '15.04.2025 noon'
          ELSE substr(day, 1, 4) || '-' || substr(day, 5, 2) || '-' || substr(day, 7, 2) || 'T00:00:00.000Z'
     END AS started_at,
     substr(day, 1, 4) || '-' || substr(day, 5, 2) || '-' || substr(day, 7, 2) || 'T23:00:00.000Z' AS ended_at,
     {_pick("'Chrome','Safari','Edge','Firefox'", "user_id % 4")} AS browser,
     'City ' || {_v("user_id % 6")} AS location_city, 'State ' || {_v("user_id % 3")} AS location_state,
-    'NG' AS location_country,
-    CASE WHEN user_id % 52 <> 3 THEN {_pick("'mobile','desktop','mobile','tablet'", "user_id % 4")} END AS device_type,
-    CASE WHEN user_id % 52 <> 3 THEN {_pick("'Android','Windows','iOS','Android'", "user_id % 4")} END AS device_os"""
+    'FR' AS location_country,
+    CASE WHEN user_id % 45 <> 6 THEN {_pick("'phone','laptop','tablet'", "user_id % 3")} END AS device_type,
+    CASE WHEN user_id % 45 <> 6 THEN {_pick("'Android','Linux','iPadOS'", "user_id % 3")} END AS device_os"""
 
 _SESSION_COLS = (
     "_id, session_id, customer_id, started_at, ended_at, browser, location_city, location_state, "
@@ -163,17 +167,17 @@ _SESSION_COLS = (
 # Flattened documents, one row per user and day, with the number of events.
 _cte("session_docs", ("event_rows",), f"""
     SELECT {_SESSION_HEAD}, n_events, first_time, first_type
-    FROM (SELECT user_id, day, count(*) AS n_events,
+    FROM (SELECT user_id, day, part, count(*) AS n_events,
                  arg_min(event_time, sort_key) AS first_time, arg_min(event_type, sort_key) AS first_type
-          FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day
+          FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day, part
                     ORDER BY event_time, event_type, product_id NULLS FIRST, search_term NULLS FIRST,
                              quantity NULLS FIRST, page_url) AS sort_key FROM event_rows)
-          GROUP BY user_id, day)""")
+          GROUP BY user_id, day, part)""")
 
 # Exploded rows, still as text.
 _cte("session_text", ("event_rows",), f"""
     SELECT {_SESSION_HEAD}, event_time, event_type, product_id, search_term, quantity, page_url, user_id,
-           row_number() OVER (PARTITION BY user_id, day
+           row_number() OVER (PARTITION BY user_id, day, part
                ORDER BY event_time, event_type, product_id NULLS FIRST, search_term NULLS FIRST,
                         quantity NULLS FIRST, page_url) - 1 AS event_no
     FROM event_rows""")
@@ -198,17 +202,17 @@ _cte("shop_events", (), """
 
 _cte("reviews", (), f"""
     SELECT lpad(lower(to_hex(doc_id)), 24, '0') AS _id, 'rev_' || {_pad("doc_id", 9)} AS review_id,
-           CASE WHEN doc_id % 88 = 87 THEN 9999999999 ELSE doc_id % 200 END AS product_id,
-           doc_id % 150 AS customer_id,
-           CASE WHEN doc_id % 170 = 17 THEN 6 WHEN doc_id % 170 = 109 THEN 0 ELSE n_chars % 5 + 1 END AS rating,
+           CASE WHEN n_chars % 83 = 5 THEN 9999999999 ELSE n_chars % 200 END AS product_id,
+           n_chars % 150 AS customer_id,
+           CASE WHEN n_chars % 97 = 4 THEN 6 WHEN n_chars % 97 = 8 THEN 0 ELSE n_chars % 5 + 1 END AS rating,
            CASE WHEN doc_id % 61 <> 33 THEN '  Review ' || {_v("doc_id")} || chr(9) END AS title,
-           CASE WHEN doc_id % 34 <> 0 THEN CASE WHEN doc_id % 3 = 0
+           CASE WHEN n_chars % 29 <> 0 THEN CASE WHEN doc_id % 3 = 0
                 THEN chr(160) || ' ' || text || chr(10) || chr(12288) ELSE text END END AS review_text,
            quality = 1 AS verified_purchase,
-           CASE WHEN doc_id % 66 = 65 THEN '2025.05.06 14:30:00'
-                ELSE {_iso("TIMESTAMP '2025-04-01 10:00:00' + to_days(CAST(doc_id % 60 AS INTEGER))")}
+           CASE WHEN doc_id % 50 = 21 THEN '6 May, half past two'
+                ELSE {_iso("TIMESTAMP '2024-06-01 09:00:00' + to_days(CAST(n_chars % 90 AS INTEGER))")}
            END AS created_at,
-           n_chars % 31 AS helpful_votes
+           n_chars % 37 AS helpful_votes
     FROM documents LEFT JOIN labels USING (doc_id)""")
 
 _cte("clean_reviews", ("reviews",), f"""
@@ -221,7 +225,7 @@ _cte("clean_reviews", ("reviews",), f"""
 _cte("carriers", (), f"""
     SELECT 'car_' || {_v("s_suppkey")} AS carrier_id, ' ' || s_name || chr(9) AS carrier_name,
            {_pick("'standard','premium','regional'", "s_suppkey % 3")} AS service_level,
-           ' +' || {_pad("s_suppkey * 371", 12)} || ' ' AS support_phone
+           ' 0800 ' || {_pad("s_suppkey", 7)} || ' ' AS support_phone
     FROM supplier""")
 
 _cte("dim_carrier", ("carriers",), """
@@ -237,7 +241,7 @@ _cte("heads", (), f"""
            {_iso("last_ship + to_hours(l_orderkey % 24)")} AS updated_at,
            'Street ' || {_v("l_orderkey % 100")} AS delivery_address_street,
            'City ' || {_v("l_orderkey % 6")} AS delivery_address_city,
-           'State ' || {_v("l_orderkey % 3")} AS delivery_address_state, 'NG' AS delivery_address_country,
+           'State ' || {_v("l_orderkey % 3")} AS delivery_address_state, 'FR' AS delivery_address_country,
            {_pad("l_orderkey % 1000", 6)} AS delivery_address_postal_code
     FROM (SELECT l_orderkey, CAST(min(l_shipdate) AS TIMESTAMP) AS first_ship,
                  CAST(max(l_shipdate) AS TIMESTAMP) AS last_ship, min(l_suppkey) AS carrier,
@@ -372,10 +376,10 @@ _register("c04_zip_columns", "session_typed", """
 SELECT _id, session_id, customer_id, event_no, event_time, event_type, product_id, quantity, device_os,
        location_city FROM session_typed""")
 _register("c05_nest_events", "items", """
-SELECT order_id, CAST(0 AS BIGINT) AS part, count(*) AS n_lines,
+SELECT order_id, product_id % 2 AS part, count(*) AS n_lines,
        string_agg(CAST(order_item_id AS VARCHAR), ',' ORDER BY order_item_id, product_id, line_total) AS ids,
        CAST(first(line_total ORDER BY order_item_id, product_id, line_total) AS DOUBLE) AS first_total
-FROM items GROUP BY order_id""")
+FROM items GROUP BY order_id, product_id % 2""")
 
 # D
 
@@ -681,11 +685,11 @@ SELECT order_id, customer_id, order_status, order_date, currency,
        {_d("subtotal", "shipping_fee", "discount_amount", "total_amount")}, updated_at FROM shop_orders""")
 _register("i03_numbered_lines", (), """
 SELECT o_orderkey * 2 + n AS order_item_id, o_orderkey AS order_id, CAST(n AS BIGINT) AS item_no,
-       (o_orderkey + n) % 3 + 1 AS quantity
+       o_orderkey % 5 + n AS quantity
 FROM orders CROSS JOIN generate_series(1, 2) AS t(n)""")
-_register("i04_payment_join", "payments", f"""
-SELECT payment_id, order_id, payment_method, payment_status, {_d("amount")}, transaction_reference,
-       paid_at, updated_at FROM payments""")
+_register("i04_payment_join", ("payments", "items"), f"""
+SELECT payment_id, order_item_id, product_id, {_d("amount", "line_total")}
+FROM payments JOIN items USING (order_id)""")
 _register("i05_picked_by_position", "payments",
           "SELECT payment_method, count(*) AS rows FROM payments GROUP BY payment_method")
 _register("i06_case_products", "products", f"""

@@ -304,7 +304,8 @@ def c04_zip_columns(s, d):
 def c05_nest_events(s, d):
     lines = items(s, d).select("order_id", "order_item_id", "product_id", "line_total")
     docs = nested.nest_events(
-        lines, ["order_id"], ["order_item_id", "product_id", "line_total"], "lines"
+        lines, ["order_id"], ["order_item_id", "product_id", "line_total"], "lines",
+        part=F.col("product_id") % 2,
     )
     ids = F.transform("lines", lambda e: e["order_item_id"].cast("string"))
     return docs.select(
@@ -886,7 +887,9 @@ def i03_numbered_lines(s, d):
 
 @query
 def i04_payment_join(s, d):
-    return payments(s, d)
+    paid = payments(s, d).select("payment_id", "order_id", "amount")
+    lines = items(s, d).select("order_id", "order_item_id", "product_id", "line_total")
+    return paid.join(lines, "order_id").drop("order_id")
 
 
 @query
