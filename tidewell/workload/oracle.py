@@ -338,6 +338,7 @@ SELECT {_batch("product_id")} AS batch_id, product_id, coalesce(brand, 'Unknown'
 FROM products""")
 _register("a10_csv_export", "reviews",
           "SELECT review_id, rating, title, review_text, verified_purchase FROM reviews")
+_register("a11_corrupt_input_raises", (), "SELECT count(*) AS rows, true AS raised FROM part")
 _register("a12_partitioned_parquet", "shop_orders", f"""
 SELECT strftime(order_date, '%Y-%m') AS order_date_month, order_id, order_date, {_d("total_amount")}
 FROM shop_orders""")
@@ -446,8 +447,9 @@ SELECT customer_id, order_id, order_status, updated_at FROM (
     SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC, order_id DESC) AS rn
     FROM shop_orders) WHERE rn = 1""")
 _register("f03_stage_and_load", "items", _first_items("product_id % 4", 4, "batch_id, " + _ITEM_COLS))
-_register("f04_skip_loaded_batches", "items",
-          _first_items("product_id % 4", 4, "batch_id, " + _ITEM_COLS))
+_register("f04_skip_loaded_batches", "items", f"""
+SELECT batch_id, count(*) AS rows, CAST(1 AS BIGINT) AS runs
+FROM ({_first_items("product_id % 4", 4, "batch_id")}) GROUP BY batch_id""")
 _register("f05_load_order", "items", _first_items("product_id % 12", 12, "batch_id, " + _ITEM_COLS))
 _register("f06_null_key_rows", "scans", """
 SELECT shipment_id, min(event_no) AS event_no, event_type, location, metadata FROM scans
@@ -673,9 +675,9 @@ _register("h18_null_profile", ("customers", "products", "payments", "session_doc
           "\nUNION ALL ".join(
     [_null_counts(t, cols.split(), f"'{name}' AS \"table\", ") for name, (t, cols) in _PROFILE.items()]
     + ["SELECT 'customer_sessions', 'events', CAST(0 AS BIGINT) FROM (SELECT count(*) FROM session_docs)"]))
-_register("h19_event_time_ties", (), """
-SELECT l_orderkey AS order_id, l_shipdate, count(*) AS events FROM lineitem
-GROUP BY ALL HAVING count(*) > 1""")
+_register("h19_event_time_ties", "session_typed", """
+SELECT session_id, date_trunc('hour', event_time) AS event_time, count(*) AS events FROM session_typed
+WHERE event_time IS NOT NULL GROUP BY ALL HAVING count(*) > 1""")
 
 # I
 
@@ -706,15 +708,16 @@ _register("j01_dim_customer", "dim_customer", "SELECT * FROM dim_customer")
 _register("j02_dim_product", "dim_product", f"""
 SELECT product_id, product_name, category, brand, {_d("unit_price", "cost_price")}, stock_quantity
 FROM dim_product""")
-_register("j03_dim_date", ("shop_orders", "shipment_facts", "payments"), """
+_register("j03_dim_date", (
+    "shop_orders", "payments", "shipment_facts", "session_typed", "scans", "clean_reviews"), f"""
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS BIGINT) AS date_key, CAST(d AS TIMESTAMP) AS date,
        year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day,
        isodow(d) AS iso_weekday, isodow(d) >= 6 AS is_weekend
-FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS d FROM (
-    SELECT date_trunc('day', least((SELECT min(order_date) FROM shop_orders),
-               (SELECT min(delivered_at) FROM shipment_facts), (SELECT min(paid_at) FROM payments))) AS a,
-           date_trunc('day', greatest((SELECT max(order_date) FROM shop_orders),
-               (SELECT max(delivered_at) FROM shipment_facts), (SELECT max(paid_at) FROM payments))) AS b))""")
+FROM (SELECT unnest(generate_series(date_trunc('day', min(x)), date_trunc('day', max(x)), INTERVAL 1 DAY)) AS d
+      FROM (SELECT order_date AS x FROM shop_orders UNION ALL SELECT paid_at FROM payments
+            UNION ALL SELECT shipped_at FROM shipment_facts UNION ALL SELECT delivered_at FROM shipment_facts
+            UNION ALL SELECT event_time FROM session_typed UNION ALL SELECT {_ts("event_time")} FROM scans
+            UNION ALL SELECT created_at FROM clean_reviews))""")
 _register("j04_dim_carrier", "dim_carrier", "SELECT * FROM dim_carrier")
 _register("j05_fact_orders", "shop_orders", f"""
 SELECT order_id, customer_id, order_status, order_date, {_key("order_date")} AS order_date_key, currency,
