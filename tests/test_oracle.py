@@ -7,8 +7,8 @@ from compare import connect, difference
 from conftest import SF_DIR, plan
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, ORACLE = queries(), oracle_sql()
+from tidewell.workload.oracle import ORACLE
+from tidewell.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):
