@@ -208,6 +208,11 @@ def test_feed_filter(spark):
         feed.feed_filter(df, updated_since="yesterday")
     with pytest.raises(ValueError):
         feed.feed_filter(df, updated_since="2025-13-45")
+    # Forms that Python reads but rows may not have.
+    for text in ("2025-W01-1", "20250101", "2025-01-01T00"):
+        with pytest.raises(ValueError, match="cutoff"):
+            feed.feed_filter(df, updated_since=text)
+    assert rows(feed.feed_filter(df, updated_since="2025-01-01T00:00:00 +00:00").select("shipment_id")) == [("b",)]
 
 
 def test_page_bounds_and_totals(spark):

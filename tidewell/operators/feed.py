@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.casts import ISO_TIMESTAMP
 from tidewell.sources.scans import incremental_scan
 
 MAX_PAGE_SIZE = 100
@@ -23,15 +25,18 @@ def feed_filter(
     """Equality on status and strict ``>`` on the update time, each only when given.
 
     A row whose update time is missing or unreadable never passes ``updated_since``. A
-    cutoff that is not ISO text is an error.
+    cutoff in a form that rows could not have either is an error.
     """
     if status:
         df = df.filter(F.col(status_col) == status)
     if updated_since:
+        unread = f"cannot read the cutoff time {updated_since!r}"
+        if not re.match(ISO_TIMESTAMP, updated_since):
+            raise ValueError(unread)
         try:
-            cutoff = datetime.fromisoformat(updated_since)
+            cutoff = datetime.fromisoformat(re.sub(r" (?=(Z|[+-]\d{2}:?\d{2})$)", "", updated_since))
         except ValueError:
-            raise ValueError("updated_since must be an ISO-8601 datetime") from None
+            raise ValueError(unread) from None
         if cutoff.tzinfo is not None:
             cutoff = cutoff.astimezone(timezone.utc).replace(tzinfo=None)
         df = incremental_scan(df, (), updated_col, cutoff.isoformat(" "))
