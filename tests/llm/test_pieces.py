@@ -75,7 +75,7 @@ def test_long_words_and_the_cache_bound():
     codec = Codec(vocabulary())
     assert codec.decode(codec.encode("ab" * 50_000).tolist()) == "ab" * 50_000
     assert codec.decode(codec.encode(LONG).tolist()) == LONG
-    assert all(len(w) <= 64 for w in codec.cache)
+    assert all(len(w) <= 64 for w in codec.recent)
 
 
 def test_pieces_across_words_are_refused():

@@ -35,7 +35,7 @@ SPACE = "▁"
 DEFAULT_MODEL = os.path.join(os.environ.get("TIDEWELL_TOKENIZERS", "/opt/tokenizers"), "piece_bpe_32k.model")
 # A word starts at a space sign that follows another character, or ends a span of space signs.
 _WORD = re.compile(f"{SPACE}+(?={SPACE}[^{SPACE}])|{SPACE}?[^{SPACE}]+|{SPACE}+")
-_CACHE_WORDS, _CACHED_LENGTH = 200_000, 64
+_CACHE_WORDS, _CACHED_LENGTH = 250_000, 64
 # How far below the lowest score of a piece an unknown character lies.
 UNKNOWN_PENALTY = 10.0
 
@@ -79,20 +79,24 @@ class Codec:
             piece.replace(SPACE, " ").encode() if kind == "piece" else bytes([int(piece[1:-1], 16)]) if kind == "byte" else b""
             for piece, _, kind in pieces
         ]
-        self.cache: dict[str, np.ndarray] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def viterbi(self, word: str) -> list[int]:
-        """Ids of the best segmentation. NUL stands for U+2581 that was in the text itself."""
+        """Ids of the best segmentation."""
         n = len(word)
         best, start, chosen = [0.0] + [-np.inf] * n, [0] * (n + 1), [-1] * (n + 1)
+        covered = self.single.issuperset(word)
         done = 0  # positions that the characters without a piece of their own have relaxed
         for end, (length, score, i) in self.automaton.iter(word):
-            if done <= end:
-                done = self._relax_unknown(word, best, start, done, end + 1)
-            total = best[end + 1 - length] + score
-            if total > best[end + 1]:
-                best[end + 1], start[end + 1], chosen[end + 1] = total, end + 1 - length, i
-        self._relax_unknown(word, best, start, done, n)
+            to = end + 1
+            if not covered and done < to:
+                done = self._relax_unknown(word, best, start, done, to)
+            total = best[to - length] + score
+            if total > best[to]:
+                best[to], start[to], chosen[to] = total, to - length, i
+        if not covered:
+            self._relax_unknown(word, best, start, done, n)
         ids: list[int] = []
         at = n
         while at:
@@ -111,14 +115,17 @@ class Codec:
                 best[at], start[at] = best[at - 1] + self.unknown, at - 1
         return upto
 
-    def word_ids(self, word: str) -> np.ndarray:
-        ids = self.cache.get(word)
+    def word_ids(self, word: str) -> bytes:
+        """Ids of a word, packed. The cache has two generations, so that frequent words outlive a full one."""
+        ids = self.recent.get(word)
         if ids is None:
-            ids = np.array(self.viterbi(word), np.int32)
+            ids = self.older.get(word)
+            if ids is None:
+                ids = np.array(self.viterbi(word), np.int32).tobytes()
             if len(word) <= _CACHED_LENGTH:
-                if len(self.cache) >= _CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[word] = ids
+                if len(self.recent) >= _CACHE_WORDS:
+                    self.older, self.recent = self.recent, {}
+                self.recent[word] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
@@ -126,17 +133,16 @@ class Codec:
             return np.zeros(0, np.int32)
         if SPACE in text:
             # Parts between the signs are encoded apart from their spaces' sign.
-            sign = np.array([self.byte_ids[b] for b in SPACE.encode()], np.int32)
-            parts = text.split(SPACE)
-            out = [self._spaced(SPACE + parts[0].replace(" ", SPACE))]
-            for part in parts[1:]:
-                out += [sign, self._spaced(part.replace(" ", SPACE))]
-            return np.concatenate(out)
-        return self._spaced(SPACE + text.replace(" ", SPACE))
-
-    def _spaced(self, text: str) -> np.ndarray:
-        found = list(map(self.word_ids, _WORD.findall(text)))
-        return np.concatenate(found) if found else np.zeros(0, np.int32)
+            sign = np.array([self.byte_ids[b] for b in SPACE.encode()], np.int32).tobytes()
+            first, *parts = text.split(SPACE)
+            packed_ids = self._spaced(SPACE + first.replace(" ", SPACE))
+            packed_ids += b"".join(sign + self._spaced(part.replace(" ", SPACE)) for part in parts)
+        else:
+            packed_ids = self._spaced(SPACE + text.replace(" ", SPACE))
+        return np.frombuffer(packed_ids, np.int32)
+
+    def _spaced(self, text: str) -> bytes:
+        return b"".join(map(self.word_ids, _WORD.findall(text)))
 
     def decode(self, ids: Iterable[int]) -> str:
         data = b"".join(map(self.values.__getitem__, ids))
