@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines, keep_documents
 from tidewell.llm.mixing import mixed_documents
-from tidewell.llm.pieces import decode, encode
+from tidewell.llm.pieces import round_trip
 from tidewell.llm.quality_rules import judge_documents
 from tidewell.llm.simhash import near_duplicates
 from tidewell.session import shared_dir
@@ -50,9 +50,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = ["doc_id", "lang", "source", "text_sha256"]
     marked = docs.withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
-    encoded = encode(marked, carry=kept).select("row.*", "ids")
     decoded = F.sha2(F.col("text").cast("binary"), 256)
-    return decode(encoded).select("row.*", decoded.eqNullSafe(F.col("row.text_sha256")).alias("decoded_alike"))
+    alike = decoded.eqNullSafe(F.col("row.text_sha256")).alias("decoded_alike")
+    return round_trip(marked, carry=kept).select("row.*", "ids", alike)
 
 
 STAGES = [

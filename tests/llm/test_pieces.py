@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import AWKWARD, LONG, documents, table_rows
 
-from tidewell.llm.pieces import DEFAULT_MODEL, SPACE, Codec, decode, encode, read_pieces
+from tidewell.llm.pieces import DEFAULT_MODEL, SPACE, Codec, decode, encode, read_pieces, round_trip
 
 
 def vocabulary():
@@ -67,6 +67,9 @@ def test_round_trip_of_awkward_rows(spark):
     assert all(a == b for a, b in texts)
     assert sorted(repr(a) for a, _ in texts) == sorted(repr(r[1]) for r in AWKWARD)
     assert all((ids is None) == (text is None) for ids, (text, _) in zip(back["ids"], texts))
+    both = {(r.row.doc_id, tuple(r.ids or ()), r.text) for r in round_trip(documents(spark)).collect()}
+    assert both == {(r.row.doc_id, tuple(r.row.ids or ()), r.text) for r in decode(coded.select("row.doc_id", "ids")).collect()}
+    assert round_trip(documents(spark, [])).collect() == []
     assert encode(documents(spark, [])).collect() == []
     assert decode(encode(documents(spark, [])).select("ids")).collect() == []
 

@@ -124,7 +124,7 @@ def language_references(docs: DataFrame, lang_col: str, text_col: str, limits: L
     What comes to the driver is bounded: the class counts and the most frequent words of each language.
     """
     source = docs.select(F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`"))
-    counted = map_rows(source, _language_counts, "lang string, kind string, key string, n long", rows=4096)
+    counted = map_rows(source, _language_counts, "lang string, kind string, key string, n long")
     totals = stored(counted.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "language-counts")
     every = totals.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit("").alias("lang"), "kind", "key", "n")
     named = totals.withColumn("lang", F.concat(F.lit("="), "lang")).union(every)

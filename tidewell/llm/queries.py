@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.mixing import mix
-from tidewell.llm.pieces import decode, encode
+from tidewell.llm.pieces import round_trip
 from tidewell.llm.quality_classifier import score_documents
 from tidewell.llm.quality_rules import judge_documents
 from tidewell.llm.repeats import remove_repeats
@@ -69,9 +69,9 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-    encoded = encode(docs, carry=["doc_id", "text_sha256"]).select("row.*", "ids", F.size("ids").cast("long").alias("n_pieces"))
+    coded = round_trip(docs, carry=["doc_id", "text_sha256"])
     decoded = F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
-    return decode(encoded).select("row.*", decoded)
+    return coded.select("row.*", "ids", F.size("ids").cast("long").alias("n_pieces"), decoded)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
