@@ -1,11 +1,14 @@
+import math
 import random
 import re
 import string
 
+import pytest
 from helpers import documents, table_rows
 from pyspark.sql import functions as F
 
-from tidewell.llm.secrets import battery, listed, matches, scan_secrets
+from tidewell.llm import common, mixing, pieces, quality_rules, secrets
+from tidewell.llm.secrets import ENCODINGS, battery, listed, matches, noise_gains, scan_secrets
 
 NAME = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token")
 NAME += "|[aA][pP][iI]_?[kK][eE][yY]"
@@ -55,6 +58,52 @@ def test_noise_is_found_and_ordinary_names_are_not(spark):
     assert all(r.random == [] or (r.random[0].start, r.random[0].end) == (4, 52) for r in found if r.doc_id < 30)
 
 
+WORDS = sorted({w for m in (common, mixing, pieces, quality_rules, secrets) for w in re.findall("[a-z]{3,}", m.__doc__)})
+SYMBOLS = {"hex": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567", "base62": string.ascii_letters + string.digits}
+SYMBOLS["base64"] = SYMBOLS["base62"] + "-_"
+
+
+def ordinary(draw, encoding, n):
+    """Numbers, capitals, camel case and names with signs."""
+    if encoding == "hex":
+        return "".join(draw.choices(string.digits, k=n))
+    some = draw.choices(WORDS, k=n)
+    if encoding == "base64":
+        return f"{draw.choice('-_/').join(some)[: n - 3]}-{draw.randint(10, 99)}"
+    if encoding == "base32":
+        return "".join(some).upper()[:n]
+    return "".join(map(str.capitalize, some))[: n - 2] + str(draw.randint(10, 99))
+
+
+@pytest.mark.parametrize("rare", [12, 2])
+def test_short_noise_is_found_among_ordinary_tokens(spark, rare):
+    """1% and 0.17% of the tokens of each encoding and octave are noise, of the two lengths in equal parts."""
+    draw, kind, texts = random.Random(rare), [], []
+    for encoding, symbols in SYMBOLS.items():
+        for lengths in ((20, 24), (32, 40)):
+            for i in range(1200):
+                n = lengths[i % 2]
+                noise = i < rare
+                texts.append("".join(draw.choices(symbols, k=n)) if noise else ordinary(draw, encoding, n))
+                kind.append((encoding, n, noise))
+    found = scan_secrets(documents(spark, [(i, t, None, None) for i, t in enumerate(texts)], clashing=False), carry=["doc_id"])
+    hits = {r.doc_id for r in found.select("row.doc_id", "random").collect() if r.random}
+    for encoding in SYMBOLS:
+        for n in (20, 24, 32, 40):
+            there = [i for i, k in enumerate(kind) if k == (encoding, n, True)]
+            assert len(hits.intersection(there)) >= (0.6 if n < 32 else 0.8) * len(there) - 1, (encoding, n)
+    noise = {i for i, k in enumerate(kind) if k[2]}
+    assert len(hits & noise) >= 0.85 * len(noise)
+    assert len(hits - noise) <= 0.02 * len(hits)
+
+
+def test_ordinary_chances_sum_to_one():
+    for e in ENCODINGS:
+        k, gains = len(e.alphabet), noise_gains(e)
+        for a in range(k):
+            assert sum(math.exp(-g) / k for g in gains[a * k : a * k + k]) == pytest.approx(1)
+
+
 def test_battery_names_the_encoding_and_rejects_patterns(spark):
     tokens = ["ABCDEF0123" * 4, "ABCDEFGHIJKLMNOPQRST234", "aB3" * 10, "a-b/" * 8, "A" * 24]
     got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", battery(F.col("t")).alias("b")).collect()
