@@ -51,6 +51,25 @@ def test_best_segmentation(spark):
             assert total(codec, pieces, ids) == pytest.approx(brute(pieces, SPACE + text.replace(" ", SPACE))), text
 
 
+@pytest.mark.parametrize("blanks", [{1: -3.0, 2: -1.0}, {1: -1e9, 2: -1e9, 3: -1e9}])
+def test_spans_of_spaces_before_characters_without_a_piece(blanks):
+    """Pieces of several blanks are worth taking, whatever comes after the blanks."""
+    pieces = [p for p in vocabulary() if p[2] != "piece" or set(p[0]) != {SPACE}] + [(SPACE * n, s, "piece") for n, s in blanks.items()]
+    codec, draw = Codec(pieces), random.Random(3)
+    texts = ["x \ny", "a  \nb", "a \tb", "a   \u4e2d\u6587", "  \n", "a    ", *("".join(draw.choices("ab   x\n", k=draw.randint(1, 14))) for _ in range(300))]
+    for text in texts:
+        ids = codec.encode(text).tolist()
+        assert codec.decode(ids) == text
+        assert total(codec, pieces, ids) == pytest.approx(brute(pieces, SPACE + text.replace(" ", SPACE)), rel=1e-12), repr(text)
+
+
+@pytest.mark.parametrize("text", ["line  \nnext", "a  \tb", "a  \u4e2d\u6587", "    if x:\n\n        y  "])
+def test_the_public_vocabulary_on_spans_of_spaces(text):
+    pieces = read_pieces(DEFAULT_MODEL)
+    codec = Codec(pieces)
+    assert total(codec, pieces, codec.encode(text).tolist()) == pytest.approx(brute(pieces, SPACE + text.replace(" ", SPACE)), rel=1e-12)
+
+
 def test_the_public_vocabulary_on_real_texts(spark, sf_dir):
     pieces = read_pieces(DEFAULT_MODEL)
     codec = Codec(pieces)

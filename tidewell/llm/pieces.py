@@ -7,8 +7,8 @@ piece, which is reported first. A character that no piece covers costs ``unknown
 and becomes its byte pieces.
 
 As in SentencePiece, a text gets a space in front and spaces are written U+2581. No piece holds that sign
-after another character, so the best segmentation of a text is that of its words, each with its leading space
-sign, and words are looked up in a bounded cache. Spans of spaces are words of their own.
+after another character, so the best segmentation of a text is that of its words, each with all the space signs
+in front of it, and words are looked up in a bounded cache. Only spaces at the end of a text are a word of their own.
 
 The vocabulary file is a parameter; the driver reads it once and broadcasts its pieces (a bounded table).
 
@@ -33,8 +33,8 @@ from tidewell.llm.common import map_rows, packed
 
 SPACE = "▁"
 DEFAULT_MODEL = os.path.join(os.environ.get("TIDEWELL_TOKENIZERS", "/opt/tokenizers"), "piece_bpe_32k.model")
-# A word starts at a space sign that follows another character, or ends a span of space signs.
-_WORD = re.compile(f"{SPACE}+(?={SPACE}[^{SPACE}])|{SPACE}?[^{SPACE}]+|{SPACE}+")
+# A word starts at a space sign that follows another character: no piece lies across that place.
+_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _CACHE_WORDS, _CACHED_LENGTH = 60_000, 64
 # How far below the lowest score of a piece an unknown character lies.
 UNKNOWN_PENALTY = 10.0
