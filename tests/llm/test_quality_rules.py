@@ -41,6 +41,17 @@ def test_clean_documents_stay_and_junk_goes(spark, sf_dir):
     assert np.mean(junk) <= 0.5
 
 
+def test_a_few_rows_without_a_language_are_no_reference(spark):
+    draw = np.random.default_rng(6)
+    word = ["".join(draw.choice(list("etaoinshrdlu"), size=draw.integers(2, 9))) for _ in range(300)]
+    rows = [(i, " ".join(draw.choice(word, size=120)), "en", None) for i in range(40)]
+    junk = [" ".join("".join(draw.choice(list("#*$%&|<>0123456789"), size=6)) for _ in range(60)) for _ in range(2)]
+    rows += [(100, junk[0], None, None), (101, junk[1], "xx", None)]
+    got = {r.doc_id: r.kept for r in judged(spark, rows)}
+    assert not got[100] and not got[101]
+    assert sum(got[i] for i in range(40)) == 40
+
+
 def test_js_distance():
     assert js_distance(np.array([1.0, 0]), np.array([0, 3.0])) == pytest.approx(1)
     assert js_distance(np.array([2.0, 2]), np.array([1.0, 1])) == 0

@@ -11,7 +11,7 @@ that a wrong label or a text in two languages does no harm.
 Base rules (few words, repeated three-word windows) come first and do not depend on the references.
 
 Defined results: a null or empty text has no words and fails the base rule; a null language is a language
-of its own; repeated rows are judged alike; an empty table gives an empty result.
+of its own, under the same ``min_reference``; repeated rows are judged alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -138,7 +138,7 @@ def language_references(docs: DataFrame, lang_col: str, text_col: str, limits: L
     references = {}
     for lang, kinds in found.items():
         total = sizes.get((lang, "word"), 0)
-        if lang == "" or lang is None or total >= limits.min_reference:
+        if lang == "" or total >= limits.min_reference:
             common = kinds["word"]
             histogram = np.array([*common.values(), total - sum(common.values())], float)
             bins = {w.encode(): k for k, w in enumerate(common)}
