@@ -5,7 +5,7 @@
    with an empty text.
 3. *SimHash near-dedup*: of each group one document stays, that of the smallest id.
 4. *mixing*: each source gives its target number of words; a document comes back once for each pass that takes
-   words of it, and documents that the mix leaves out go.
+   words of it, and documents that the mix leaves out go. Words keep the blanks and line breaks after them.
 5. *pieces*: encodes and decodes what is left. The result has the piece ids and says whether decoding gave the
    text back.
 

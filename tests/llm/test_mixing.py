@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -74,6 +75,20 @@ def test_the_mix_holds_the_words_it_took(spark):
     assert got == {i: n for i, n in taken.items() if n}
 
 
+def test_a_document_taken_whole_keeps_its_layout(spark):
+    texts = ["  def f(x):\n\treturn  x\r\n\n", "one", "- é \U0001f642\n  - b\x0b\n", "\n\nlast  line"]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    whole = mixed_documents(documents(spark, rows), most=1, share_percent=100).select("row.text", "kept_text").collect()
+    assert sorted(r.text for r in whole) == sorted(texts)
+    assert all(r.kept_text == r.text for r in whole)
+    # Cut in blocks of two words, the passes hold what lies between the words of a block, and nothing else.
+    text = "".join(f"w{k}" + " \n\t"[k % 3] * (1 + k % 4) for k in range(40))
+    cut = mixed_documents(documents(spark, [(1, text, "en", "a")]), block_words=2).select("kept_text").collect()
+    blocks = re.findall(r"\S+\s+\S+\s+", text)
+    assert cut and all(re.findall(r"\S+\s+\S+\s+", r.kept_text) == [b for b in blocks if b in r.kept_text] for r in cut)
+    assert all(len(r.kept_text) == sum(len(b) for b in blocks if b in r.kept_text) for r in cut)
+
+
 def test_permutations(spark):
     df = spark.range(50).select("id", *[permuted(F.col("id"), F.lit(50), F.lit(f"p{k}")).alias(f"p{k}") for k in range(3)])
     columns = list(zip(*[tuple(r)[1:] for r in df.collect()]))

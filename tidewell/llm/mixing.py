@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import WORD, running_start, stored
 
+# A word and the blanks after it; the first word of a text has the blanks before it too.
+UNIT = rf"[\x20\x09-\x0D]*{WORD}[\x20\x09-\x0D]*"
 WEIGHTS = (3, 1, 2)
 # Primes, so that one that does not divide the number of blocks is prime to it.
 PRIMES = (998244353, 1000000007, 1000000009, 1000000021, 1000000033, 1000000087, 1000000093, 1000000097)
@@ -179,7 +181,8 @@ def mix(
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mix itself: a document's columns once for each pass that takes words of it.
 
-    The text holds the words that the pass takes, parted by one space. Documents the mix leaves out are gone.
+    The text holds the words that the pass takes, each with the blanks after it (the first word of a document
+    also those before it), so that a document taken whole comes back as it was. Documents the mix leaves out are gone.
     """
     plan = mix(docs, id_col, text_col, **options).filter("taken > 0")
     text = F.col(f"`{text_col}`")
@@ -189,9 +192,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     right = plan.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "spans").withColumn("_m", F.row_number().over(alike))
     # Equal rows are told apart by number; as a difference this is no join key, so no row is moved again.
     same = left["_id"].eqNullSafe(right["_id"]) & (left["_hash"] == right["_hash"]) & (left["_n"] - right["_m"] == 0)
-    words = F.regexp_extract_all(F.col(f"row.`{text_col}`"), F.lit(WORD), F.lit(0))
-    both = left.join(right, same).select("row", "spans", words.alias("words"))
+    units = F.regexp_extract_all(F.col(f"row.`{text_col}`"), F.lit(UNIT), F.lit(0))
+    both = left.join(right, same).select("row", "spans", units.alias("units"))
     both = both.withColumn("pass", F.explode(F.sequence(F.lit(1), F.array_max(F.col("spans.uses")).cast("int"))))
     chosen = F.filter("spans", lambda x: x["uses"] >= F.col("pass"))
-    cut = F.transform(chosen, lambda x: F.slice(F.col("words"), (x["start"] + 1).cast("int"), x["length"].cast("int")))
-    return both.select("row", F.array_join(F.flatten(cut), " ").alias("kept_text"))
+    cut = F.transform(chosen, lambda x: F.slice(F.col("units"), (x["start"] + 1).cast("int"), x["length"].cast("int")))
+    return both.select("row", F.array_join(F.flatten(cut), "").alias("kept_text"))
