@@ -38,4 +38,50 @@ ORACLE = {
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_language_id": """
+        WITH crcs AS (
+            SELECT doc_id, lang, text, xor(4294967295, list_reduce(
+                [4294967295] || list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: ascii(c)),
+                lambda h, b: list_reduce(
+                    [xor(h, b)] || range(8),
+                    lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 4 = 2 AS held_out
+            FROM documents),
+        signs AS (
+            SELECT row_number() OVER () AS id, doc_id, lang, held_out, text IS NOT NULL AND regexp_matches(text, '\\p{L}') AS letters,
+                   ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{M}]+', ' ', 'g')) || ' ' AS t
+            FROM crcs),
+        words AS (
+            SELECT id, word, count(*) AS times
+            FROM (SELECT id, unnest(string_split(trim(t), ' ')) AS word FROM signs WHERE trim(t) <> '') GROUP BY id, word),
+        vocabulary AS (SELECT DISTINCT word, ' ' || word || ' ' AS t FROM words),
+        places AS (
+            SELECT word, t, n, unnest(range(1, length(t) + 2 - n)) AS i
+            FROM vocabulary, (SELECT unnest([1, 2, 3]) AS n)),
+        pieces AS (SELECT word, substr(t, i, n) AS g, count(*) AS inside FROM places GROUP BY ALL),
+        kept AS (SELECT * FROM pieces WHERE NOT (g = ' ' OR length(g) = 3 AND substr(g, 2, 1) = ' ')),
+        counted AS (SELECT id, g, sum(times * inside) AS times FROM words JOIN kept USING (word) GROUP BY id, g),
+        own AS (
+            SELECT id, g, row_number() OVER (PARTITION BY id ORDER BY times DESC, length(g), g) AS r FROM counted),
+        taught AS (
+            SELECT lang, g, sum(times) AS times FROM counted JOIN signs USING (id)
+            WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, g),
+        profiles AS (
+            SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY times DESC, length(g), g) AS r FROM taught),
+        listed AS (SELECT * FROM profiles WHERE r <= 300),
+        near AS (SELECT id, g, r FROM own WHERE r <= 300),
+        lengths AS (SELECT id, count(*) AS n FROM near GROUP BY id),
+        met AS (
+            SELECT id, lang, sum(abs(near.r - listed.r) - 300) AS saved FROM near JOIN listed USING (g) GROUP BY id, lang),
+        apart AS (
+            SELECT l.id, n, s.lang, n * 300 + coalesce(saved, 0) AS d
+            FROM lengths l CROSS JOIN (SELECT DISTINCT lang FROM listed) s LEFT JOIN met ON met.id = l.id AND met.lang = s.lang),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, lang) AS place,
+                   coalesce(lead(d) OVER (PARTITION BY id ORDER BY d, lang), n * 300) AS second
+            FROM apart)
+        SELECT doc_id, held_out, CASE WHEN letters AND p.lang IS NOT NULL THEN p.lang ELSE 'und' END AS lang_pred,
+               CASE WHEN NOT letters OR p.lang IS NULL THEN 0.0 WHEN d + second = 0 THEN 0.5
+                    ELSE CAST(second AS DOUBLE) / CAST(d + second AS DOUBLE) END AS score
+        FROM signs LEFT JOIN placed p ON p.id = signs.id AND place = 1
+    """,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import table
+from tidewell.llm.language_id import identify_languages, learn_profiles
 from tidewell.llm.line_dedup import drop_repeated_lines
 from tidewell.llm.mixing import mix
 from tidewell.llm.pieces import round_trip
@@ -94,6 +95,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold == 2).alias("held_out"))
+    profiles = learn_profiles(docs, train=~F.col("held_out"))
+    found = identify_languages(docs.select("doc_id", "text", "held_out"), profiles, carry=["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -105,4 +114,5 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
+    "op11_language_id": op11_language_id,
 }
