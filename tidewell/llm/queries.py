@@ -17,6 +17,7 @@ from tidewell.llm.secrets import listed, scan_secrets
 from tidewell.llm.sharding import shard_by_size
 from tidewell.llm.simhash import near_duplicates
 from tidewell.llm.voronoi import top_k
+from tidewell.llm.whitening import whiten
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +104,12 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    columns = ("component", "n", "deviation", "whitened", "explained", "identity_error")
+    return whiten(vectors, carry=["vec_id"]).select("row.vec_id", *columns)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -115,4 +122,5 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
     "op11_language_id": op11_language_id,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
