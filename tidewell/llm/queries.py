@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm.alignment import align_tokenizers
 from tidewell.llm.common import table
 from tidewell.llm.language_id import identify_languages, learn_profiles
 from tidewell.llm.line_dedup import drop_repeated_lines
@@ -110,6 +111,12 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(vectors, carry=["vec_id"]).select("row.vec_id", *columns)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    columns = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return align_tokenizers(docs, carry=["doc_id"]).select("row.doc_id", *columns)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -123,4 +130,5 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_language_id": op11_language_id,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
