@@ -1,14 +1,15 @@
 """Whole runs over the smallest test tables: every stage, twice, with changes in between."""
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tidewell.datasets import BY_NAME, DATASETS
 from tidewell.operators import ledger
 from tidewell.operators.quality import ValidationFailed
-from tidewell.plans import jobs, questions, seeds, star, views
+from tidewell.plans import jobs, questions, schemas, seeds, star, views
 from tidewell.session import shared_dir
+from tidewell.sources.layers import table_path
 
 
 # Tables of every kind: with a mark, without one, documents, feed.
@@ -188,3 +189,44 @@ def test_latest_customer_wins_in_the_dimension(spark):
         "state string, country string, created_at string, updated_at string",
     )
     assert rows(star.dim_customer(df).select("full_name", "city")) == [("A B", "Abuja")]
+
+
+def test_declared_types_go_by_name(spark):
+    df = spark.sql(
+        "SELECT named_struct('b', 2, 'a', '1') AS s, array(named_struct('y', '5', 'x', 'text')) AS l, "
+        "CAST(NULL AS STRUCT<a: STRING>) AS none, 7 AS more"
+    )
+    schema = spark.sql(
+        "SELECT named_struct('a', 1L, 'b', '', 'c', true) AS s, array(named_struct('x', '', 'y', 5L)) AS l, "
+        "named_struct('a', 1L) AS none, 1.5D AS missing"
+    ).schema
+    (got,) = schemas.conform(df, schema).collect()
+    assert got.asDict(True) == {
+        "s": {"a": 1, "b": "2", "c": None}, "l": [{"x": "text", "y": 5}], "none": None, "missing": None, "more": 7,
+    }
+
+
+def test_no_run_merges_footers(spark, loaded):
+    """Every layer is read by its declared schema, which the files have."""
+    root = loaded[0]
+    for d in DATASETS:
+        for layer, schema in (("raw", schemas.raw_schema(d.name)), ("processed", schemas.processed_schema(d.name))):
+            stored = spark.read.parquet(f"{root}/{layer}/{d.source}/{d.name}").schema
+            assert {f.name: f.dataType for f in stored} == {f.name: f.dataType for f in schema}, (d.name, layer)
+
+
+def test_committed_rows_are_read_by_their_folders(spark, loaded):
+    root, sessions = loaded[0], BY_NAME["customer_sessions"]
+    table = table_path(root, "processed", "mongodb", "customer_sessions")
+    before = jobs.committed_rows(spark, root, sessions)
+    text = plan(before)
+    assert "Join" not in text and "Exchange" not in text
+    n = before.count()
+    late = before.limit(1)
+    late.drop("batch_id").write.parquet(f"{table}/batch_id=29990101_000000_1")
+    old = before.select("batch_id").first().batch_id
+    late.drop("batch_id").write.mode("append").parquet(f"{table}/batch_id={old}")
+    # Neither the uncommitted batch nor the late file of a committed one is opened.
+    after = jobs.committed_rows(spark, root, sessions)
+    assert after.count() == n
+    assert not [f for f in after.inputFiles() if "2999" in f]

@@ -1,12 +1,16 @@
 """Loads that can be repeated, interrupted and traced."""
 
+import random
+import threading
+
 import pytest
 from conftest import plan, rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidewell.operators import ledger, merge
+from tidewell.operators import commits, ledger, merge
+from tidewell.sources import files
 from tidewell.sources.layers import scan_layer
 
 PRODUCTS = "batch_id string, product_id long, brand string"
@@ -27,7 +31,13 @@ class Store:
         )
 
     def table(self):
-        return merge.read_table(self.spark, self.root, "products", self.events(), self.schema)
+        return merge.read_table(self.spark, self.root, "products", self.schema)
+
+    def latest(self, pk, order_by):
+        return merge.read_latest(self.spark, self.root, "products", self.schema, pk, order_by)
+
+    def manifest(self):
+        return commits.read_manifest(self.spark, self.root, "products")
 
     def events(self):
         return ledger.read_runs(self.spark, self.runs)
@@ -99,8 +109,8 @@ def test_latest_wins(spark, store):
     assert versions.count() == 3
     current = merge.merge_latest_wins(versions, ["product_id"], newest)
     assert rows(current.select("product_id", "brand"), "product_id") == [(1, "new"), (2, "two")]
-    copy = merge.snapshot(current, f"{store.root}/snapshot")
-    assert spark.read.parquet(copy).count() == 2
+    read = store.latest(("product_id",), newest)
+    assert rows(read, "product_id") == rows(current.drop("load_id"), "product_id")
 
 
 def test_failure_is_recorded_and_raised(spark, store, products):
@@ -157,34 +167,198 @@ def test_a_load_that_is_overtaken_inserts_no_key_twice(spark, store, products, m
     assert len(got) == 4
 
 
-def test_crash_before_commit_leaves_nothing_visible(spark, store, products, monkeypatch):
-    store.load(products)
+def crash(*args, **kwargs):
+    raise KeyboardInterrupt("driver lost")
 
-    def crash(*args, **kwargs):
-        raise KeyboardInterrupt("driver lost")
 
+def test_crash_before_commit_leaves_nothing_visible(spark, store, products, monkeypatch):
+    store.load(products)
     more = spark.createDataFrame([("b_2", 9, "Nine")], PRODUCTS)
     with monkeypatch.context() as patch:
-        patch.setattr(ledger, "mark_success", crash)
+        patch.setattr(commits, "commit", crash)
         with pytest.raises(KeyboardInterrupt):
             store.load(more)
-    # The data files are there, but no success row names their load.
+    # The data files are there, but no manifest names their folder.
     assert spark.read.parquet(merge.warehouse_path(store.root, "products")).count() == 4
     assert store.table().count() == 3
     store.load(more)
     assert rows(store.table().select("product_id"), "product_id") == [(1,), (2,), (3,), (9,)]
 
 
+def test_crash_after_commit_is_settled_by_the_next_load(spark, store, products, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "mark_success", crash)
+        with pytest.raises(KeyboardInterrupt):
+            store.load(products)
+    # The rows are there, and the manifest knows what the ledger does not.
+    assert store.table().count() == 3
+    assert [s[:2] for s in store.state()] == [("b_1", "started")]
+    assert store.load(products) is None
+    assert store.state() == [("b_1", "success", 3, 3, 0)]
+    assert store.table().count() == 3
+
+
 def test_an_earlier_batch_after_a_crash_still_wins_once(spark, store, monkeypatch):
     late = spark.createDataFrame([("t_2", 1, "late")], PRODUCTS)
     with monkeypatch.context() as patch:
-        patch.setattr(ledger, "mark_success", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+        patch.setattr(commits, "commit", crash)
         with pytest.raises(KeyboardInterrupt):
             store.load(late)
     store.load(late.unionByName(spark.createDataFrame([("t_1", 1, "early")], PRODUCTS)))
     assert rows(store.table().select("product_id", "brand")) == [(1, "early")]
 
 
+def test_loaders_that_pass_the_last_look_together_insert_each_key_once(spark, store, products, monkeypatch):
+    """Another load commits after this one has looked for the last time, and right before its commit."""
+    commit = commits.commit
+    others = [[("b_0", 1, "first come")], [("b_x", 2, "second"), ("b_x", 8, "Eight")]]
+
+    def late(*args, **kwargs):
+        if others:
+            rows_of = others.pop(0)
+            with monkeypatch.context() as patch:
+                patch.setattr(commits, "commit", commit)
+                store.load(spark.createDataFrame(rows_of, PRODUCTS))
+        return commit(*args, **kwargs)
+
+    monkeypatch.setattr(commits, "commit", late)
+    store.load(products)
+    got = rows(store.table().select("product_id", "brand"), "product_id")
+    assert got == [(1, "first come"), (2, "second"), (3, "Samsung"), (8, "Eight")]
+    assert store.manifest().number == 3
+    counts = {s[0]: s[2:] for s in store.state()}
+    assert counts == {"b_0": (1, 1, 0), "b_x": (2, 2, 0), "b_1": (3, 1, 2)}
+
+
+def test_loads_at_the_same_time(spark, tmp_path):
+    """Eight threads load overlapping keys: each key is there once, and every load is in the ledger."""
+    def load(n):
+        df = spark.createDataFrame([(f"b_{n}", k, f"by {n}") for k in range(n, n + 6)], PRODUCTS)
+        Store(spark, tmp_path).load(df)
+
+    threads = [threading.Thread(target=load, args=(n,)) for n in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    store = Store(spark, tmp_path)
+    store.schema = spark.createDataFrame([], PRODUCTS).schema
+    assert [r[0] for r in rows(store.table().select("product_id"), "product_id")] == list(range(13))
+    state = store.state()
+    assert sorted(s[0] for s in state) == [f"b_{n}" for n in range(8)]
+    assert {s[1] for s in state} == {"success"} and sum(s[3] for s in state) == 13
+
+
+def test_a_name_is_taken_once(spark, tmp_path):
+    taken = []
+
+    def take(n):
+        taken.append(files.put_if_absent(spark, f"{tmp_path}/c/1", f"writer {n} \u00e9"))
+
+    threads = [threading.Thread(target=take, args=(n,)) for n in range(12)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sum(taken) == 1
+    assert list(files.names(spark, f"{tmp_path}/c")) == ["1"]
+    assert files.read_text(spark, f"{tmp_path}/c/1").endswith("\u00e9")
+    # Elsewhere than on a local disk the name is taken by a rename.
+    one, _ = files._open(spark, f"{tmp_path}/c/1")
+    two, _ = files._open(spark, f"{tmp_path}/c/2")
+    files.rename_new(spark, one, two)
+    assert files.put_if_absent(spark, f"{tmp_path}/c/1", "again")
+    with pytest.raises(Py4JJavaError, match="FileAlreadyExists"):
+        files.rename_new(spark, one, two)
+
+
+@pytest.mark.parametrize("mode", ["first", "latest"])
+def test_reading_does_not_grow_with_the_number_of_loads(spark, store, monkeypatch, mode):
+    monkeypatch.setattr(merge, "FAN", 3)
+    schema = "batch_id string, product_id long, brand string, updated_at long"
+    newest = [F.desc("updated_at")]
+    draw, every, folders = random.Random(3), [], []
+    for n in range(14):
+        part = [(f"b_{n}", draw.randrange(30), f"v{n}", draw.randrange(10**6)) for _ in range(draw.choice([1, 2, 9]))]
+        every += part
+        store.load(spark.createDataFrame(part, schema), mode=mode, order_by=newest if mode == "latest" else ())
+        folders.append(len(store.manifest().segments))
+    assert max(folders) <= 2 * 4  # under three for each of the few powers of three
+    if mode == "first":
+        seen = {}
+        for b, k, brand, at in every:
+            old = seen.setdefault(k, (b, brand, at))
+            if old[0] == b:
+                seen[k] = min(old, (b, brand, at))
+        got = store.table()
+        assert got.count() == len(seen)
+        assert {r.product_id: r.batch_id for r in got.collect()} == {k: v[0] for k, v in seen.items()}
+    else:
+        best = {}
+        for b, k, brand, at in every:
+            best[k] = max(best.get(k, (-1,)), (at, brand))
+        got = store.latest(("product_id",), newest)
+        assert {r.product_id: (r.updated_at, r.brand) for r in got.collect()} == best
+        assert got.count() == len(best)
+        # Rows of the largest segment that no later load names are neither shuffled nor ranked.
+        text = plan(store.latest(("product_id",), newest))
+        assert text.count("Window [") == 1
+
+
+def test_a_large_batch_meets_a_bucketed_table_without_shuffling_it(spark, store, monkeypatch):
+    monkeypatch.setattr(merge, "BUCKET_ROWS", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = spark.range(4_000).select(F.lit("b_1").alias("batch_id"), F.col("id").alias("product_id"), F.lit("x").alias("brand"))
+        store.load(wide)
+        (segment,) = store.manifest().segments
+        assert segment.buckets == 8 and segment.rows == 4_000
+        staged = wide.withColumn("product_id", F.col("product_id") + 1_000)
+        left = merge._without_known(staged, store.root, "products", [segment], wide.schema, ["product_id"])
+        text = plan(left)
+        below = text[: text.index("SelectedBucketsCount")].rsplit("Join", 1)[1]
+        assert "Exchange" not in below
+        assert left.count() == 1_000
+        # A session that has never seen the table opens it by its manifest.
+        spark.sql(f"DROP TABLE {merge._bucket_table(merge._segment_path(store.root, 'products', segment.folder))}")
+        store.load(staged.withColumn("batch_id", F.lit("b_2")))
+        assert store.table().count() == store.table().select("product_id").distinct().count() == 5_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sweep_removes_what_nobody_needs(spark, store, products, monkeypatch):
+    monkeypatch.setattr(merge, "FAN", 2)
+    store.load(products)
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "commit", crash)
+        with pytest.raises(KeyboardInterrupt):
+            store.load(spark.createDataFrame([("b_x", 9, "Nine")], PRODUCTS))
+    store.load(spark.createDataFrame([("b_2", 4, "Sony"), ("b_2", 5, "LG"), ("b_2", 6, "HP")], PRODUCTS))
+    before = sorted(rows(store.table().select("product_id", "brand")), key=repr)
+    assert len(store.manifest().segments) == 1
+    assert merge.sweep(spark, store.root, "products", hours=1) == []
+    gone = merge.sweep(spark, store.root, "products", hours=-1)
+    assert len(gone) >= 4
+    assert len(files.names(spark, merge.warehouse_path(store.root, "products"))) == 1
+    assert sorted(rows(store.table().select("product_id", "brand")), key=repr) == before
+    assert store.load(products) is None
+
+
+def test_a_compacted_ledger_says_the_same(spark, store, products):
+    for n in range(3):
+        store.load(spark.createDataFrame([(f"b_{n}", n, "x")], PRODUCTS))
+        ledger.compact(spark, store.runs)
+        ledger.compact(spark, store.marks)
+    assert store.state() == [(f"b_{n}", "success", 1, 1, 0) for n in range(3)]
+    assert store.load(spark.createDataFrame([("b_1", 1, "x")], PRODUCTS)) is None
+    assert ledger.read_mark(ledger.read_marks(spark, store.marks), "products", "postgres")[0] == "b_2"
+    ledger.compact(spark, store.runs)
+    ledger.compact(spark, store.runs)
+    assert len([n for n in files.names(spark, store.runs) if not n.startswith("_")]) == 1
+    assert store.events().count() == 6
+
+
 def test_first_per_key_limits_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     text = plan(merge.first_per_key(df, ["k"], [F.col("id")]))
@@ -192,11 +366,17 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
-def test_committed_loads_prune_folders(spark, store, products):
+def test_only_committed_folders_are_listed(spark, store, products, monkeypatch):
     store.load(products)
-    store.load(spark.createDataFrame([("b_2", 9, "Nine")], PRODUCTS))
-    text = plan(store.table().select("product_id"))
-    assert "PartitionFilters: [load_id" in text and "Join" not in text
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "commit", crash)
+        with pytest.raises(KeyboardInterrupt):
+            store.load(spark.createDataFrame([("b_2", 9, "Nine")], PRODUCTS))
+    table = store.table().select("product_id")
+    assert "Join" not in plan(table)
+    assert len(table.inputFiles()) > 0
+    (segment,) = store.manifest().segments
+    assert all(segment.folder in f for f in table.inputFiles())
 
 
 def test_a_hot_batch_is_not_shuffled_by_its_id(spark, store, monkeypatch):

@@ -52,8 +52,7 @@ def test_stream_merge_is_idempotent(spark, tmp_path):
 
     def table():
         tagged = spark.createDataFrame([], SCHEMA + ", batch_id string").schema
-        events = ledger.read_runs(spark, runs)
-        return rows(merge.read_table(spark, root, "products", events, tagged).select("product_id", "brand"), "product_id")
+        return rows(merge.read_table(spark, root, "products", tagged).select("product_id", "brand"), "product_id")
 
     land(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], SCHEMA), root, "postgres", "products", "b_1", layer="processed")
     run()
@@ -82,5 +81,39 @@ def test_batches_of_one_trigger_load_in_their_order(spark, tmp_path):
         spark, source, root, f"{root}/check", schema, "products", "postgres", ["product_id"], runs
     ).awaitTermination()
     tagged = spark.createDataFrame([], SCHEMA + ", batch_id string").schema
-    table = merge.read_table(spark, root, "products", ledger.read_runs(spark, runs), tagged)
+    table = merge.read_table(spark, root, "products", tagged)
     assert rows(table.select("brand")) == [("zebra-first",)]
+
+
+def test_a_late_file_of_a_loaded_batch_is_loaded_once(spark, tmp_path):
+    root, runs = str(tmp_path), f"{tmp_path}/runs"
+    source = table_path(root, "processed", "postgres", "products")
+    tagged = spark.createDataFrame([], SCHEMA + ", batch_id string").schema
+
+    def arrive(batch, *values):
+        """A file of its own, moved into place next to those that are there."""
+        spark.createDataFrame(list(values), SCHEMA).coalesce(1).write.mode("append").parquet(f"{source}/batch_id={batch}")
+
+    def run(checkpoint="check"):
+        incremental.stream_merge(
+            spark, source, root, f"{root}/{checkpoint}", spark.createDataFrame([], SCHEMA).schema, "products", "postgres",
+            ["product_id"], runs,
+        ).awaitTermination()
+        return rows(merge.read_table(spark, root, "products", tagged).select("product_id", "brand"), "product_id")
+
+    # A batch that is only half there when the trigger fires.
+    arrive("b_1", (1, "a"), (None, "no key"))
+    assert run() == [(1, "a")]
+    arrive("b_2", (3, "c"))
+    assert run() == [(1, "a"), (3, "c")]
+    arrive("b_1", (2, "b"), (1, "late"), (None, "none either"))
+    assert run() == [(1, "a"), (2, "b"), (3, "c")]
+    assert run() == [(1, "a"), (2, "b"), (3, "c")]
+    # A lost checkpoint offers every batch again; no file is read twice.
+    arrive("b_2", (4, "d"))
+    assert run("other") == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    done = ledger.successes(ledger.read_runs(spark, runs)).select("watermark_value", "records_extracted", "records_loaded", "records_rejected")
+    assert sorted(rows(done)) == [("b_1", 2, 1, 1), ("b_1", 3, 1, 1), ("b_2", 1, 1, 0), ("b_2", 1, 1, 0)]
+    unkeyed = spark.read.parquet(table_path(root, merge.UNKEYED, "postgres", "products"))
+    assert sorted(r.brand for r in unkeyed.collect()) == ["no key", "none either"]
+    assert merge.loaded_files(spark, root, "products").count() == 4

@@ -84,6 +84,34 @@ def _texts(*names: str) -> dict[str, T.DataType]:
     return {name: _TEXT for name in names}
 
 
+# Column types of the relational sources, in source order.
+_MONEY, _TIME = T.DecimalType(12, 2), T.TimestampType()
+
+CUSTOMER_SCHEMA = struct(
+    customer_id=_LONG, **_texts("first_name", "last_name", "email", "phone", "city", "state", "country"),
+    created_at=_TIME, updated_at=_TIME,
+)
+
+PRODUCT_SCHEMA = struct(
+    product_id=_LONG, **_texts("product_name", "category", "brand"), unit_price=_MONEY, cost_price=_MONEY,
+    stock_quantity=_LONG, created_at=_TIME, updated_at=_TIME,
+)
+
+ORDER_SCHEMA = struct(
+    order_id=_LONG, customer_id=_LONG, order_status=_TEXT, order_date=_TIME, currency=_TEXT,
+    subtotal=_MONEY, shipping_fee=_MONEY, discount_amount=_MONEY, total_amount=_MONEY, updated_at=_TIME,
+)
+
+ORDER_ITEM_SCHEMA = struct(
+    order_item_id=_LONG, order_id=_LONG, product_id=_LONG, quantity=_LONG,
+    unit_price=_MONEY, discount_amount=_MONEY, line_total=_MONEY,
+)
+
+PAYMENT_SCHEMA = struct(
+    payment_id=_LONG, order_id=_LONG, payment_method=_TEXT, payment_status=_TEXT, amount=_MONEY,
+    transaction_reference=_TEXT, paid_at=_TIME, updated_at=_TIME,
+)
+
 SESSION_SCHEMA = struct(
     _id=_TEXT, session_id=_TEXT, customer_id=_LONG, started_at=_TEXT, ended_at=_TEXT, browser=_TEXT,
     location=struct(**_texts("city", "state", "country")),
@@ -115,3 +143,16 @@ SHIPMENT_SCHEMA = struct(
 )
 
 CARRIER_SCHEMA = struct(**_texts("carrier_id", "carrier_name", "service_level", "support_phone"))
+
+# What each source delivers. The layers' schemas follow from these (``plans.schemas``).
+SOURCE_SCHEMAS = {
+    "customers": CUSTOMER_SCHEMA,
+    "products": PRODUCT_SCHEMA,
+    "orders": ORDER_SCHEMA,
+    "order_items": ORDER_ITEM_SCHEMA,
+    "payments": PAYMENT_SCHEMA,
+    "customer_sessions": SESSION_SCHEMA,
+    "product_reviews": REVIEW_SCHEMA,
+    "carriers": CARRIER_SCHEMA,
+    "shipments": SHIPMENT_SCHEMA,
+}

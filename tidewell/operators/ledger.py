@@ -2,10 +2,13 @@
 
 State is never updated in place. Every change is a new row, and readers take the latest,
 so a lost executor or a crashed driver can leave a row missing but never a row half written.
+Every append is a folder of its own, so that runs side by side don't meet in one folder's commit.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 from tidewell.datasets import RUN_STATUSES, struct
 from tidewell.functions.text import batch_order
 from tidewell.session import read_or_empty
+from tidewell.sources import files
 from tidewell.sources.scans import mark_literal, mark_value
 
 _TEXT, _LONG, _TIME = T.StringType(), T.LongType(), T.TimestampType()
@@ -32,11 +36,16 @@ STARTED, FINISHED = 1, 2
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, RUN_EVENTS)
+    return read_or_empty(spark, path, RUN_EVENTS, nested=True)
 
 
 def read_marks(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, MARKS)
+    return read_or_empty(spark, path, MARKS, nested=True)
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Add a few rows to an append-only table."""
+    df.coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
 def _append(df: DataFrame, path: str, schema: T.StructType) -> None:
@@ -45,7 +54,7 @@ def _append(df: DataFrame, path: str, schema: T.StructType) -> None:
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema
     ]
-    df.select(*row).coalesce(1).write.mode("append").parquet(path)
+    append_rows(df.select(*row), path)
 
 
 def append_runs(df: DataFrame, path: str) -> None:
@@ -74,63 +83,50 @@ def start_run(batches: DataFrame, path: str, load_id: str, pipeline: str, source
     )
 
 
-def _finish(started: DataFrame, status: Column, **values: Column) -> DataFrame:
-    replaced = {
-        "event_seq": F.lit(FINISHED),
-        "event_time": F.current_timestamp(),
-        "status": status,
-        **values,
-    }
-    return started.withColumns(replaced)
-
-
-def mark_success(
-    spark: SparkSession, path: str, load_id: str, counts: DataFrame, folder: str | None = None
+def _finish(
+    spark: SparkSession, path: str, load_id: str, pipeline: str, source: str, status: str, runs: list[tuple],
+    error: str | None = None,
 ) -> None:
-    """A ``success`` row per started batch of the load.
-
-    ``counts`` holds ``batch_id, records_extracted, records_loaded, records_rejected``. Rows
-    read that were neither loaded nor rejected were ignored as already present. ``folder`` is
-    the load id the rows were stored under, if it is another one.
-    """
-    numbers = ["records_extracted", "records_loaded", "records_rejected"]
-    started = _started(spark, path, load_id).drop(*numbers)
-    given = counts if "records_rejected" in counts.columns else counts.withColumn("records_rejected", F.lit(0))
-    rows = started.join(
-        given.withColumnRenamed("batch_id", "watermark_value"), "watermark_value", "left"
-    ).fillna(0, numbers)
-    ignored = F.col("records_extracted") - F.col("records_loaded") - F.col("records_rejected")
+    """A closing row for each batch of a load. ``runs`` holds the batch and its four counts."""
+    numbers = "records_extracted long, records_loaded long, records_ignored long, records_rejected long"
+    rows = spark.createDataFrame(runs, f"watermark_value string, {numbers}")
     append_runs(
-        _finish(rows, F.lit("success"), records_ignored=ignored, load_id=F.lit(folder or load_id)), path
-    )
-
-
-def mark_fail(spark: SparkSession, path: str, load_id: str, error: str) -> None:
-    append_runs(
-        _finish(_started(spark, path, load_id), F.lit("failed"), error_message=F.lit(error)), path
-    )
-
-
-def mark_skipped(batches: DataFrame, path: str, load_id: str, pipeline: str, source: str) -> None:
-    append_runs(
-        batches.select(
-            F.concat_ws(":", F.lit(load_id), F.lit(pipeline), "batch_id").alias("run_id"),
+        rows.select(
+            "*",
+            F.concat_ws(":", F.lit(load_id), F.lit(pipeline), "watermark_value").alias("run_id"),
             F.lit(load_id).alias("load_id"),
             F.lit(pipeline).alias("pipeline_name"),
             F.lit(source).alias("source_name"),
             F.lit(FINISHED).alias("event_seq"),
             F.current_timestamp().alias("event_time"),
-            F.lit("skipped").alias("status"),
-            F.col("batch_id").alias("watermark_value"),
+            F.lit(status).alias("status"),
+            F.lit(error).alias("error_message"),
         ),
         path,
     )
 
 
-def _started(spark: SparkSession, path: str, load_id: str) -> DataFrame:
-    return read_runs(spark, path).filter(
-        (F.col("load_id") == load_id) & (F.col("event_seq") == STARTED)
-    )
+def mark_success(
+    spark: SparkSession, path: str, load_id: str, pipeline: str, source: str, counts: list[list]
+) -> None:
+    """A ``success`` row per batch of the load.
+
+    ``counts`` holds ``[batch, extracted, loaded, rejected]``. Rows read that were neither
+    loaded nor rejected were ignored as already present.
+    """
+    runs = [(b, read, loaded, read - loaded - rejected, rejected) for b, read, loaded, rejected in counts]
+    _finish(spark, path, load_id, pipeline, source, "success", runs)
+
+
+def mark_fail(
+    spark: SparkSession, path: str, load_id: str, pipeline: str, source: str, batches: list[str], error: str
+) -> None:
+    _finish(spark, path, load_id, pipeline, source, "failed", [(b, None, None, None, None) for b in batches], error)
+
+
+def mark_skipped(batches: DataFrame, path: str, load_id: str, pipeline: str, source: str) -> None:
+    names = [r.batch_id for r in batches.select("batch_id").collect()]
+    _finish(batches.sparkSession, path, load_id, pipeline, source, "skipped", [(b, None, None, None, None) for b in names])
 
 
 def run_state(events: DataFrame) -> DataFrame:
@@ -172,12 +168,34 @@ def pending_batches(
     return batches.join(done, "batch_id", "left_anti")
 
 
+def compact(spark: SparkSession, path: str) -> None:
+    """Gather a table's appends into one, so that reading it doesn't grow with the number of loads.
+
+    The appends that went in are named in a list and deleted by the next call. Until then their rows come
+    twice, which no reader minds, as each takes the latest row of a run; so none meets a missing file or a missing row.
+    """
+    listed, there = f"{path}/_gathered", files.names(spark, path)
+    gathered = files.read_text(spark, listed).split("\n") if "_gathered" in there else []
+    for name in gathered:
+        files.remove(spark, f"{path}/{name}")
+    files.remove(spark, listed)
+    small = sorted(n for n in there if not n.startswith("_") and n not in gathered)
+    if len(small) > 1:
+        append_rows(spark.read.parquet(*[f"{path}/{n}" for n in small]).dropDuplicates(), path)
+        files.put_if_absent(spark, listed, "\n".join(small))
+
+
 def pending_ids(batches: DataFrame, events: DataFrame, pipeline: str, source: str) -> list[str]:
     """The pending batches in load order: a few ids per run, never the history."""
     todo = pending_batches(batches, events, pipeline, source)
     return [r.batch_id for r in todo.orderBy(*batch_order(F.col("batch_id"))).collect()]
 
 
+def in_load_order(spark: SparkSession, batches: list[str]) -> list[str]:
+    rows = spark.createDataFrame([(b,) for b in batches], "batch_id string")
+    return [r.batch_id for r in rows.orderBy(*batch_order(F.col("batch_id"))).collect()]
+
+
 def latest_mark(marks: DataFrame) -> DataFrame:
     """The current mark per (pipeline, source): the last writer wins."""
     rest = [c for c in marks.columns if c not in ("pipeline_name", "source_name")]

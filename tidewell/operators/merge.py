@@ -1,14 +1,23 @@
 """Idempotent loads into warehouse tables.
 
-A table is a Parquet folder partitioned by ``load_id``. A load writes under a new id
-and becomes visible only when the ledger holds its success row, so a crash
-at any point leaves nothing to undo, and a rerun of loaded batches reads nothing.
+A table is a list of segments, Parquet folders ``load_id=<id>`` that never change. A load writes a new segment
+and becomes visible when it creates the next numbered manifest (``commits``), so a crash
+at any point leaves nothing to undo, a rerun of loaded batches reads nothing, and two loads of a table
+never both commit on the same view of it.
+
+Segments of about one size are merged into one, so that a table has a few segments for each power of
+``FAN`` of its rows, however often it was loaded. Large segments are bucketed and sorted by key: a large batch then
+meets them without a shuffle of the table.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import uuid
+from collections import defaultdict
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +26,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidewell.functions.text import batch_order
-from tidewell.operators import ledger
+from tidewell.operators import commits, ledger
+from tidewell.operators.commits import Segment
 from tidewell.session import read_or_empty
-from tidewell.sources.layers import land
+from tidewell.sources import files, layers
 
 
 def first_per_key(df: DataFrame, pk: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -64,47 +74,215 @@ def merge_latest_wins(
     return first_per_key(keyed, pk, order_by)
 
 
-def _within_range(target: DataFrame, staged: DataFrame, col: str) -> DataFrame:
-    """Bound the target by the batch's key range, which Parquet statistics can prune by."""
-    if not isinstance(target.schema[col].dataType, (T.NumericType, T.StringType)):
-        return target
-    low, high = staged.agg(F.min(col), F.max(col)).first()
-    return target if low is None else target.filter(F.col(col).between(low, high))
+# Segments of one level that are merged into one; a level is a power of this many rows.
+FAN = 8
+# Rows for each bucket of a bucketed segment. A segment with less than two buckets' rows is left plain.
+BUCKET_ROWS = 4_000_000
+# The layer that keeps rows no merge can place, because part of their key is null.
+UNKEYED = "unkeyed"
 
 
 def warehouse_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/warehouse/{table}"
 
 
-def _with_load_id(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])
+def _segment_path(root: str, table: str, folder: str) -> str:
+    return f"{warehouse_path(root, table)}/load_id={folder}"
+
+
+def _sources_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/control/loaded_files/{table}"
+
+
+# Segments: written, read, merged
+
+
+def _bucket_table(path: str) -> str:
+    return f"tidewell_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def _write_segment(
+    rows: DataFrame, root: str, table: str, folder: str, pk: Sequence[str], most: int, sources: str | None = None
+) -> Segment:
+    """Write rows as a new segment, not counted yet; ``most`` bounds their number."""
+    path = _segment_path(root, table, folder)
+    buckets = most // BUCKET_ROWS
+    if buckets > 1:
+        writer = rows.repartition(buckets, *pk).write.format("parquet").mode("errorifexists")
+        writer.bucketBy(buckets, *pk).sortBy(*pk).option("path", path).saveAsTable(_bucket_table(path))
+    else:
+        buckets = 0
+        rows.write.mode("errorifexists").parquet(path)
+    return Segment(folder, 0, buckets, sources)
+
+
+def _read(
+    spark: SparkSession, root: str, table: str, segment: Segment, schema: T.StructType, pk: Sequence[str]
+) -> DataFrame:
+    """The rows of one segment, by its buckets where it has some."""
+    path = _segment_path(root, table, segment.folder)
+    if not segment.buckets:
+        return spark.read.schema(schema).parquet(path)
+    name = _bucket_table(path)
+    if not spark.catalog.tableExists(name):
+        # Another session wrote it.
+        keys = ", ".join(f"`{c}`" for c in pk)
+        spark.sql(
+            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+            f"INTO {segment.buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name).select(*schema.names)
 
 
-def committed_loads(events: DataFrame, table: str) -> list[str]:
-    """The ids of a table's visible loads: one short text per load."""
-    loads = ledger.successes(events).filter(F.col("pipeline_name") == table)
-    return sorted(r.load_id for r in loads.select("load_id").distinct().collect())
+def _together(
+    spark: SparkSession, root: str, table: str, segments: Sequence[Segment], schema: T.StructType
+) -> DataFrame:
+    """The rows of some segments with their ``load_id``; only their folders are listed."""
+    tagged = T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])
+    if not segments:
+        return spark.createDataFrame([], tagged)
+    paths = [_segment_path(root, table, s.folder) for s in segments]
+    return spark.read.schema(tagged).option("basePath", warehouse_path(root, table)).parquet(*paths)
 
 
 def read_table(
-    spark: SparkSession,
-    root: str,
-    table: str,
-    events: DataFrame,
-    schema: T.StructType | None = None,
+    spark: SparkSession, root: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The rows of committed loads; the other loads' folders are not opened.
+    """The rows of all committed loads; the folders of others are not opened.
 
-    The load ids become a partition filter rather than a join: joined by shuffle, a first
-    load would put most of the table under one key. Without a ``schema`` the columns are
-    the union over all loads.
+    Without a ``schema`` the columns are the union over the segments.
     """
-    path = warehouse_path(root, table)
+    segments = commits.read_manifest(spark, root, table).segments
     if schema is None:
-        rows = spark.read.option("mergeSchema", True).parquet(path)
-    else:
-        rows = read_or_empty(spark, path, _with_load_id(schema))
-    return rows.filter(F.col("load_id").isin(committed_loads(events, table)))
+        paths = [_segment_path(root, table, s.folder) for s in segments]
+        return spark.read.option("mergeSchema", True).option("basePath", warehouse_path(root, table)).parquet(*paths)
+    return _together(spark, root, table, segments, schema)
+
+
+def read_latest(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, pk: Sequence[str], order_by: Sequence[Column]
+) -> DataFrame:
+    """The current version of each key, first by ``order_by``, of a table loaded in ``latest`` mode.
+
+    A segment holds one version of a key. So rows of the largest segment stand unless a later load names
+    their key, and only the other segments, and the rows they replace, are shuffled and ranked.
+    """
+    segments = sorted(commits.read_manifest(spark, root, table).segments, key=lambda s: -s.rows)
+    if len(segments) < 2:
+        return _together(spark, root, table, segments, schema).drop("load_id")
+    base = _read(spark, root, table, segments[0], schema, pk)
+    later = _together(spark, root, table, segments[1:], schema).drop("load_id")
+    keys = later.select(*pk).distinct()
+    met = later.unionByName(base.join(keys, list(pk), "left_semi").select(*schema.names))
+    current = first_per_key(met, pk, order_by).select(*schema.names)
+    return base.join(keys, list(pk), "left_anti").select(*schema.names).unionByName(current)
+
+
+def _level(segment: Segment) -> int:
+    return int(math.log(max(segment.rows, 1), FAN) + 1e-9)
+
+
+def merge_segments(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, pk: Sequence[str], ledger_path: str,
+    order_by: Sequence[Column] | None = None,
+) -> int:
+    """Merge the segments of every level that has ``FAN`` of them; returns how many merges were committed.
+
+    Keys of a table in ``first`` mode are unique over its segments, so rows are only copied. With an ``order_by``
+    the first version of each key is kept. A merge that a sweep or another merge overtakes is dropped.
+    """
+    done = 0
+    while True:
+        manifest = commits.read_manifest(spark, root, table)
+        levels = defaultdict(list)
+        for s in manifest.segments:
+            levels[_level(s)].append(s)
+        crowded = [level for level, held in sorted(levels.items()) if len(held) >= FAN]
+        if not crowded:
+            return done
+        old = levels[crowded[0]]
+        folder = f"m{uuid.uuid4().hex}"
+        rows = _together(spark, root, table, old, schema).drop("load_id")
+        if order_by is not None:
+            rows = first_per_key(rows, pk, order_by)
+        sources = _merge_sources(spark, root, table, old, folder)
+        rows = rows.select(*schema.names).hint("rebalance")
+        new = _write_segment(rows, root, table, folder, pk, sum(s.rows for s in old), sources)
+        new = replace(new, rows=_read(spark, root, table, new, schema, pk).count())
+        while set(old) <= set(manifest.segments):
+            commits.settle(spark, ledger_path, manifest)
+            kept = [s for s in manifest.segments if s not in old]
+            if commits.commit(spark, root, table, manifest, [new, *kept]):
+                done += 1
+                break
+            manifest = commits.read_manifest(spark, root, table)
+        else:
+            return done
+
+
+def sweep(spark: SparkSession, root: str, table: str, hours: float = 168.0) -> list[str]:
+    """Delete what no reader needs and nobody has changed for ``hours``: folders that no manifest lists,
+    and manifests but the newest. A load or a query that takes longer than that loses its footing."""
+    newest = commits.read_manifest(spark, root, table)
+    live = newest.folders() | {s.sources for s in newest.segments}
+    now = spark._jvm.java.lang.System.currentTimeMillis()
+    gone = []
+    for base in (warehouse_path(root, table), _sources_path(root, table)):
+        for name, changed in files.names(spark, base).items():
+            if name.removeprefix("load_id=") not in live and now - changed > hours * 3_600_000:
+                spark.sql(f"DROP TABLE IF EXISTS {_bucket_table(f'{base}/{name}')}")
+                gone.append(f"{base}/{name}")
+    for name, changed in files.names(spark, commits.manifests_path(root, table)).items():
+        if name.isdigit() and int(name) < newest.number and now - changed > hours * 3_600_000:
+            gone.append(f"{commits.manifests_path(root, table)}/{name}")
+    for path in gone:
+        files.remove(spark, path)
+    return gone
+
+
+# Landed files that went into a table
+
+
+def loaded_files(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """``batch_id`` and ``file`` of every landed file that committed loads have read."""
+    ids = sorted({s.sources for s in commits.read_manifest(spark, root, table).segments if s.sources})
+    if not ids:
+        return spark.createDataFrame([], layers.LANDED)
+    return spark.read.schema(layers.LANDED).parquet(*[f"{_sources_path(root, table)}/load_id={i}" for i in ids])
+
+
+def _merge_sources(spark: SparkSession, root: str, table: str, old: Sequence[Segment], folder: str) -> str | None:
+    ids = sorted({s.sources for s in old if s.sources})
+    if not ids:
+        return None
+    rows = spark.read.schema(layers.LANDED).parquet(*[f"{_sources_path(root, table)}/load_id={i}" for i in ids])
+    rows.hint("rebalance").write.mode("errorifexists").parquet(f"{_sources_path(root, table)}/load_id={folder}")
+    return folder
+
+
+# Loads
+
+
+def load_landed(
+    spark: SparkSession, path: str, root: str, table: str, source: str, schema: T.StructType, pk: Sequence[str],
+    ledger_path: str, marks_path: str | None = None, mode: str = "first", order_by: Sequence[Column] = (),
+    batches: Sequence[str] | None = None,
+) -> str | None:
+    """Load the landed files under ``path`` that no committed load has read; all in one job.
+
+    The unit is the file: one that arrives in a batch that is already loaded is loaded by the next call, alone and
+    once. Only the named ``batches`` are looked at, or all. See ``load_batches``.
+    """
+    listed = layers.landed_files(spark, path, batches)
+    new = listed.join(loaded_files(spark, root, table), ["batch_id", "file"], "left_anti")
+    parts = layers.choose_files(listed, new)
+    if not parts:
+        return None
+    rows = layers.read_files(spark, path, schema, parts)
+    order = ledger.in_load_order(spark, [b for b, _ in parts])
+    return load_batches(
+        spark, rows, root, table, source, pk, ledger_path, marks_path, mode, order_by, order, new
+    )
 
 
 def load_batches(
@@ -119,14 +297,16 @@ def load_batches(
     mode: str = "first",
     order_by: Sequence[Column] = (),
     pending: Sequence[str] | None = None,
+    landed: DataFrame | None = None,
 ) -> str | None:
     """Load every batch of ``processed`` the ledger does not list as done; all in one job.
 
-    ``pending`` names those batches, in load order, where the caller has looked them up.
+    ``pending`` names those batches, in load order, where the caller has looked them up, and
+    ``landed`` the files their rows come from, to be remembered as loaded.
 
     ``mode='first'`` inserts keys the table lacks: the earliest batch wins, then
     ``order_by``. ``mode='latest'`` appends the newest version of each key, first by
-    ``order_by``, then the latest batch; read it through ``merge_latest_wins``. Returns
+    ``order_by``, then the latest batch; read it through ``read_latest``. Returns
     the load id, or ``None`` when nothing was pending. On error before the commit the run is
     marked failed and the error raised again.
 
@@ -134,76 +314,73 @@ def load_batches(
     that others overtake takes their keys out and writes again before it commits.
     """
     load_id = uuid.uuid4().hex
-    runs = ledger.read_runs(spark, ledger_path)
+    manifest = commits.read_manifest(spark, root, table)
+    commits.settle(spark, ledger_path, manifest)
     if pending is None:
         batches = processed.select("batch_id").distinct()
-        pending = ledger.pending_ids(batches, runs, table, source)
+        pending = ledger.pending_ids(batches, ledger.read_runs(spark, ledger_path), table, source)
     if not pending:
         return None
     started = spark.createDataFrame([(b,) for b in pending], "batch_id string")
     ledger.start_run(started, ledger_path, load_id, table, source)
     staging = f"{root.rstrip('/')}/staging/{table}/{load_id}"
     try:
-        schema = processed.schema
+        schema = T.StructType([f for f in processed.schema if f.name != layers.LANDED_FILE])
         rows = processed.filter(F.col("batch_id").isin(list(pending)))
         keyed, unkeyed = split_null_keys(rows, pk)
-        counts = _counts(rows, pk)
-        if any(c.records_rejected for c in counts):
-            land(unkeyed.select(*schema.names), root, source, table, layer=UNKEYED)
+        read = {c.batch_id: (c.records_extracted, c.records_rejected) for c in _counts(rows, pk)}
+        if any(rejected for _, rejected in read.values()):
+            layers.land(unkeyed, root, source, table, layer=UNKEYED)
         number = batch_order(F.col("batch_id"))
         if mode == "first":
             order = [*number, *order_by]
         else:
             order = [*order_by, *[c.desc() for c in number]]
+        order = row_order(processed.select(*schema.names), pk, *order)
         # The staging table cuts the lineage and gives the planner the batch's true size,
         # so a small batch is broadcast against the target instead of shuffling the target.
-        candidates = first_per_key(keyed, pk, row_order(processed, pk, *order))
-        candidates.select(*schema.names).write.parquet(staging)
-        staged = inserted = spark.read.schema(schema).parquet(staging)
-        seen: set[str] = set()
-        # Loads that others commit meanwhile are taken out before this one commits.
+        first_per_key(keyed, pk, order).select(*schema.names).write.parquet(staging)
+        inserted = spark.read.schema(schema).parquet(staging)
+        sources = None
+        if landed is not None:
+            sources = load_id
+            landed.write.mode("errorifexists").parquet(f"{_sources_path(root, table)}/load_id={load_id}")
+        most = sum(n for n, _ in read.values())
+        seen: set[Segment] = set()
         attempt, folder = 0, load_id
+        # Keys of segments that others commit meanwhile are taken out before this load commits.
         while True:
-            loads = set(committed_loads(runs, table))
-            if mode == "first" and loads - seen:
-                target = _read_loads(spark, root, table, loads - seen, schema)
-                known = (
-                    _within_range(target, staged, pk[0])
-                    .select(*pk)
-                    .join(staged.select(*pk), list(pk), "left_semi")
-                )
-                inserted = inserted.join(known, list(pk), "left_anti")
-            # A folder of its own: loads of one table that run side by side share no commit.
-            path = f"{warehouse_path(root, table)}/load_id={folder}"
-            inserted.select(*schema.names).write.mode("errorifexists").parquet(path)
-            inserted = spark.read.schema(schema).parquet(path)
-            seen |= loads
-            runs = ledger.read_runs(spark, ledger_path)
-            if mode != "first" or not set(committed_loads(runs, table)) - seen:
+            if mode == "first":
+                fresh = [s for s in manifest.segments if s not in seen]
+                inserted = _without_known(inserted, root, table, fresh, schema, pk)
+            segment = _write_segment(inserted.select(*schema.names), root, table, folder, pk, most, sources)
+            inserted = _read(spark, root, table, segment, schema, pk)
+            written = dict(inserted.groupBy("batch_id").count().collect())
+            segment = replace(segment, rows=sum(written.values()))
+            load = {
+                "load_id": load_id, "pipeline": table, "source": source,
+                "counts": [[b, *read.get(b, (0, 0))[:1], written.get(b, 0), *read.get(b, (0, 0))[1:]] for b in pending],
+            }
+            committed = commits.commit(spark, root, table, manifest, [*manifest.segments, segment], load)
+            if committed:
                 break
+            seen |= set(manifest.segments)
+            manifest = commits.read_manifest(spark, root, table)
+            commits.settle(spark, ledger_path, manifest)
             attempt += 1
             folder = f"{load_id}_{attempt}"
-        written = inserted.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records_loaded"))
-        counted = spark.createDataFrame(
-            [tuple(c) for c in counts], "batch_id string, records_extracted long, records_rejected long"
-        )
-        ledger.mark_success(
-            spark, ledger_path, load_id, counted.join(written, "batch_id", "left"), folder
-        )
     except Exception as error:
-        ledger.mark_fail(spark, ledger_path, load_id, str(error))
+        ledger.mark_fail(spark, ledger_path, load_id, table, source, list(pending), str(error))
         raise
     # The load is committed: what fails from here on raises, but it is no failed load.
+    ledger.mark_success(spark, ledger_path, **committed.load)
     if marks_path:
         ledger.write_mark(spark, marks_path, table, source, "batch_id", pending[-1])
-    _remove(spark, staging)
+    files.remove(spark, staging)
+    merge_segments(spark, root, table, schema, pk, ledger_path, None if mode == "first" else order)
     return load_id
 
 
-# The layer that keeps rows no merge can place, because part of their key is null.
-UNKEYED = "unkeyed"
-
-
 def _counts(rows: DataFrame, pk: Sequence[str]) -> list:
     """Rows read and rows without a whole key, per pending batch."""
     null_part = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
@@ -213,20 +390,32 @@ def _counts(rows: DataFrame, pk: Sequence[str]) -> list:
     ).collect()
 
 
-def _read_loads(
-    spark: SparkSession, root: str, table: str, loads: set[str], schema: T.StructType
+def _without_known(
+    staged: DataFrame, root: str, table: str, segments: Sequence[Segment], schema: T.StructType, pk: Sequence[str]
 ) -> DataFrame:
-    rows = read_or_empty(spark, warehouse_path(root, table), _with_load_id(schema))
-    return rows.filter(F.col("load_id").isin(sorted(loads)))
+    """The staged rows whose key none of the segments holds.
 
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder through the file system that holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def snapshot(df: DataFrame, path: str) -> str:
-    """Write a compacted copy of a table view to a new folder."""
-    df.hint("rebalance").write.mode("errorifexists").parquet(path)
-    return path
+    Bucketed segments are met one by one, each in its own buckets; the others, which are small, together.
+    """
+    spark = staged.sparkSession
+    targets = [_read(spark, root, table, s, schema, pk) for s in segments if s.buckets]
+    plain = [s for s in segments if not s.buckets]
+    if plain:
+        targets.append(_together(spark, root, table, plain, schema))
+    if not targets:
+        return staged
+    within = _key_range(staged, pk[0])
+    left = staged
+    for target in targets:
+        keys = target.select(*pk) if within is None else target.filter(within).select(*pk)
+        known = keys.join(staged.select(*pk), list(pk), "left_semi")
+        left = left.join(known, list(pk), "left_anti")
+    return left
+
+
+def _key_range(staged: DataFrame, col: str) -> Column | None:
+    """The batch's range of a key column, by which Parquet statistics can prune a target."""
+    if not isinstance(staged.schema[col].dataType, (T.NumericType, T.StringType)):
+        return None
+    low, high = staged.agg(F.min(col), F.max(col)).first()
+    return None if low is None else F.col(col).between(low, high)

@@ -7,18 +7,30 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewell.datasets import BY_NAME, DATASETS, Dataset, of_source
+from tidewell.datasets import BY_NAME, DATASETS, SOURCE_SCHEMAS, Dataset, of_source
 from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
-from tidewell.operators.merge import load_batches, merge_latest_wins, read_table, row_order
+from tidewell.operators.merge import load_landed, loaded_files, read_latest, read_table, row_order
 from tidewell.operators.nested import flatten_struct
 from tidewell.operators.quality import validate
 from tidewell.plans.cleaning import EVENT_NO, process
+from tidewell.plans.schemas import conform, processed_schema, raw_schema
 from tidewell.plans.star import build_star
 from tidewell.plans.suites import SUITES
 from tidewell.session import read_or_empty
-from tidewell.sources.layers import batch_ids, land, scan_layer, table_path, write_processed
+from tidewell.sources.layers import (
+    LANDED,
+    LANDED_FILE,
+    choose_files,
+    land,
+    landed_files,
+    read_files,
+    scan_layer,
+    table_path,
+    write_processed,
+)
 from tidewell.sources.scans import scan
 
 EXTRACT = "extract"
@@ -50,7 +62,7 @@ def extract(
     previous, sequence = ledger.read_mark(marks, name, dataset.source)
     batch_id = batch_id or new_batch_id(sequence + 1)
     folder = f"{table_path(root, 'raw', dataset.source, dataset.name)}/batch_id={batch_id}"
-    rows = flatten_struct(scan(dataset, source, previous))
+    rows = flatten_struct(conform(scan(dataset, source, previous), SOURCE_SCHEMAS[dataset.name]))
     if not read_or_empty(spark, folder, rows.schema).isEmpty():
         raise ValueError(f"batch {batch_id} of {dataset.name} is already landed")
     land(rows, root, dataset.source, dataset.name, batch_id)
@@ -70,64 +82,68 @@ def extract(
     return batch_id
 
 
-def _pending(spark: SparkSession, root: str, dataset: Dataset, layer: str) -> list[str]:
-    """The batch ids of a layer no load has committed yet, in load order."""
-    listed = batch_ids(spark, root, layer, dataset.source, dataset.name)
-    runs = ledger.read_runs(spark, runs_path(root))
-    return ledger.pending_ids(listed, runs, dataset.name, dataset.source)
+def consumed_path(root: str, dataset: Dataset) -> str:
+    return f"{root.rstrip('/')}/control/processed_files/{dataset.source}/{dataset.name}"
 
 
 def process_dataset(
     spark: SparkSession, root: str, dataset: Dataset, on_failure: str = "warn"
 ) -> dict | None:
-    """Clean the pending batches, write them, validate what was written.
+    """Clean the batches with raw files not processed yet, write them, validate what was written.
 
+    A batch is cleaned as a whole, so a file that came late is de-duplicated against the others of its batch; the
+    load then leaves out what it has.
     With ``quarantine`` the rejected rows go to the ``rejected`` layer instead.
     Returns the validation summary, if the dataset has a suite and anything was pending.
     """
     name, source = dataset.name, dataset.source
-    pending = _pending(spark, root, dataset, "raw")
+    raw = table_path(root, "raw", source, name)
+    listed = landed_files(spark, raw)
+    done = read_or_empty(spark, consumed_path(root, dataset), LANDED, nested=True)
+    new = listed.join(done, ["batch_id", "file"], "left_anti")
+    pending = [batch for batch, _ in choose_files(listed, new)]
     if not pending:
         return None
-    clean = process(name, scan_layer(spark, root, "raw", source, name, batches=pending))
+    rows = read_files(spark, raw, raw_schema(name), [(b, None) for b in pending]).drop(LANDED_FILE)
+    clean = process(name, rows)
     suite = SUITES.get(name)
     # Checks run over a written copy, so the cleaning is not computed once per check.
     quarantined = suite is not None and on_failure == "quarantine"
     layer = "checked" if quarantined else "processed"
     land(clean, root, source, name, layer=layer)
-    if suite is None:
-        return None
-    checked = scan_layer(spark, root, layer, source, name, clean.schema, pending)
-    kept, rejected, summary = validate(checked.select(*clean.columns), suite, on_failure)
-    if rejected is not None:
-        write_processed(kept, root, source, name)
-        land(rejected, root, source, name, layer="rejected")
+    summary = None
+    if suite is not None:
+        checked = scan_layer(spark, root, layer, source, name, clean.schema, pending)
+        kept, rejected, summary = validate(checked.select(*clean.columns), suite, on_failure)
+        if rejected is not None:
+            write_processed(kept, root, source, name)
+            land(rejected, root, source, name, layer="rejected")
+    # Named last: what is lost before is processed again, into the same folders.
+    ledger.append_rows(new.filter(F.col("batch_id").isin(pending)), consumed_path(root, dataset))
     return summary
 
 
 def load_dataset(
     spark: SparkSession, root: str, dataset: Dataset, mode: str = "first"
 ) -> str | None:
-    """Merge the processed batches into the warehouse.
+    """Merge the processed files that no load has read into the warehouse.
 
     ``first`` never changes a loaded row. ``latest`` keeps every version, and
     ``warehouse_table`` then shows the newest.
     """
-    pending = _pending(spark, root, dataset, "processed")
-    if not pending:
-        return None
-    rows = scan_layer(spark, root, "processed", dataset.source, dataset.name, batches=pending)
-    return load_batches(
-        spark, rows, root, dataset.name, dataset.source, dataset.primary_key,
-        runs_path(root), marks_path(root), mode, _within_batch(rows, mode), pending,
+    path = table_path(root, "processed", dataset.source, dataset.name)
+    schema = processed_schema(dataset.name)
+    return load_landed(
+        spark, path, root, dataset.name, dataset.source, schema, dataset.primary_key,
+        runs_path(root), marks_path(root), mode, _within_batch(schema, mode),
     )
 
 
-def _within_batch(rows: DataFrame, mode: str) -> list[Column]:
+def _within_batch(schema: T.StructType, mode: str) -> list[Column]:
     """The newest version first, or the order the events had in their document."""
     if mode == "latest":
-        return [F.col("updated_at").desc()] if "updated_at" in rows.columns else []
-    return [F.col(EVENT_NO)] if EVENT_NO in rows.columns else []
+        return [F.col("updated_at").desc()] if "updated_at" in schema.names else []
+    return [F.col(EVENT_NO)] if EVENT_NO in schema.names else []
 
 
 def run(
@@ -158,14 +174,12 @@ def warehouse_table(
     spark: SparkSession, root: str, table: str, mode: str = "first"
 ) -> DataFrame:
     """The committed rows of a table; one row per key in either mode."""
-    dataset = BY_NAME[table]
-    rows = read_table(spark, root, table, ledger.read_runs(spark, runs_path(root)))
+    dataset, schema = BY_NAME[table], processed_schema(table)
     if mode == "first":
-        return rows
-    newest = [*_within_batch(rows, mode), *[c.desc() for c in batch_order(F.col("batch_id"))]]
-    return merge_latest_wins(
-        rows, dataset.primary_key, row_order(rows, dataset.primary_key, *newest)
-    )
+        return read_table(spark, root, table, schema)
+    newest = [*_within_batch(schema, mode), *[c.desc() for c in batch_order(F.col("batch_id"))]]
+    order = row_order(spark.createDataFrame([], schema), dataset.primary_key, *newest)
+    return read_latest(spark, root, table, schema, dataset.primary_key, order)
 
 
 # Tables whose declared key is coarser than an event: the merge keeps one event per key, and
@@ -173,14 +187,12 @@ def warehouse_table(
 FROM_PROCESSED = ("customer_sessions", "shipments")
 
 
-def _committed(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
-    """The processed rows of the batches that a load has committed."""
-    rows = scan_layer(spark, root, "processed", dataset.source, dataset.name)
-    done = ledger.successes(ledger.read_runs(spark, runs_path(root))).filter(
-        (F.col("pipeline_name") == dataset.name) & (F.col("source_name") == dataset.source)
-    )
-    done = done.select(F.col("watermark_value").alias("batch_id"))
-    return rows.join(done, "batch_id", "left_semi").select(*rows.columns)
+def committed_rows(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+    """The processed rows of the files that a load has committed; no other file is opened, and nothing is joined."""
+    path = table_path(root, "processed", dataset.source, dataset.name)
+    listed = landed_files(spark, path)
+    parts = choose_files(listed, loaded_files(spark, root, dataset.name))
+    return read_files(spark, path, processed_schema(dataset.name), parts).drop(LANDED_FILE)
 
 
 def star(spark: SparkSession, root: str, mode: str = "first") -> dict[str, DataFrame]:
@@ -188,7 +200,7 @@ def star(spark: SparkSession, root: str, mode: str = "first") -> dict[str, DataF
     tables = {}
     for d in DATASETS:
         if d.name in FROM_PROCESSED:
-            tables[d.name] = _committed(spark, root, d)
+            tables[d.name] = committed_rows(spark, root, d)
         else:
             tables[d.name] = warehouse_table(spark, root, d.name, mode)
     tables["shipment_events"] = tables["shipments"]

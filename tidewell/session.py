@@ -56,10 +56,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tidewell/{purpose}-{uuid.uuid4().hex}"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The Parquet table at ``path``, or no rows where nothing was written yet."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, nested: bool = False) -> DataFrame:
+    """The Parquet table at ``path``, or no rows where nothing was written yet; ``nested`` with all folders below."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", nested).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,10 @@ from tidewell.datasets import DATASETS, MAX_ROWS_PER_FILE
 from tidewell.functions.text import batch_id_from_name
 
 
+# The column that says which landed file a row comes from.
+LANDED_FILE = "landed_file"
+
+
 def table_path(root: str, layer: str, source: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{source}/{table}"
 
@@ -28,6 +33,7 @@ def land(
 ) -> str:
     """Write one batch, or the batches named by a ``batch_id`` column, replacing only those.
 
+    Rows that name the file they come from (``LANDED_FILE``) replace only what that file brought before.
     A single batch is written by the tasks that read it, without a shuffle. Several batches
     are rebalanced first: small ones then share no task with thousands of tiny files, and
     one that holds most of the rows is split over many tasks.
@@ -37,11 +43,12 @@ def land(
         df = df.withColumn("batch_id", F.lit(batch_id))
     else:
         df = df.hint("rebalance", F.col("batch_id"))
+    parts = [c for c in ("batch_id", LANDED_FILE) if c in df.columns]
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows)
-        .partitionBy("batch_id")
+        .partitionBy(*parts)
         .parquet(path)
     )
     return path
@@ -52,22 +59,80 @@ def write_processed(df: DataFrame, root: str, source: str, table: str) -> str:
     return land(df, root, source, table, layer="processed")
 
 
-def batch_ids(spark: SparkSession, root: str, layer: str, source: str, table: str) -> DataFrame:
-    """The batch ids of a table, from the file listing alone; none where nothing was landed."""
-    none = spark.createDataFrame([], "batch_id string")
+LANDED = T.StructType([T.StructField("batch_id", T.StringType()), T.StructField("file", T.StringType())])
+
+
+def landed_files(spark: SparkSession, path: str, batches: Sequence[str] | None = None) -> DataFrame:
+    """``batch_id`` and name of the files under a table's folder, from the listing alone; none where nothing was landed.
+
+    Only the folders of the named ``batches`` are listed, or all.
+    """
+    folders = [path] if batches is None else [f"{path}/batch_id={b}" for b in batches]
     try:
-        files = (
+        listed = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
-            .load(table_path(root, layer, source, table))
+            .option("basePath", path)
+            .load(folders)
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return none
+            return spark.createDataFrame([], LANDED)
         raise
-    if "batch_id" not in files.columns:
-        return none
-    return files.select(F.col("batch_id").cast("string")).distinct()
+    if "batch_id" not in listed.columns:
+        return spark.createDataFrame([], LANDED)
+    return listed.select(F.col("batch_id").cast("string"), F.element_at(F.split("path", "/"), -1).alias("file"))
+
+
+def batch_ids(spark: SparkSession, root: str, layer: str, source: str, table: str) -> DataFrame:
+    """The batch ids of a table, from the file listing alone."""
+    return landed_files(spark, table_path(root, layer, source, table)).select("batch_id").distinct()
+
+
+def choose_files(listed: DataFrame, wanted: DataFrame) -> list[tuple[str, list[str] | None]]:
+    """Batches with wanted files, and the names of these files where the batch has others too.
+
+    One short row per batch comes to the driver, and the names of files that share their batch with unwanted ones.
+    """
+    keys = ["batch_id", "file"]
+    marked = listed.join(wanted.select(*keys).distinct().withColumn("wanted", F.lit(True)), keys, "left")
+    some = marked.groupBy("batch_id").agg(
+        F.count("wanted").alias("n"), F.count(F.lit(1)).alias("total"),
+        F.collect_list(F.when(F.col("wanted"), F.col("file"))).alias("names"),
+    )
+    some = some.filter("n > 0").select("batch_id", F.when(F.col("n") < F.col("total"), F.col("names")).alias("names"))
+    return [(r.batch_id, r.names) for r in some.collect()]
+
+
+# Paths one reader is given; more are read by further readers and put together.
+_PATHS = 1000
+
+
+def read_files(
+    spark: SparkSession, path: str, schema: T.StructType, parts: Sequence[tuple[str, Sequence[str] | None]]
+) -> DataFrame:
+    """The rows of whole batches, and of single files of others, as ``choose_files`` names them.
+
+    Only these folders and files are listed and opened, and the batch id comes from the folder: nothing is joined.
+    ``LANDED_FILE`` says which file a row comes from.
+    """
+    tagged = with_batch(schema)
+    columns = [*map(F.col, tagged.names), F.col("_metadata.file_name").alias(LANDED_FILE)]
+    paths = [
+        f"{path}/batch_id={b}" if names is None else f"{path}/batch_id={b}/{n}" for b, names in parts for n in (names or [""])
+    ]
+    reader = spark.read.schema(tagged).option("pathGlobFilter", "*.parquet").option("basePath", path)
+    reads = [reader.parquet(*paths[i : i + _PATHS]).select(*columns) for i in range(0, len(paths), _PATHS)]
+    if not reads:
+        return spark.createDataFrame([], tagged).withColumn(LANDED_FILE, F.lit(""))
+    return reduce(DataFrame.unionByName, reads)
+
+
+def with_batch(schema: T.StructType) -> T.StructType:
+    """The schema with the folder's ``batch_id``."""
+    if "batch_id" in schema.names:
+        return schema
+    return T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
 
 
 def scan_layer(
@@ -91,9 +156,7 @@ def scan_layer(
         .option("mergeSchema", schema is None)
     )
     if schema is not None:
-        if "batch_id" not in schema.names:
-            schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
-        reader = reader.schema(schema)
+        reader = reader.schema(with_batch(schema))
     folders = [path] if batches is None else [f"{path}/batch_id={b}" for b in batches]
     df = reader.parquet(*folders)
     return df.withColumn("batch_id", F.col("batch_id").cast("string"))

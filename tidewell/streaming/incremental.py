@@ -1,40 +1,19 @@
-"""New batches picked up by Structured Streaming, each exactly once."""
+"""New batches and files picked up by Structured Streaming, each exactly once."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.operators import ledger
-from tidewell.operators.merge import load_batches
+from tidewell.operators.merge import load_landed
+from tidewell.sources.layers import LANDED_FILE, read_files, with_batch
 
 
 def _source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(_tagged(schema)).option("pathGlobFilter", "*.parquet").parquet(path)
-
-
-def _tagged(schema: T.StructType) -> T.StructType:
-    if "batch_id" in schema.names:
-        return schema
-    return T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
-
-
-def _landed(batch: DataFrame, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame] | None:
-    """The ids of the landed batches a trigger brought, and all rows of their folders.
-
-    Whole folders, as a trigger may have seen only some of a batch's files.
-    """
-    ids = batch.select("batch_id").distinct()
-    names = [r.batch_id for r in ids.collect()]  # the batches of one trigger
-    if not names:
-        return None
-    folders = [f"{path.rstrip('/')}/batch_id={n}" for n in names]
-    rows = batch.sparkSession.read.schema(_tagged(schema)).option("basePath", path).parquet(*folders)
-    return batch.sparkSession.createDataFrame([(n,) for n in names], "batch_id string"), rows
+    return spark.readStream.schema(with_batch(schema)).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def stream_processed(
@@ -52,9 +31,11 @@ def stream_processed(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        found = _landed(batch, raw, schema)
-        if found:
-            transform(found[1]).write.mode("overwrite").option(
+        names = [r.batch_id for r in batch.select("batch_id").distinct().collect()]  # the batches of one trigger
+        if names:
+            # Whole folders, as a trigger may have seen only some of a batch's files.
+            rows = read_files(batch.sparkSession, raw, schema, [(n, None) for n in names]).drop(LANDED_FILE)
+            transform(rows).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy("batch_id").parquet(out)
 
@@ -82,19 +63,17 @@ def stream_merge(
 ) -> StreamingQuery:
     """Merge newly processed batches into a warehouse table, one load per trigger.
 
-    Landed batches keep their ids: the ledger says which of them are loaded, whatever the
-    checkpoint says, and their order decides between versions.
+    A trigger only says which batches to look at. What is loaded then are the files of these batches that no
+    committed load has read, whatever the checkpoint says: a file that comes late into a loaded
+    batch is loaded once, by the trigger that brings it, and batch order decides between versions.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        found = _landed(batch, processed, schema)
-        if found:
-            ids, rows = found
-            session = batch.sparkSession
-            pending = ledger.pending_ids(ids, ledger.read_runs(session, ledger_path), table, source)
-            load_batches(
-                session, rows, root, table, source, pk, ledger_path,
-                mode=mode, order_by=order_by, pending=pending,
+        names = [r.batch_id for r in batch.select("batch_id").distinct().collect()]  # the batches of one trigger
+        if names:
+            load_landed(
+                batch.sparkSession, processed, root, table, source, with_batch(schema), pk, ledger_path,
+                mode=mode, order_by=order_by, batches=names,
             )
 
     return (

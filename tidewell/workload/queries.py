@@ -502,7 +502,7 @@ def _run_rows(s, root):
 @query
 def f03_stage_and_load(s, d):
     root, schema = _load_items(s, d)
-    return merge.read_table(s, root, "order_items", _run_rows(s, root), schema).drop("load_id")
+    return merge.read_table(s, root, "order_items", schema).drop("load_id")
 
 
 @query
@@ -510,7 +510,7 @@ def f04_skip_loaded_batches(s, d):
     root, schema = _load_items(s, d, rounds=3)
     runs = _run_rows(s, root)
     started = runs.filter("status = 'started'").groupBy(F.col("watermark_value").alias("batch_id"))
-    table = merge.read_table(s, root, "order_items", runs, schema).groupBy("batch_id")
+    table = merge.read_table(s, root, "order_items", schema).groupBy("batch_id")
     return table.agg(F.count(F.lit(1)).alias("rows")).join(
         started.agg(F.count(F.lit(1)).alias("runs")), "batch_id", "full"
     )
@@ -553,7 +553,7 @@ def _failed_load(s, d):
 @query
 def f07_fail_batch(s, d):
     root, schema = _failed_load(s, d)
-    table = merge.read_table(s, root, "order_items", _run_rows(s, root), schema)
+    table = merge.read_table(s, root, "order_items", schema)
     visible = table.groupBy(F.col("batch_id").alias("watermark_value")).agg(F.count(F.lit(1)).alias("n"))
     return ledger.run_state(_run_rows(s, root)).join(visible, "watermark_value", "left").select(
         F.col("watermark_value").alias("batch_id"), "status",
@@ -1219,7 +1219,7 @@ def l02_stream_merge(s, d):
             ["order_item_id"], jobs.runs_path(root),
         ).awaitTermination()
     tagged = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
-    return merge.read_table(s, root, "order_items", _run_rows(s, root), tagged).drop(
+    return merge.read_table(s, root, "order_items", tagged).drop(
         "load_id", "batch_id"
     )
 
