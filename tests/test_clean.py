@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -229,3 +229,23 @@ def test_batch_names(spark):
     df = spark.createDataFrame(ids, "batch_id string")
     ordered = [r[0] for r in df.orderBy(*batch_order(F.col("batch_id"))).collect()]
     assert [i.rsplit("_", 1)[-1] for i in ordered] == ["1", "2", "10", "odd"]
+
+
+def test_casts_tell_why_a_row_should_be_rejected(spark):
+    df = spark.createDataFrame(
+        [("2025-01-01", "7", 2.0, ["old"]), ("noon", "2.7", 2.5, []), (None, None, None, []), ("nine", "x", 3.0, [])],
+        "at string, n string, d double, reject_reasons array<string>",
+    )
+    got = clean.cast_with_reasons(df, ["at", "absent"], ["n", "d"])
+    assert [(r.n, r.d, r.reject_reasons) for r in got.collect()] == [
+        (7, 2, ["old"]),
+        (None, None, ["unreadable:at=noon", "not_integer:n=2.7", "not_integer:d=2.5"]),
+        (None, None, []),
+        (None, 3, ["unreadable:at=nine", "not_integer:n=x"]),
+    ]
+    assert got.schema["at"].dataType.typeName() == "timestamp"
+    assert got.filter("at IS NOT NULL").count() == 1
+    # One projection over the input, whatever the number of columns.
+    assert plan(got.drop("at")).count("Project") == 1
+    plain = clean.cast_with_reasons(df.drop("reject_reasons"))
+    assert {tuple(r.reject_reasons) for r in plain.collect()} == {()}

@@ -230,3 +230,62 @@ def test_committed_rows_are_read_by_their_folders(spark, loaded):
     after = jobs.committed_rows(spark, root, sessions)
     assert after.count() == n
     assert not [f for f in after.inputFiles() if "2999" in f]
+
+
+def test_quarantine_rejects_what_cannot_be_read(spark, tmp_path):
+    root = str(tmp_path)
+    found = spark.createDataFrame(
+        [
+            ("01", "r1", 1, 1.0, "5", "Good", "x", True, "2025-01-01", "1"),
+            ("02", "r2", 1, 1.5, "5", "Good", "x", True, "2025-01-01", "1"),
+            ("03", "r3", 1, 2e9, "five", "Good", "x", True, "half past two", "3"),
+        ],
+        "_id string, review_id string, product_id long, customer_id double, rating string, title string, "
+        "review_text string, verified_purchase boolean, created_at string, helpful_votes string",
+    )
+    summary = jobs.run(spark, root, {"product_reviews": found}, on_failure="quarantine")["product_reviews"]
+    assert not summary["success"]  # the rating that can't be read is missing
+    kept = jobs.warehouse_table(spark, root, "product_reviews")
+    assert rows(kept.select("review_id", "customer_id", "rating")) == [("r1", 1, 5)]
+    rejected = spark.read.parquet(f"{root}/rejected/mongodb/product_reviews")
+    assert {r.review_id: r.reject_reasons for r in rejected.collect()} == {
+        "r2": ["not_integer:customer_id=1.5", "not_null:customer_id"],
+        "r3": ["unreadable:created_at=half past two", "not_integer:rating=five", "not_null:rating"],
+    }
+    # The landed rows have what the source sent.
+    raw = spark.read.parquet(f"{root}/raw/mongodb/product_reviews")
+    assert rows(raw.select("customer_id", "rating"), "review_id") == [("1", "5"), ("1.5", "5"), ("2000000000", "five")]
+    with pytest.raises(Exception, match="is not an integer"):
+        jobs.run(spark, f"{root}/strict", {"product_reviews": found})
+
+
+def test_a_late_raw_file_is_processed_and_loaded(spark, tmp_path):
+    root, orders = str(tmp_path), BY_NAME["orders"]
+    batch = jobs.extract(spark, root, orders, order(spark, (1, "pending", "2025-01-01 10:00:00")))
+    jobs.process_dataset(spark, root, orders)
+    assert jobs.load_dataset(spark, root, orders)
+    late = schemas.conform(order(spark, (2, "shipped", "2025-01-01 09:00:00")), schemas.source_schema("orders"))
+    late.write.mode("append").parquet(f"{root}/raw/postgres/orders/batch_id={batch}")
+    for _ in range(2):
+        jobs.process_dataset(spark, root, orders)
+        jobs.load_dataset(spark, root, orders)
+    assert rows(jobs.warehouse_table(spark, root, "orders").select("order_id", "order_status"), "order_id") == [
+        (1, "pending"), (2, "shipped"),
+    ]
+    assert jobs.process_dataset(spark, root, orders) is None and jobs.load_dataset(spark, root, orders) is None
+    assert spark.read.parquet(f"{root}/processed/postgres/orders").count() == 2
+
+
+def test_datasets_side_by_side(spark, tmp_path):
+    from conftest import SF_DIR
+
+    root, inputs = str(tmp_path), seeds.source_tables(spark, SF_DIR)
+    some = {n: inputs[n] for n in ("customers", "products", "orders", "carriers")}
+    for _ in range(2):
+        jobs.run(spark, root, some, workers=4)
+    for name, df in some.items():
+        assert jobs.warehouse_table(spark, root, name).count() == df.count()
+    bad = {**some, "orders": some["orders"].withColumn("currency", F.raise_error(F.lit("no currency")).cast("string"))}
+    with pytest.raises(Exception, match="no currency"):
+        jobs.run(spark, f"{root}/bad", bad, workers=4)
+    assert jobs.warehouse_table(spark, f"{root}/bad", "carriers").count() == some["carriers"].count()

@@ -7,7 +7,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from tidewell.operators import merge
+from tidewell.operators import feed, merge
 from tidewell.plans import questions, seeds, star
 
 QUERIES = queries()
@@ -129,3 +129,26 @@ def test_sessionize_matches_the_row_by_row_rule(spark):
         expected += [(customer, i + 1, n) for i, n in enumerate(sizes)]
     got = questions.sessionize(df).select("customer_id", "session_no", "events")
     assert sorted(rows(got)) == sorted(expected)
+
+
+@pytest.mark.parametrize("name", ["h11_check_foreign_keys", "h12_check_unique_keys"])
+def test_key_checks_share_their_scans_and_their_shuffle(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert len(re.findall(r"\bExchange |BroadcastExchange", text)) <= 8
+
+
+def test_a_page_by_its_number_costs_a_page(spark):
+    rows_of = spark.range(0, 30_000, numPartitions=8).select((F.col("id") * 7 % 30_000).alias("k"), F.lit("a").alias("v"))
+    index = feed.page_index(rows_of, ["k"], 50)
+    assert rows(index.agg(F.count(F.lit(1)), F.min("page"), F.max("page"))) == [(600, 1, 600)]
+    for number in (1, 2, 317, 600):
+        found, totals = feed.page(rows_of, ["k"], number, 50, index=index)
+        assert [r[0] for r in rows(found)] == list(range((number - 1) * 50, number * 50))
+        text = plan(feed.page(rows_of, ["k"], number, 50, index=index)[0])
+        assert "TakeOrderedAndProject(limit=50," in text
+        assert totals.first().total_pages == 600
+    assert feed.page(rows_of, ["k"], 601, 50, index=index)[0].isEmpty()
+    assert feed.page_index(rows_of.limit(0), ["k"], 50).isEmpty()
+    text = spark.createDataFrame([(c, n) for c in "bca" for n in range(3)], "c string, n long")
+    found, _ = feed.page(text, ["c", "n"], 2, 4, index=feed.page_index(text, ["c", "n"], 4))
+    assert rows(found) == [("b", 1), ("b", 2), ("c", 0), ("c", 1)]

@@ -153,3 +153,34 @@ def test_constraints_cover_the_declared_states(spark):
     orders = spark.createDataFrame([("shipped",), ("lost",)], "order_status string")
     got = quality.run_suite(orders, checks.CONSTRAINTS["orders"])
     assert rows(got.select("unexpected_count", F.col("lowest_unexpected"))) == [(1, "lost")]
+
+
+def test_unique_columns_share_one_pass_and_keep_their_types(spark):
+    df = spark.createDataFrame(
+        [(9, "a", 1), (10, "b", 1), (10, "a", 2), (9, None, 3), (7, None, 4)], "k long, name string, one long"
+    )
+    found = quality.run_suite(df, [expect_unique(c) for c in df.columns])
+    got = rows(found.select("column", "success", "element_count", "missing_count", "unexpected_count",
+                            "lowest_unexpected", "highest_unexpected").orderBy("position"))
+    assert got == [("k", False, 5, 0, 4, "9", "10"), ("name", False, 5, 2, 2, "a", "a"), ("one", False, 5, 0, 2, "1", "1")]
+    text = plan(quality.run_suite(df, [expect_unique(c) for c in df.columns]))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Scan") == 1
+    empty = quality.run_suite(df.limit(0), [expect_unique("k"), expect_unique("name")])
+    assert rows(empty.select("success", "element_count", "unexpected_count")) == [(True, 0, 0)] * 2
+
+
+def test_all_keys_in_one_pass(spark):
+    tables = {
+        "p": spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, "x")], "id long, code string"),
+        "c": spark.createDataFrame([(1, 5), (7, 5), (7, 6), (None, 6)], "p_id long, other long"),
+    }
+    foreign = (("c", "p_id", "p", "id"), ("c", "other", "p", "id"), ("p", "id", "c", "p_id"))
+    assert sorted(rows(checks.orphan_report(tables, foreign))) == [
+        ("c", "other", "p", "5", 2), ("c", "other", "p", "6", 2), ("c", "p_id", "p", "7", 2), ("p", "id", "c", "2", 1),
+    ]
+    unique = (("p", ("id",)), ("p", ("code",)), ("p", ("id", "code")), ("c", ("p_id",)))
+    assert sorted(rows(checks.duplicate_report(tables, unique))) == [
+        ("c", "p_id", "7", 2), ("p", "code", "x", 2), ("p", "id", "1", 2),
+    ]
+    text = plan(checks.orphan_report(tables, foreign))
+    assert text.count("Exchange") == 1 and "Join" not in text

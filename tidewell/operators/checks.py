@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +78,63 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def key_counts(
+    tables: Mapping[str, DataFrame],
+    foreign: Sequence[tuple[str, str, str, str]] = (),
+    unique: Sequence[tuple[str, Sequence[str]]] = (),
+) -> DataFrame:
+    """Every key that some check looks at, with the rows that hold it, all checks in one pass.
+
+    One row per ``domain`` (the columns of the table a key identifies) and ``key``, as text, with a count for
+    each place the key may stand: ``n0`` the identified table, ``n1`` and on the children that refer to it, in the order of
+    ``foreign``. Each table is scanned once, its keys are unpivoted and counted before the one shuffle, so a key
+    that fills a third of a table arrives as one row per task. Keys with a null part are not compared.
+    """
+    places: dict[tuple[str, tuple[str, ...]], list[tuple[str, tuple[str, ...]]]] = {}
+    for table, columns in unique:
+        places.setdefault((table, tuple(columns)), [(table, tuple(columns))])
+    for child, column, parent, parent_column in foreign:
+        held = places.setdefault((parent, (parent_column,)), [(parent, (parent_column,))])
+        held.append((child, (column,)))
+    entries: dict[str, list[Column]] = {}
+    for (table, columns), held in places.items():
+        for n, (holder, own) in enumerate(held):
+            whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in own])
+            text = F.concat_ws(",", *[F.col(c).cast("string") for c in own])
+            entries.setdefault(holder, []).append(
+                F.struct(
+                    F.lit(f"{table}.{','.join(columns)}").alias("domain"), F.when(whole, text).alias("key"), F.lit(n).alias("place")
+                )
+            )
+    width = max(len(held) for held in places.values())
+    every = reduce(
+        DataFrame.unionByName,
+        [tables[t].select(F.explode(F.array(*found)).alias("e")).select("e.*") for t, found in entries.items() if t in tables],
+    )
+    counts = [F.count_if(F.col("place") == n).alias(f"n{n}") for n in range(width)]
+    return every.filter(F.col("key").isNotNull()).groupBy("domain", "key").agg(*counts)
+
+
+def orphan_report(tables: Mapping[str, DataFrame], foreign: Sequence[tuple[str, str, str, str]] = FOREIGN_KEYS) -> DataFrame:
+    """Foreign key values without a parent over all tables: ``child, column, parent, key, rows``."""
+    found, place = [], dict.fromkeys(((p, c) for _, _, p, c in foreign), 0)
+    for child, column, parent, parent_column in foreign:
+        place[parent, parent_column] += 1
+        n = F.col(f"n{place[parent, parent_column]}")
+        here = (F.col("domain") == f"{parent}.{parent_column}") & (n > 0)
+        names = [F.lit(v).alias(k) for k, v in (("child", child), ("column", column), ("parent", parent))]
+        found.append(F.when(here, F.struct(*names, "key", n.alias("rows"))))
+    alone = key_counts(tables, foreign).filter("n0 = 0")
+    return alone.select(F.explode(F.array_compact(F.array(*found))).alias("x")).select("x.*")
+
+
+def duplicate_report(tables: Mapping[str, DataFrame], unique: Sequence[tuple[str, Sequence[str]]] = UNIQUE_KEYS) -> DataFrame:
+    """Keys held by more than one row over all tables: ``table_name, key_columns, key, rows``."""
+    table, columns = (F.substring_index("domain", ".", n) for n in (1, -1))
+    many = key_counts(tables, (), unique).filter("n0 > 1")
+    return many.select(table.alias("table_name"), columns.alias("key_columns"), "key", F.col("n0").alias("rows"))
+
+
 def mismatches(df: DataFrame, left: Column, right: Column, tolerance: float = 0) -> DataFrame:
     """Rows whose two amounts differ by more than ``tolerance``."""
     gap = left - right

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +42,37 @@ def to_int_nullable(df: DataFrame, cols: Iterable[str], on_bad: str = "raise") -
     )
 
 
+REASONS = "reject_reasons"
+
+
+def cast_with_reasons(df: DataFrame, times: Iterable[str] = (), ints: Iterable[str] = ()) -> DataFrame:
+    """Both casts in one projection, which also says why a row should be rejected.
+
+    A value that can't be read becomes null, and ``reject_reasons`` holds ``unreadable:<column>=<value>`` or
+    ``not_integer:<column>=<value>`` for each, after the reasons the row has already. So no bad
+    value ends a run, and none is lost: rows that differ in one stay different rows.
+    """
+    cast: dict[str, Column] = {}
+    found: list[Column] = []
+
+    def tell(kind: str, c: str, bad: Column) -> None:
+        found.append(F.when(bad, F.concat(F.lit(f"{kind}:{c}="), F.col(c).cast("string"))))
+
+    for c in _present(df, times):
+        if isinstance(df.schema[c].dataType, T.StringType):
+            cast[c] = parse_timestamp(F.col(c))
+            tell("unreadable", c, F.col(c).isNotNull() & cast[c].isNull())
+    for c in _present(df, ints):
+        dtype = df.schema[c].dataType
+        cast[c] = to_int(F.col(c), dtype, "null")
+        if not isinstance(dtype, T.IntegralType):
+            tell("not_integer", c, F.col(c).isNotNull() & cast[c].isNull())
+    reasons = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    if REASONS in df.columns:
+        reasons = F.concat(REASONS, reasons)
+    return df.withColumns({**cast, REASONS: reasons})
+
+
 def int_offenders(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column with the number of values ``to_int_nullable`` refuses."""
     bad = [
@@ -122,7 +151,3 @@ def null_metrics(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(
         *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]
     ).unpivot([], cols, "column", "nulls")
-
-
-def apply_all(df: DataFrame, *steps) -> DataFrame:
-    return reduce(lambda d, step: step(d), steps, df)

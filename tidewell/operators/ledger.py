@@ -191,11 +191,6 @@ def pending_ids(batches: DataFrame, events: DataFrame, pipeline: str, source: st
     return [r.batch_id for r in todo.orderBy(*batch_order(F.col("batch_id"))).collect()]
 
 
-def in_load_order(spark: SparkSession, batches: list[str]) -> list[str]:
-    rows = spark.createDataFrame([(b,) for b in batches], "batch_id string")
-    return [r.batch_id for r in rows.orderBy(*batch_order(F.col("batch_id"))).collect()]
-
-
 def latest_mark(marks: DataFrame) -> DataFrame:
     """The current mark per (pipeline, source): the last writer wins."""
     rest = [c for c in marks.columns if c not in ("pipeline_name", "source_name")]

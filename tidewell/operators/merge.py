@@ -279,9 +279,9 @@ def load_landed(
     if not parts:
         return None
     rows = layers.read_files(spark, path, schema, parts)
-    order = ledger.in_load_order(spark, [b for b, _ in parts])
+    pending = [b for b, _ in parts]
     return load_batches(
-        spark, rows, root, table, source, pk, ledger_path, marks_path, mode, order_by, order, new
+        spark, rows, root, table, source, pk, ledger_path, marks_path, mode, order_by, pending, new
     )
 
 

@@ -105,8 +105,8 @@ def _row(
 def run_suite(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per expectation.
 
-    Everything but uniqueness is one aggregate over one scan. Each unique column
-    adds an aggregate by value. The sample of bad values is their lowest and highest, which
+    Everything but uniqueness is one aggregate over one scan. The unique columns together
+    add an aggregate by value. The sample of bad values is their lowest and highest, which
     needs constant space and does not depend on row order.
     """
     null = F.lit(None)
@@ -143,25 +143,39 @@ def run_suite(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
                 _row(e, i, u == 0, n, F.col(f"m{i}"), u, F.col(f"l{i}"), F.col(f"h{i}"))
             )
     result = df.agg(*aggs).select(F.inline(F.array(*rows))) if rows else None
-    for i, e in unique:
-        value = F.col(e.column)
-        shared = (F.col("c") > 1) & value.isNotNull()
-        stats = (
-            df.groupBy(value).agg(F.count(F.lit(1)).alias("c")).agg(
-                F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
-                F.coalesce(F.sum(F.when(value.isNull(), F.col("c"))), F.lit(0)).alias("m"),
-                F.coalesce(F.sum(F.when(shared, F.col("c"))), F.lit(0)).alias("u"),
-                F.min(F.when(shared, value)).alias("l"),
-                F.max(F.when(shared, value)).alias("h"),
-            )
-        )
-        one = stats.select(
-            F.inline(F.array(_row(e, i, F.col("u") == 0, *map(F.col, ("n", "m", "u", "l", "h")))))
-        )
+    if unique:
+        one = _unique_rows(df, unique)
         result = one if result is None else result.unionByName(one)
     return result
 
 
+def _unique_rows(df: DataFrame, unique: Sequence[tuple[int, Expectation]]) -> DataFrame:
+    """All unique columns in one pass: counted by (check, value), then summed into one row.
+
+    Each check has a column of its own for its values, so that they keep their type.
+    """
+    none = {f"v{i}": F.lit(None).cast(df.schema[e.column].dataType) for i, e in unique}
+    entries = [
+        F.struct(F.lit(i).alias("i"), *[(F.col(e.column) if c == f"v{i}" else v).alias(c) for c, v in none.items()])
+        for i, e in unique
+    ]
+    counted = df.select(F.explode(F.array(*entries)).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    counted = counted.select("x.*", "c", F.coalesce(*[F.col(c).cast("string") for c in none]).isNull().alias("missing"))
+    aggs = []
+    for i, _ in unique:
+        here, value = F.col("i") == i, F.col(f"v{i}")
+        shared = here & (F.col("c") > 1) & ~F.col("missing")
+        aggs += [
+            F.coalesce(F.sum(F.when(here, F.col("c"))), F.lit(0)).alias(f"n{i}"),
+            F.coalesce(F.sum(F.when(here & F.col("missing"), F.col("c"))), F.lit(0)).alias(f"m{i}"),
+            F.coalesce(F.sum(F.when(shared, F.col("c"))), F.lit(0)).alias(f"u{i}"),
+            F.min(F.when(shared, value)).alias(f"l{i}"),
+            F.max(F.when(shared, value)).alias(f"h{i}"),
+        ]
+    rows = [_row(e, i, F.col(f"u{i}") == 0, *[F.col(f"{k}{i}") for k in "nmulh"]) for i, e in unique]
+    return counted.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def suite_summary(results: DataFrame) -> DataFrame:
     """Overall success, counts and the failed checks by name; as long as the suite, no more."""
     name = F.concat_ws(":", "expectation", "column")
@@ -193,9 +207,12 @@ def row_rules(expectations: Sequence[Expectation]) -> dict[str, Column]:
 
 
 def tag_rejects(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Add ``reject_reasons``, the names of all rules a row breaks, empty for a clean row."""
+    """Add ``reject_reasons``, the names of all rules a row breaks, empty for a clean row; those it has stay."""
     hits = [F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in rules.items()]
-    return df.withColumn("reject_reasons", F.array_compact(F.array(*hits)))
+    reasons = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    if "reject_reasons" in df.columns:
+        reasons = F.concat("reject_reasons", reasons)
+    return df.withColumn("reject_reasons", reasons)
 
 
 def quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -217,7 +234,10 @@ def validate(
     ``warn`` keeps every row, ``fail`` raises, ``quarantine`` splits off the rows that
     break row-level checks. Returns rows to keep, rejected rows or ``None``, and the summary.
     """
-    summary = suite_summary(run_suite(df, expectations)).first().asDict()
+    if expectations:
+        summary = suite_summary(run_suite(df, expectations)).first().asDict()
+    else:
+        summary = {"success": True, "evaluated": 0, "successful": 0, "failed": ""}
     if on_failure == "fail" and not summary["success"]:
         raise ValidationFailed(summary["failed"])
     if on_failure == "quarantine":

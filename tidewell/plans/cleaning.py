@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from tidewell.operators.clean import (
+    cast_with_reasons,
     dedup_full_row,
     drop_if_exists,
     fill_null,
@@ -24,46 +27,54 @@ BRAND_FILL = {"brand": "Unknown"}
 REVIEW_FILL = {"review_text": "", "title": ""}
 SESSION_TIMES = ("started_at", "ended_at", "event_time")
 SESSION_INTS = ("customer_id", "product_id", "quantity")
+REVIEW_TIMES = ("created_at",)
 REVIEW_INTS = ("customer_id", "product_id", "rating", "helpful_votes")
 SHIPMENT_TIMES = (
     "shipped_at", "estimated_delivery_at", "delivered_at", "updated_at", "event_time",
 )
+SHIPMENT_INTS = ("order_id",)
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
     return fill_null(raw, BRAND_FILL)
 
 
-def exploded_sessions(raw: DataFrame) -> DataFrame:
+def _typed(df: DataFrame, times: Sequence[str], ints: Sequence[str], reasons: bool) -> DataFrame:
+    """A bad integer raises and an unreadable time becomes null, or both become reasons to reject the row."""
+    if reasons:
+        return cast_with_reasons(df, times, ints)
+    return to_int_nullable(to_timestamp_coerce(df, times), ints)
+
+
+def exploded_sessions(raw: DataFrame, reasons: bool = False) -> DataFrame:
     """One typed row per event, before de-duplication."""
     flat = drop_if_exists(flatten_struct(raw), "device")
     events = expand_event(explode_events(flat, position=EVENT_NO))
-    return to_int_nullable(to_timestamp_coerce(events, SESSION_TIMES), SESSION_INTS)
+    return _typed(events, SESSION_TIMES, SESSION_INTS, reasons)
 
 
-def clean_sessions(raw: DataFrame) -> DataFrame:
-    return dedup_full_row(exploded_sessions(raw), keep_first=EVENT_NO)
+def clean_sessions(raw: DataFrame, reasons: bool = False) -> DataFrame:
+    return dedup_full_row(exploded_sessions(raw, reasons), keep_first=EVENT_NO)
 
 
-def typed_reviews(raw: DataFrame) -> DataFrame:
+def typed_reviews(raw: DataFrame, reasons: bool = False) -> DataFrame:
     """Typed, filled and stripped rows, before de-duplication."""
-    df = to_int_nullable(to_timestamp_coerce(raw, ("created_at",)), REVIEW_INTS)
-    df = to_bool_default(df, ("verified_purchase",))
+    df = to_bool_default(_typed(raw, REVIEW_TIMES, REVIEW_INTS, reasons), ("verified_purchase",))
     return strip_strings(fill_null(df, REVIEW_FILL), ("review_text", "title"))
 
 
-def clean_reviews(raw: DataFrame) -> DataFrame:
-    return dedup_full_row(typed_reviews(raw))
+def clean_reviews(raw: DataFrame, reasons: bool = False) -> DataFrame:
+    return dedup_full_row(typed_reviews(raw, reasons))
 
 
-def exploded_shipments(raw: DataFrame) -> DataFrame:
+def exploded_shipments(raw: DataFrame, reasons: bool = False) -> DataFrame:
     events = expand_event(explode_events(flatten_struct(raw), position=EVENT_NO))
-    events = to_int_nullable(to_timestamp_coerce(events, SHIPMENT_TIMES), ("order_id",))
+    events = _typed(events, SHIPMENT_TIMES, SHIPMENT_INTS, reasons)
     return drop_if_exists(events, "delivery_address_extra")
 
 
-def clean_shipments(raw: DataFrame) -> DataFrame:
-    return dedup_full_row(exploded_shipments(raw), keep_first=EVENT_NO)
+def clean_shipments(raw: DataFrame, reasons: bool = False) -> DataFrame:
+    return dedup_full_row(exploded_shipments(raw, reasons), keep_first=EVENT_NO)
 
 
 def clean_carriers(raw: DataFrame) -> DataFrame:
@@ -82,5 +93,12 @@ RULES = {
 }
 
 
-def process(table: str, raw: DataFrame) -> DataFrame:
+# The rules that cast, and so can say why a row should be rejected.
+CASTING = ("customer_sessions", "product_reviews", "shipments")
+
+
+def process(table: str, raw: DataFrame, reasons: bool = False) -> DataFrame:
+    """The cleaned rows; with ``reasons`` bad values are told in ``reject_reasons`` instead of raising."""
+    if reasons and table in CASTING:
+        return RULES[table](raw, reasons=True)
     return RULES.get(table, pass_through)(raw)

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.datasets import BY_NAME, DATASETS, SOURCE_SCHEMAS, Dataset, of_source
+from tidewell.datasets import BY_NAME, DATASETS, Dataset, of_source
 from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
 from tidewell.operators.merge import load_landed, loaded_files, read_latest, read_table, row_order
 from tidewell.operators.nested import flatten_struct
 from tidewell.operators.quality import validate
-from tidewell.plans.cleaning import EVENT_NO, process
-from tidewell.plans.schemas import conform, processed_schema, raw_schema
+from tidewell.plans.cleaning import CASTING, EVENT_NO, process
+from tidewell.plans.schemas import conform, processed_schema, raw_schema, source_schema
 from tidewell.plans.star import build_star
 from tidewell.plans.suites import SUITES
 from tidewell.session import read_or_empty
@@ -62,7 +63,7 @@ def extract(
     previous, sequence = ledger.read_mark(marks, name, dataset.source)
     batch_id = batch_id or new_batch_id(sequence + 1)
     folder = f"{table_path(root, 'raw', dataset.source, dataset.name)}/batch_id={batch_id}"
-    rows = flatten_struct(conform(scan(dataset, source, previous), SOURCE_SCHEMAS[dataset.name]))
+    rows = flatten_struct(conform(scan(dataset, source, previous), source_schema(dataset.name)))
     if not read_or_empty(spark, folder, rows.schema).isEmpty():
         raise ValueError(f"batch {batch_id} of {dataset.name} is already landed")
     land(rows, root, dataset.source, dataset.name, batch_id)
@@ -93,7 +94,8 @@ def process_dataset(
 
     A batch is cleaned as a whole, so a file that came late is de-duplicated against the others of its batch; the
     load then leaves out what it has.
-    With ``quarantine`` the rejected rows go to the ``rejected`` layer instead.
+    With ``quarantine`` the rejected rows go to the ``rejected`` layer instead, and so do rows with an
+    integer or a time that can't be read, which otherwise raises or becomes null.
     Returns the validation summary, if the dataset has a suite and anything was pending.
     """
     name, source = dataset.name, dataset.source
@@ -105,10 +107,10 @@ def process_dataset(
     if not pending:
         return None
     rows = read_files(spark, raw, raw_schema(name), [(b, None) for b in pending]).drop(LANDED_FILE)
-    clean = process(name, rows)
-    suite = SUITES.get(name)
+    quarantined = on_failure == "quarantine" and (name in SUITES or name in CASTING)
+    clean = process(name, rows, reasons=quarantined)
+    suite = SUITES.get(name, () if quarantined else None)
     # Checks run over a written copy, so the cleaning is not computed once per check.
-    quarantined = suite is not None and on_failure == "quarantine"
     layer = "checked" if quarantined else "processed"
     land(clean, root, source, name, layer=layer)
     summary = None
@@ -152,15 +154,26 @@ def run(
     inputs: Mapping[str, DataFrame],
     on_failure: str = "warn",
     mode: str = "first",
+    workers: int = 1,
 ) -> dict[str, dict | None]:
-    """All stages for every dataset given, parents before children."""
-    summaries = {}
-    for dataset in DATASETS:
-        if dataset.name in inputs:
-            extract(spark, root, dataset, inputs[dataset.name])
-            summaries[dataset.name] = process_dataset(spark, root, dataset, on_failure)
-            load_dataset(spark, root, dataset, mode)
-    return summaries
+    """All stages for every dataset given, parents before children.
+
+    With several ``workers`` datasets run side by side: loads check no foreign keys, so none waits for another, and the
+    many short jobs of one leave most of a cluster to the others. An error is raised once all have ended.
+    """
+
+    def one(dataset: Dataset) -> dict | None:
+        extract(spark, root, dataset, inputs[dataset.name])
+        summary = process_dataset(spark, root, dataset, on_failure)
+        load_dataset(spark, root, dataset, mode)
+        return summary
+
+    given = [d for d in DATASETS if d.name in inputs]
+    if workers <= 1:
+        return {d.name: one(d) for d in given}
+    with ThreadPoolExecutor(workers) as pool:
+        runs = {d.name: pool.submit(one, d) for d in given}
+    return {name: run.result() for name, run in runs.items()}
 
 
 def run_source(

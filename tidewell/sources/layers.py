@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.datasets import DATASETS, MAX_ROWS_PER_FILE
-from tidewell.functions.text import batch_id_from_name
+from tidewell.functions.text import batch_id_from_name, batch_order
 
 
 # The column that says which landed file a row comes from.
@@ -90,7 +90,7 @@ def batch_ids(spark: SparkSession, root: str, layer: str, source: str, table: st
 
 
 def choose_files(listed: DataFrame, wanted: DataFrame) -> list[tuple[str, list[str] | None]]:
-    """Batches with wanted files, and the names of these files where the batch has others too.
+    """Batches with wanted files, in load order, and the names of these files where the batch has others too.
 
     One short row per batch comes to the driver, and the names of files that share their batch with unwanted ones.
     """
@@ -101,7 +101,7 @@ def choose_files(listed: DataFrame, wanted: DataFrame) -> list[tuple[str, list[s
         F.collect_list(F.when(F.col("wanted"), F.col("file"))).alias("names"),
     )
     some = some.filter("n > 0").select("batch_id", F.when(F.col("n") < F.col("total"), F.col("names")).alias("names"))
-    return [(r.batch_id, r.names) for r in some.collect()]
+    return [(r.batch_id, r.names) for r in some.orderBy(*batch_order(F.col("batch_id"))).collect()]
 
 
 # Paths one reader is given; more are read by further readers and put together.
@@ -163,15 +163,16 @@ def scan_layer(
 
 
 def scan_flat(
-    spark: SparkSession, root: str, layer: str, source: str, table: str, provenance: bool = False
+    spark: SparkSession, root: str, layer: str, source: str, table: str, provenance: bool = False,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A table landed as plain files ``<table>_<time>_<n>.parquet``; the name gives the batch."""
-    df = (
-        spark.read.option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .option("mergeSchema", True)
-        .parquet(table_path(root, layer, source, table))
-    )
+    """A table landed as plain files ``<table>_<time>_<n>.parquet``; the name gives the batch.
+
+    Without a ``schema`` the columns are the union over the files.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    df = reader.parquet(table_path(root, layer, source, table))
     extra: dict[str, Column] = {
         "batch_id": batch_id_from_name(F.col("_metadata.file_name"), table)
     }

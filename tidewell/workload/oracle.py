@@ -331,6 +331,10 @@ _register("a07_scan_layer", ("customers", "products"), f"""
 SELECT 'customers' AS table_name, {_batch("customer_id")} AS batch_id, count(*) AS rows FROM customers GROUP BY ALL
 UNION ALL
 SELECT 'products', {_batch("product_id")} AS batch_id, count(*) FROM products GROUP BY ALL""")
+_register("a07_flat_layout", "products", f"""
+SELECT {_batch("product_id")} AS batch_id, 'products_' || {_batch("product_id")} || '.parquet' AS file,
+       count(*) AS rows, NULL AS reason FROM products GROUP BY ALL
+UNION ALL SELECT NULL, 'stray.parquet', NULL, 'path too short'""")
 _register("a08_unknown_table_guard", "carriers", """
 SELECT DISTINCT 'mongodb/suppliers' AS table_name, 'unknown table' AS reason FROM carriers""")
 _register("a09_write_processed", "products", f"""
@@ -354,6 +358,8 @@ _register("b03_feed_filter_updated_since", "heads", f"""
 SELECT shipment_id, updated_at FROM heads WHERE {_ts("updated_at")} > TIMESTAMP '2000-06-01 11:00:00'""")
 _register("b04_page", "heads",
           "SELECT shipment_id, order_id FROM heads ORDER BY shipment_id LIMIT 100 OFFSET 200")
+_register("b04_page_index", "heads",
+          "SELECT shipment_id, order_id FROM heads ORDER BY shipment_id LIMIT 100 OFFSET 1100")
 _register("b04_page_totals", "heads", """
 SELECT CAST(3 AS BIGINT) AS page, CAST(100 AS BIGINT) AS "limit", count(*) AS total,
        CAST(ceil(count(*) / 100.0) AS BIGINT) AS total_pages,
@@ -446,6 +452,7 @@ _register("f02_merge_latest_wins", "shop_orders", """
 SELECT customer_id, order_id, order_status, updated_at FROM (
     SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC, order_id DESC) AS rn
     FROM shop_orders) WHERE rn = 1""")
+ORACLE["f02_versioned_loads"] = ORACLE["f02_merge_latest_wins"]
 _register("f03_stage_and_load", "items", _first_items("product_id % 4", 4, "batch_id, " + _ITEM_COLS))
 _register("f04_skip_loaded_batches", "items", f"""
 SELECT batch_id, count(*) AS rows, CAST(1 AS BIGINT) AS runs
@@ -649,6 +656,11 @@ _register("h14_quarantine_rejected", "typed_reviews", """
 SELECT review_id, concat_ws(',', CASE WHEN NOT rating BETWEEN 1 AND 5 THEN 'between:rating' END,
        CASE WHEN NOT length(title) BETWEEN 1 AND 255 THEN 'length_between:title' END) AS reasons
 FROM typed_reviews WHERE NOT (rating BETWEEN 1 AND 5 AND length(title) BETWEEN 1 AND 255)""")
+_register("h14_cast_rejects", "reviews", f"""
+SELECT DISTINCT review_id, 'unreadable:created_at=' || created_at AS reason FROM reviews
+WHERE ({_ts("created_at")}) IS NULL AND created_at IS NOT NULL
+UNION ALL SELECT DISTINCT review_id, 'not_integer:helpful_votes=' || {_v("helpful_votes")} || '.5' FROM reviews
+WHERE helpful_votes % 19 = 3""")
 _register("h15_timestamp_rejects", ("session_text", "reviews"), "\nUNION ALL ".join(
     f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS rows FROM {t}
     WHERE {c} IS NOT NULL AND ({_ts(c)}) IS NULL GROUP BY {c}"""
@@ -746,6 +758,11 @@ SELECT DISTINCT shipment_id, order_id, carrier_id, event_type, event_time,
        {_key("event_time")} AS event_date_key, location, notes, metadata
 FROM (SELECT s.shipment_id, s.order_id, h.carrier_id, s.event_type, {_ts("s.event_time")} AS event_time,
              s.location, s.notes, s.metadata FROM scans s JOIN heads h ON s.order_id = h.order_id)""")
+ORACLE |= {
+    "j08_star_customer_events": ORACLE["j08_fact_customer_events"],
+    "j09_star_shipments": ORACLE["j09_fact_shipments"],
+    "j10_star_shipment_events": ORACLE["j10_fact_shipment_events"],
+}
 _register("j11_fact_product_reviews", "clean_reviews", f"""
 SELECT review_id, product_id, customer_id, rating, title, review_text, verified_purchase, helpful_votes,
        created_at, {_key("created_at")} AS created_date_key FROM clean_reviews""")
@@ -853,7 +870,16 @@ for _view, _query in VIEW_OF.items():
 _register("l01_stream_processed", "clean_reviews", f"""
 SELECT {_batch("customer_id", 2)} AS batch_id, review_id, rating, created_at, review_text FROM clean_reviews""")
 _register("l02_stream_merge", "items", _first_items("product_id % 2", 2))
-_register("l03_rerun_safety", (), """
-SELECT 'customers' AS table_name, count(*) AS rows, CAST(1 AS BIGINT) AS batches FROM customer
-UNION ALL SELECT 'products', count(*), 1 FROM part
-UNION ALL SELECT 'orders', count(*), 1 FROM orders""")
+ORACLE["l02_late_files"] = ORACLE["l02_stream_merge"]
+_register("l03_rerun_safety", ("items", "session_rows", "scans"), f"""
+SELECT t AS table_name, n AS rows, CAST(1 AS BIGINT) AS batches FROM (
+    SELECT 'customers' AS t, count(*) AS n FROM customer
+    UNION ALL SELECT 'products', count(*) FROM part
+    UNION ALL SELECT 'orders', count(*) FROM orders
+    UNION ALL SELECT 'order_items', count(DISTINCT order_item_id) FROM items
+    UNION ALL SELECT 'payments', count(*) FROM orders
+    UNION ALL SELECT 'customer_sessions', count(*) FROM (SELECT DISTINCT _id, event_type FROM session_rows WHERE event_type IS NOT NULL)
+    UNION ALL SELECT 'product_reviews', count(*) FROM documents
+    UNION ALL SELECT 'carriers', count(*) FROM supplier
+    UNION ALL SELECT 'shipments', count(*) FROM (
+        SELECT DISTINCT shipment_id, {_ts("event_time")} AS at FROM scans WHERE ({_ts("event_time")}) IS NOT NULL))""")

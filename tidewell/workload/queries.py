@@ -13,6 +13,7 @@ from tidewell.functions.casts import parse_timestamp, to_int
 from tidewell.functions.text import batch_id_from_name, batch_order
 from tidewell.operators import checks, clean, feed, ledger, merge, nested, quality
 from tidewell.plans import cleaning, jobs, questions, seeds, star, suites, views
+from tidewell.plans.schemas import processed_schema
 from tidewell.session import pin, shared_dir
 from tidewell.sources import export, feeds, layers, scans
 from tidewell.streaming import incremental
@@ -180,6 +181,41 @@ def a07_scan_layer(s, d):
     return out
 
 
+def _rename(s, folder, name_of):
+    """Give every Parquet file of a folder the name that ``name_of`` makes of its number."""
+    path = s._jvm.org.apache.hadoop.fs.Path(folder)
+    held = path.getFileSystem(s._jsc.hadoopConfiguration())
+    found = sorted(f.getPath().getName() for f in held.listStatus(path))
+    for n, name in enumerate(n for n in found if n.endswith(".parquet")):
+        held.rename(path.suffix(f"/{name}"), path.suffix(f"/{name_of(n)}"))
+
+
+@query
+def a07_flat_layout(s, d):
+    """Plain files whose names give the batch; a file that lies too high is told, not read."""
+    root = shared_dir(s, "lake")
+    table = layers.table_path(root, "raw", "postgres", "products")
+    rows = seeds.with_batches(products(s, d), "product_id")
+    schema = products(s, d).schema
+    for n in range(1, 5):
+        batch = rows.filter(F.col("batch_id") == f"20260101_000000_{n}").drop("batch_id")
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{table}/{n}")
+        _rename(s, f"{table}/{n}", lambda k: f"products_20260101_000000_{n}.parquet")
+    rows.drop("batch_id").coalesce(1).write.parquet(f"{root}/raw/postgres/stray")
+    stray = s._jvm.org.apache.hadoop.fs.Path(f"{root}/raw/postgres/stray")
+    held = stray.getFileSystem(s._jsc.hadoopConfiguration())
+    _rename(s, f"{root}/raw/postgres/stray", lambda k: "stray.parquet")
+    held.rename(stray.suffix("/stray.parquet"), stray.getParent().suffix("/stray.parquet"))
+    read_rows = layers.scan_flat(s, root, "raw", "postgres", "products", True, schema).groupBy(
+        "batch_id", F.col("file_name").alias("file")
+    ).agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("string").alias("reason"))
+    skipped = layers.skipped_paths(s, root).select(
+        F.lit(None).cast("string").alias("batch_id"), F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.lit(None).cast("long").alias("rows"), "reason",
+    )
+    return read_rows.unionByName(skipped)
+
+
 @query
 def a08_unknown_table_guard(s, d):
     root = shared_dir(s, "lake")
@@ -263,6 +299,13 @@ def b04_page(s, d):
     return feed.page(heads(s, d), ["shipment_id"], 3, 100)[0].select("shipment_id", "order_id")
 
 
+@query
+def b04_page_index(s, d):
+    """A page by its number, found through the index of page starts."""
+    index = feed.page_index(heads(s, d), ["shipment_id"], 100)
+    return feed.page(heads(s, d), ["shipment_id"], 12, 100, index=index)[0].select("shipment_id", "order_id")
+
+
 @query
 def b04_page_totals(s, d):
     return feed.page(heads(s, d), ["shipment_id"], 3, 100)[1]
@@ -477,6 +520,21 @@ def f02_merge_latest_wins(s, d):
     )
 
 
+@query
+def f02_versioned_loads(s, d):
+    """Every load brings newer and older versions of the same keys; the newest of all is read."""
+    root, key = shared_dir(s, "warehouse"), ["customer_id"]
+    newest = [F.desc("updated_at"), F.desc("order_id")]
+    rows = orders(s, d).select("customer_id", "order_id", "order_status", "updated_at")
+    rows = seeds.with_batches(rows, "order_id", 3)
+    for n in (1, 2, 3):
+        merge.load_batches(
+            s, rows.filter(F.col("batch_id") == f"20260101_000000_{n}"), root, "orders", "postgres", key,
+            jobs.runs_path(root), jobs.marks_path(root), "latest", newest,
+        )
+    return merge.read_latest(s, root, "orders", rows.schema, key, newest).drop("batch_id")
+
+
 def _land_items(s, root, rows):
     layers.write_processed(rows, root, "postgres", "order_items")
     return layers.scan_layer(s, root, "processed", "postgres", "order_items", rows.schema)
@@ -796,14 +854,7 @@ def h11_check_foreign_keys(s, d):
         "order_items": items(s, d), "payments": payments(s, d),
         "customer_sessions": session_rows, "product_reviews": reviews(s, d),
     }
-    out = None
-    for child, col, parent, parent_col in checks.FOREIGN_KEYS:
-        one = checks.orphan_keys(tables[child], tables[parent], col, parent_col).select(
-            F.lit(child).alias("child"), F.lit(col).alias("column"), F.lit(parent).alias("parent"),
-            F.col("key").cast("long").alias("key"), "rows",
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    return checks.orphan_report(tables).withColumn("key", F.col("key").cast("long"))
 
 
 @query
@@ -818,14 +869,7 @@ def h12_check_unique_keys(s, d):
         "customers": customers(s, d), "products": products(s, d), "orders": orders(s, d),
         "order_items": items(s, d), "payments": payments(s, d),
     }
-    out = None
-    for name, key in checks.UNIQUE_KEYS:
-        one = checks.duplicates(tables[name], key).select(
-            F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key_columns"),
-            F.concat_ws(",", *[F.col(c).cast("string") for c in key]).alias("key"), "rows",
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    return checks.duplicate_report(tables)
 
 
 @query
@@ -863,6 +907,19 @@ def h14_quarantine_rejected(s, d):
     )
 
 
+@query
+def h14_cast_rejects(s, d):
+    """Times and integers that can't be read, through landing, cleaning and quarantine."""
+    root, dataset = shared_dir(s, "quarantine"), D.BY_NAME["product_reviews"]
+    votes = F.when(F.col("helpful_votes") % 19 == 3, F.col("helpful_votes") + 0.5).otherwise(F.col("helpful_votes"))
+    jobs.extract(s, root, dataset, reviews(s, d).withColumn("helpful_votes", votes), "20260101_000000_1")
+    jobs.process_dataset(s, root, dataset, on_failure="quarantine")
+    schema = T.StructType([*processed_schema("product_reviews"), T.StructField("reject_reasons", T.ArrayType(T.StringType()))])
+    rejected = layers.scan_layer(s, root, "rejected", dataset.source, dataset.name, schema)
+    told = F.filter("reject_reasons", lambda r: r.contains("="))
+    return rejected.select("review_id", F.explode(told).alias("reason"))
+
+
 @query
 def h15_timestamp_rejects(s, d):
     rows = nested.expand_event(
@@ -1021,6 +1078,28 @@ def j10_fact_shipment_events(s, d):
     return star.fact_shipment_events(cleaning.clean_shipments(shipments(s, d)))
 
 
+def _star(s, d, name, rows):
+    """The star over a warehouse into which one dataset has been loaded."""
+    root = shared_dir(s, "star")
+    jobs.run(s, root, {name: rows})
+    return jobs.star(s, root)
+
+
+@query
+def j08_star_customer_events(s, d):
+    return _star(s, d, "customer_sessions", sessions(s, d))["fact_customer_events"]
+
+
+@query
+def j09_star_shipments(s, d):
+    return _star(s, d, "shipments", shipments(s, d))["fact_shipments"]
+
+
+@query
+def j10_star_shipment_events(s, d):
+    return _star(s, d, "shipments", shipments(s, d))["fact_shipment_events"]
+
+
 @query
 def j11_fact_product_reviews(s, d):
     return star.fact_product_reviews(cleaning.clean_reviews(reviews(s, d)))
@@ -1224,12 +1303,35 @@ def l02_stream_merge(s, d):
     )
 
 
+@query
+def l02_late_files(s, d):
+    """A batch arrives in two files with a load in between; every file is loaded once."""
+    root = shared_dir(s, "stream")
+    schema = items(s, d).schema
+    processed = layers.table_path(root, "processed", "postgres", "order_items")
+
+    def stream():
+        incremental.stream_merge(
+            s, processed, root, f"{root}/checkpoints/merge", schema, "order_items", "postgres",
+            ["order_item_id"], jobs.runs_path(root),
+        ).awaitTermination()
+
+    for rest in (0, 1):
+        late = items(s, d).filter(F.col("product_id") % 2 == rest)
+        late.write.mode("append").parquet(f"{processed}/batch_id=20260101_000000_1")
+        stream()
+    stream()
+    table = merge.read_table(s, root, "order_items", layers.with_batch(schema))
+    return table.drop("load_id", "batch_id")
+
+
 @query
 def l03_rerun_safety(s, d):
+    """All nine datasets, run twice: no table has changed rows or rows of a second batch."""
     root = shared_dir(s, "rerun")
-    inputs = {"customers": customers(s, d), "products": products(s, d), "orders": orders(s, d)}
-    jobs.run(s, root, inputs)
-    jobs.run(s, root, inputs)
+    inputs = seeds.source_tables(s, d)
+    jobs.run(s, root, inputs, workers=4)
+    jobs.run(s, root, inputs, workers=4)
     out = None
     for name in inputs:
         one = jobs.warehouse_table(s, root, name).agg(
