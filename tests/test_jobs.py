@@ -289,3 +289,18 @@ def test_datasets_side_by_side(spark, tmp_path):
     with pytest.raises(Exception, match="no currency"):
         jobs.run(spark, f"{root}/bad", bad, workers=4)
     assert jobs.warehouse_table(spark, f"{root}/bad", "carriers").count() == some["carriers"].count()
+
+
+def test_a_run_checks_what_it_loaded(spark, tmp_path):
+    found = order(spark, (1, "pending", "2025-01-01"), (2, "lost", "2025-01-01")).withColumn(
+        "currency", F.when(F.col("order_id") == 1, "EURO").otherwise("EUR")
+    ).withColumn("total_amount", F.col("order_id") + 1)
+    summary = jobs.run(spark, f"{tmp_path}/warn", {"orders": found}, integrity="warn")
+    broken = {(b["table_name"], b["check"], b["column"]): b["rows"] for b in summary["integrity"]["broken"]}
+    assert broken == {
+        ("orders", "in_set", "order_status"): 1, ("orders", "length_between", "currency"): 1,
+        ("orders", "amounts", "total_amount"): 2, ("orders", "foreign_key", "customer_id"): 2,
+    }
+    with pytest.raises(ValidationFailed, match="orders:in_set:order_status"):
+        jobs.run(spark, f"{tmp_path}/fail", {"orders": found}, integrity="fail")
+    assert jobs.run(spark, f"{tmp_path}/none", {}, integrity="fail")["integrity"]["success"]

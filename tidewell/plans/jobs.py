@@ -15,8 +15,9 @@ from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
 from tidewell.operators.merge import load_landed, loaded_files, read_latest, read_table, row_order
 from tidewell.operators.nested import flatten_struct
-from tidewell.operators.quality import validate
+from tidewell.operators.quality import ValidationFailed, validate
 from tidewell.plans.cleaning import CASTING, EVENT_NO, process
+from tidewell.plans.integrity import TEXT_TIMES, integrity_report
 from tidewell.plans.schemas import conform, processed_schema, raw_schema, source_schema
 from tidewell.plans.star import build_star
 from tidewell.plans.suites import SUITES
@@ -155,8 +156,12 @@ def run(
     on_failure: str = "warn",
     mode: str = "first",
     workers: int = 1,
+    integrity: str = "skip",
 ) -> dict[str, dict | None]:
-    """All stages for every dataset given, parents before children.
+    """All stages for every dataset given, parents before children, and a summary of each one's suite.
+
+    With ``integrity`` set to ``warn`` the loaded tables are then checked as a whole, and the broken checks
+    come under the key ``integrity``; ``fail`` raises when there are any.
 
     With several ``workers`` datasets run side by side: loads check no foreign keys, so none waits for another, and the
     many short jobs of one leave most of a cluster to the others. An error is raised once all have ended.
@@ -170,10 +175,27 @@ def run(
 
     given = [d for d in DATASETS if d.name in inputs]
     if workers <= 1:
-        return {d.name: one(d) for d in given}
-    with ThreadPoolExecutor(workers) as pool:
-        runs = {d.name: pool.submit(one, d) for d in given}
-    return {name: run.result() for name, run in runs.items()}
+        summaries = {d.name: one(d) for d in given}
+    else:
+        with ThreadPoolExecutor(workers) as pool:
+            runs = {d.name: pool.submit(one, d) for d in given}
+        summaries = {name: run.result() for name, run in runs.items()}
+    if integrity != "skip":
+        broken = [r.asDict() for r in check(spark, root, mode).collect()]  # one row a check
+        if broken and integrity == "fail":
+            raise ValidationFailed(", ".join("{table_name}:{check}:{column}".format(**r) for r in broken))
+        summaries["integrity"] = {"success": not broken, "broken": broken}
+    return summaries
+
+
+def check(spark: SparkSession, root: str, mode: str = "first") -> DataFrame:
+    """Constraints, lengths, keys, amounts and unreadable times over all that is loaded and landed."""
+    tables = {d.name: warehouse_table(spark, root, d.name, mode) for d in DATASETS}
+    raw = {
+        d.name: read_or_empty(spark, table_path(root, "raw", d.source, d.name), raw_schema(d.name))
+        for d in DATASETS if d.name in TEXT_TIMES
+    }
+    return integrity_report(tables, raw)
 
 
 def run_source(

@@ -614,6 +614,52 @@ SELECT bool_and(success) AS success, count(*) AS evaluated,
                 ORDER BY concat_ws(':', expectation, "column")), '') AS failed
 FROM ({_SUITE_ROWS})""")
 
+# Checks restated here, not taken from the package. Reviews and sessions as the warehouse keeps them.
+_CTES["kept_items"] = (("items",), f"""
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY {_ITEM_ORDER}) AS rn FROM items)
+    WHERE rn = 1""")
+_CTES["kept_sessions"] = (("session_rows",), """
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY _id, event_type ORDER BY event_no) AS rn FROM session_rows
+                   WHERE event_type IS NOT NULL) WHERE rn = 1""")
+_INTEGRITY = [
+    *[("products", "between", c, f"{c} < 0", "products") for c in ("unit_price", "cost_price", "stock_quantity")],
+    *[("customers", "not_null", c, f"{c} IS NULL", "customers") for c in (
+        "customer_id", "first_name", "last_name", "email", "city", "state", "country", "created_at", "updated_at")],
+    *[("customers", "length_between", c, f"length({c}) > {n}", "customers") for c, n in (
+        ("first_name", 80), ("last_name", 80), ("email", 160), ("phone", 40), ("city", 80), ("state", 80), ("country", 80))],
+    *[("products", "not_null", c, f"{c} IS NULL", "products") for c in ("product_name", "category", "cost_price")],
+    *[("products", "length_between", c, f"length({c}) > {n}", "products") for c, n in (
+        ("product_name", 160), ("category", 80), ("brand", 80))],
+    ("orders", "not_null", "order_status", "order_status IS NULL", "shop_orders"),
+    ("orders", "in_set", "order_status", "order_status NOT IN ('pending', 'confirmed', 'processing', 'shipped', "
+     "'delivered', 'cancelled', 'returned')", "shop_orders"),
+    ("orders", "length_between", "currency", "length(currency) > 3", "shop_orders"),
+    ("orders", "amounts", "total_amount", "total_amount <> subtotal + shipping_fee - discount_amount", "shop_orders"),
+    ("order_items", "amounts", "line_total", "line_total <> quantity * unit_price - discount_amount", "kept_items"),
+    ("order_items", "between", "quantity", "quantity < 1", "kept_items"),
+    ("payments", "in_set", "payment_status", "payment_status NOT IN ('pending', 'successful', 'failed', 'refunded')", "payments"),
+    ("payments", "amounts", "amount", "amount <> total_amount", "payments"),
+    ("product_reviews", "between", "rating", "rating < 1 OR rating > 5", "clean_reviews"),
+    ("product_reviews", "unreadable", "created_at", f"created_at IS NOT NULL AND ({_ts('created_at')}) IS NULL", "reviews"),
+    *[("customer_sessions", "unreadable", c, f"{c} IS NOT NULL AND ({_ts(c)}) IS NULL", "session_docs")
+      for c in ("started_at", "ended_at")],
+    ("customer_sessions", "unreadable", "event_time", f"event_time IS NOT NULL AND ({_ts('event_time')}) IS NULL", "session_text"),
+    ("shipments", "unreadable", "event_time", f"event_time IS NOT NULL AND ({_ts('event_time')}) IS NULL", "scans"),
+    *[(t, "unique_key", c, f"{c} IN (SELECT {c} FROM {table} GROUP BY 1 HAVING count(*) > 1)", table) for t, c, table in (
+        ("customers", "customer_id", "customers"), ("customers", "email", "customers"), ("products", "product_id", "products"),
+        ("orders", "order_id", "shop_orders"), ("order_items", "order_item_id", "kept_items"),
+        ("payments", "payment_id", "payments"), ("payments", "transaction_reference", "payments"))],
+    *[(t, "foreign_key", c, f"{c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {parent})", table) for t, c, table, parent in (
+        ("orders", "customer_id", "shop_orders", "customers"), ("order_items", "order_id", "kept_items", "shop_orders"),
+        ("order_items", "product_id", "kept_items", "products"), ("payments", "order_id", "payments", "shop_orders"),
+        ("customer_sessions", "product_id", "kept_sessions", "products"),
+        ("product_reviews", "product_id", "clean_reviews", "products"))],
+]
+_register("h10_integrity_report", ("customers", "products", "shop_orders", "kept_items", "payments", "kept_sessions", "session_docs",
+                                   "session_text", "scans", "reviews", "clean_reviews"), "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{check}' AS "check", '{column}' AS "column", count(*) AS rows
+    FROM {table} WHERE {bad} HAVING count(*) > 0""" for t, check, column, bad, table in _INTEGRITY))
+
 _SOURCE = {
     "customers": "customers", "products": "products", "orders": "shop_orders", "order_items": "items",
     "payments": "payments", "customer_sessions": "session_typed", "product_reviews": "reviews",

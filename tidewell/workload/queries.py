@@ -846,6 +846,14 @@ def h10_check_constraints(s, d):
     return out
 
 
+@query
+def h10_integrity_report(s, d):
+    """All declared checks over a warehouse that a run has loaded, and over what it landed."""
+    root = shared_dir(s, "integrity")
+    jobs.run(s, root, seeds.source_tables(s, d), workers=4)
+    return jobs.check(s, root)
+
+
 @query
 def h11_check_foreign_keys(s, d):
     session_rows = cleaning.exploded_sessions(sessions(s, d))
