@@ -76,3 +76,10 @@ def test_equal_windows_have_equal_anchors_and_hashes():
     moved = stretches([b"front"] * 7 + w, 20, 5)
     assert count.sum() == 181
     assert set(zip(h[1:-1].tolist(), g[1:-1].tolist())) <= set(zip(moved[0].tolist(), moved[1].tolist()))
+
+
+def test_a_text_of_one_word_is_one_stretch(spark):
+    words = [b"same"] * 100_000
+    assert len(stretches(words, 50, 16)[0]) == 1
+    rows = [(1, "same " * 70), (2, "same " * 20_000), (3, "x " + "same " * 60 + "y"), (4, "other " * 49)]
+    assert same(got(spark, rows, window=50, seed=16), brute(rows, 50))

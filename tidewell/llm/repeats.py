@@ -2,8 +2,8 @@
 
 A *window* is ``window`` consecutive words. Seeds are winnowed: the anchor of a window is the leftmost of its
 ``seed``-word grams with the smallest hash, so equal windows have equal anchors, and one anchor serves a run
-of neighbouring windows (its *stretch*). One row per stretch is kept: the anchor's hash, the hash of all words
-of the stretch, and where it lies.
+of neighbouring windows (its *stretch*; windows of equal anchors side by side, as in a text of one word, are one stretch).
+One row per stretch is kept: the anchor's hash, the hash of all words of the stretch, and where it lies.
 
 1. Stretches are joined on their anchors; anchors of a single document are gone after one aggregation.
 2. Extension to whole stretches: where all stretches of an anchor are equal (the inside of a copied passage),
@@ -93,11 +93,11 @@ def stretches(words: list[bytes], window: int, seed: int):
     hashes = Hashes(words)
     starts = np.arange(len(words) - seed + 1)
     grams = hashes.runs(0, starts, starts + seed)
-    anchors = leftmost_least(grams, window - seed + 1)
+    anchors = grams[leftmost_least(grams, window - seed + 1)]
     first = np.concatenate(([0], np.nonzero(np.diff(anchors))[0] + 1))
     count = np.diff(np.append(first, len(anchors)))
     whole = hashes.runs(1, first, first + count - 1 + window)
-    return grams[anchors[first]].view(np.int64), whole.view(np.int64), first, count
+    return anchors[first].view(np.int64), whole.view(np.int64), first, count
 
 
 def _seeds(window: int, seed: int):
@@ -155,12 +155,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         F.min("doc").alias("first"), F.max("doc").alias("last"), F.min("g").alias("g0"), F.max("g").alias("g1")
     )
     shared = anchors.filter(F.col("first") < F.col("last")).select("h", "first", (F.col("g0") == F.col("g1")).alias("alike"))
-    joined = stored(found.join(shared, "h"), "shared-stretches")
+    # What is joined with its own aggregate is stored first: read back, a hot anchor's rows can be split over tasks.
+    joined = stored(found.join(stored(shared, "shared-anchors"), "h"), "shared-stretches")
 
     alike = joined.filter("alike and doc > first")
     differ = joined.filter("not alike").drop("first", "alike")
     kinds = differ.groupBy("h", "g").agg(F.min("doc").alias("first"))
-    differ = stored(differ.join(kinds, ["h", "g"]), "differing-stretches")
+    differ = stored(differ.join(stored(kinds, "kinds"), ["h", "g"]), "differing-stretches")
     whole = alike.select("doc", "version", "at", "n").union(differ.filter("doc > first").select("doc", "version", "at", "n"))
     whole = whole.select("doc", "version", "at", (F.col("n") + (window - 1)).alias("length"))
 
@@ -170,7 +171,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     windows = map_rows(texts, _windows(window), "doc long, version int, h long, w long, at int", rows=32)
     windows = stored(windows, "windows")
     earlier = windows.groupBy("h", "w").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    single = windows.join(earlier.select("h", "w", "first"), ["h", "w"]).filter("doc > first")
+    earlier = stored(earlier.select("h", "w", "first"), "earlier-windows")
+    single = windows.join(earlier, ["h", "w"]).filter("doc > first")
     return whole.union(single.select("doc", "version", "at", F.lit(window).alias("length")))
 
 
