@@ -160,7 +160,8 @@ def drop_repeated_lines(
     runs = LineRuns(spark, fanout)
     for batch in range(batches):
         runs.add(lines.filter(F.col("batch") == batch).drop("batch"))
-    common = runs.keys().filter(F.col("n") >= min_docs).select(*_KEY, "last")
+    # Stored first: read back, the lines of a hot key can be split over tasks when they meet it.
+    common = stored(runs.keys().filter(F.col("n") >= min_docs).select(*_KEY, "last"), "common-lines")
     drops = (
         lines.join(common, _KEY)
         .filter(F.col("doc") < F.col("last"))
