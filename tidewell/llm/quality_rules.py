@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from tidewell.llm.common import map_rows, packed, stored, words_of
 
+_SLICES = 32
 # Fixed by the rule's definition: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "sentence", "symbol", "other", "beyond")
@@ -121,7 +122,8 @@ def _language_counts(langs: pa.Array, texts: pa.Array):
 def language_references(docs: DataFrame, lang_col: str, text_col: str, limits: Limits) -> dict:
     """``{language: (class histogram, {word: bin}, word histogram)}``; key ``""`` stands for all together.
 
-    What comes to the driver is bounded: the class counts and the most frequent words of each language.
+    What comes to the driver are the class counts and the most frequent words of the languages that have
+    ``min_reference`` words, so at most one language for so many words of the table.
     """
     source = docs.select(F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`"))
     counted = map_rows(source, _language_counts, "lang string, kind string, key string, n long")
@@ -129,12 +131,19 @@ def language_references(docs: DataFrame, lang_col: str, text_col: str, limits: L
     every = totals.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit("").alias("lang"), "kind", "key", "n")
     named = totals.withColumn("lang", F.concat(F.lit("="), "lang")).union(every)
     size = named.groupBy("lang", "kind").agg(F.sum("n").alias("size"))
-    first = W.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    top = named.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= limits.common_words)
+    large = size.filter((F.col("lang") == "") | ((F.col("kind") == "word") & (F.col("size") >= limits.min_reference)))
+    sizes = {(r["lang"], r["kind"]): r["size"] for r in large.collect()}
+    # The best of each slice of the keys first, one row a slice, then the best of these: no task ranks a language.
+    kept = F.broadcast(large.select(F.col("lang").alias("large")).distinct())
+    sliced = named.join(kept, F.col("lang").eqNullSafe(F.col("large")), "left_semi")
+    sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(_SLICES)).cast("int"))
+    first = W.partitionBy("lang", "kind", "slice").orderBy(F.desc("n"), "key")
+    best = sliced.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= limits.common_words)
+    parts = best.groupBy("lang", "kind", "slice").agg(F.collect_list(F.struct((-F.col("n")).alias("minus"), "key")).alias("part"))
+    top = parts.groupBy("lang", "kind").agg(F.sort_array(F.flatten(F.collect_list("part"))).alias("all"))
     found: dict = {}
-    sizes = {(r["lang"], r["kind"]): r["size"] for r in size.collect()}
-    for r in top.orderBy("lang", "kind", "place").collect():
-        found.setdefault(r["lang"], {"class": {}, "word": {}})[r["kind"]][r["key"]] = r["n"]
+    for r in top.select("lang", "kind", F.slice("all", 1, limits.common_words).alias("all")).collect():
+        found.setdefault(r["lang"], {"class": {}, "word": {}})[r["kind"]] = {x["key"]: -x["minus"] for x in r["all"]}
     references = {}
     for lang, kinds in found.items():
         total = sizes.get((lang, "word"), 0)
@@ -198,10 +207,11 @@ def judge_documents(
     references = language_references(docs, lang_col, text_col, limits)
     frame = packed(docs, carry, lang=F.col(f"`{lang_col}`").cast("string"), text=F.col(f"`{text_col}`"))
     schema = T.StructType([T.StructField("row", frame.schema["row"].dataType), *T.StructType.fromDDL(RESULT)])
+    shared = docs.sparkSession.sparkContext.broadcast(references)
 
     def run(rows: pa.Array, langs: pa.Array, texts: pa.Array):
         found = [
-            judge(text, None if lang is None else f"={lang}", references, limits)
+            judge(text, None if lang is None else f"={lang}", shared.value, limits)
             for lang, text in zip(langs.to_pylist(), texts.to_pylist())
         ]
         return rows, *[list(x) for x in zip(*found)]
