@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from helpers import AWKWARD, documents, words
+from conftest import plan
 from pyspark.sql import functions as F
 
 from tidewell.llm.mixing import mix, mixed_documents, permuted, targets
@@ -89,11 +90,58 @@ def test_a_document_taken_whole_keeps_its_layout(spark):
     assert all(len(r.kept_text) == sum(len(b) for b in blocks if b in r.kept_text) for r in cut)
 
 
-def test_permutations(spark):
-    df = spark.range(50).select("id", *[permuted(F.col("id"), F.lit(50), F.lit(f"p{k}")).alias(f"p{k}") for k in range(3)])
-    columns = list(zip(*[tuple(r)[1:] for r in df.collect()]))
-    assert all(sorted(c) == list(range(50)) for c in columns)
-    assert len(set(columns)) == 3
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 50, 1000, 4097])
+def test_permutations(spark, n):
+    keys = [permuted(F.col("id"), F.lit(n).cast("long"), F.lit(f"p{k}")).alias(f"p{k}") for k in range(6)]
+    columns = list(zip(*[tuple(r)[1:] for r in spark.range(n).select("id", *keys).orderBy("id").collect()]))
+    assert all(sorted(c) == list(range(n)) for c in columns)
+    if n >= 50:
+        assert len(set(columns)) == 6
+        for c in columns:
+            # No stride: neighbours lie at many different distances.
+            steps = {(x - y) % n for x, y in zip(c, c[1:])}
+            assert len(steps) > n // 3
+            assert abs(np.corrcoef(range(n), c)[0, 1]) < 0.5
+
+
+def test_permutations_of_many(spark):
+    n = 10**12 + 7
+    got = spark.range(20_000).select(permuted(F.col("id"), F.lit(n), F.lit("k")).alias("p")).agg(
+        F.count_distinct("p"), F.min("p"), F.max("p"), F.avg("p")
+    ).first()
+    assert got[0] == 20_000 and 0 <= got[1] and got[2] < n and abs(got[3] / n - 0.5) < 0.02
+
+
+def test_taken_follows_from_the_places(spark):
+    """Every slot of every shard holds one block, and a document's words are those its blocks' places take."""
+    rows = corpus(150)
+    block, shard = 16, 32
+    found = mix(documents(spark, rows), block_words=block, shard_blocks=shard).collect()
+    held = defaultdict(set)
+    at = {}
+    for r in found:
+        spans = r.spans or []
+        assert r.taken == sum(x.length * len(x.places) for x in spans)
+        assert all(x.uses == len(x.places) == len({p["pass"] for p in x.places}) for x in spans)
+        for x in spans:
+            assert 0 <= x.start and x.start + x.length <= r.size
+            for p in x.places:
+                held[p.shard].add(p.slot)
+                at.setdefault((p.shard, p.slot), []).append((rows[r.id][3], r.id, x.start, x.length))
+    assert sorted(held) == list(range(len(held)))
+    assert all(max(slots) < shard for slots in held.values())
+    for parts in at.values():
+        # One slot, one block: words of one source, a block's number at most, and whole documents in its middle.
+        assert len({source for source, *_ in parts}) == 1
+        assert sum(length for *_, length in parts) <= block
+
+
+def test_many_equal_rows_meet_one_each(spark):
+    rows = [(None, "the same text of a few words", "en", "a")] * 3000
+    got = mixed_documents(documents(spark, rows), most=1, share_percent=100)
+    assert got.count() == 3000
+    keys = [line for line in plan(got).split("\n") if "Join" in line and "_hash" in line]
+    assert any("_n" in line and "_m" in line for line in keys)
 
 
 def test_awkward_rows(spark):

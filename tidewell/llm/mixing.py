@@ -2,7 +2,8 @@
 
 The words of a source's documents, in a fixed order, are packed into blocks of ``block_words``. Output
 shards of ``shard_blocks`` slots draw how many slots each source gets: the whole part of the expectation,
-and the rest multinomially by the fractions. The slots of a source are numbered through all shards, and a
+and the rest multinomially by the fractions, so that small sources come near their targets too, which
+a draw of all slots would miss by the root of their number. The slots of a source are numbered through all shards, and a
 pseudorandom permutation of the block indexes, another one for each pass, says which block a slot holds.
 Blocks and documents then meet by (source, block index); only slots and document positions are joined, and
 texts are cut at the end.
@@ -26,8 +27,7 @@ from tidewell.llm.common import WORD, running_start, stored
 # A word and the blanks after it; the first word of a text has the blanks before it too.
 UNIT = rf"[\x20\x09-\x0D]*{WORD}[\x20\x09-\x0D]*"
 WEIGHTS = (3, 1, 2)
-# Primes, so that one that does not divide the number of blocks is prime to it.
-PRIMES = (998244353, 1000000007, 1000000009, 1000000021, 1000000033, 1000000087, 1000000093, 1000000097)
+PLACES = "array<struct<pass: long, shard: long, slot: long>>"
 SHARE_PERCENT, MOST = 150, 2
 
 
@@ -64,7 +64,8 @@ def targets(sources: DataFrame, share_percent: int = SHARE_PERCENT, most: int =
 
 
 def slots(sources: DataFrame, block_words: int, shard_blocks: int, seed: int, most: int) -> DataFrame:
-    """``s, block, uses``: how often each block of each source is taken, ``most`` times at most."""
+    """``s, block, uses, places``: how often each block of each source is taken, ``most`` times at most, and
+    for each pass the output shard and the slot in it that hold the block."""
     spark = sources.sparkSession
     blocks = F.ceil(F.col("source_size") / block_words)
     shares = (
@@ -74,7 +75,7 @@ def slots(sources: DataFrame, block_words: int, shard_blocks: int, seed: int, mo
     )
     total = shares.agg(F.ceil(F.sum("expected")).cast("long"), F.sum("expected")).first()
     if total[0] is None:
-        return spark.createDataFrame([], "s int, block long, uses long")
+        return spark.createDataFrame([], f"s int, block long, uses long, places {PLACES}")
     n_shards = -(-total[0] // shard_blocks)
     last = total[0] - (n_shards - 1) * shard_blocks
     # Shards of two lengths: the last one may be shorter.
@@ -101,28 +102,51 @@ def slots(sources: DataFrame, block_words: int, shard_blocks: int, seed: int, mo
         .groupBy("s", "shard")
         .agg(F.count("*").alias("n"))
     )
-    whole = (
-        shares.select("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard"))
-        .withColumn("length", shard_length)
-        .join(by_length.select("s", "length", F.col("whole").alias("n")), ["s", "length"])
-        .select("s", "shard", "n")
-    )
-    counts = whole.union(rest).groupBy("s", "shard").agg(F.sum("n").alias("n")).filter("n > 0")
+    # A shard has no more slots than ``shard_blocks``, so at most as many sources have a whole one: a bounded table.
+    sure = F.broadcast(by_length.filter("whole > 0").select("s", "length", F.col("whole").alias("n")))
+    shards = spark.range(n_shards).select(F.col("id").alias("shard")).withColumn("length", shard_length)
+    whole = shards.join(sure, "length").select("s", "shard", "n")
+    counts = whole.union(rest).groupBy("s", "shard").agg(F.sum("n").alias("n"))
+    # Inside a shard the sources' slots stand one after the other.
+    earlier = W.partitionBy("shard").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     first = running_start(stored(counts, "shard-counts"), ["s"], "shard", ["shard"], "n", "first")
-    index = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))
-    numbered = first.select("s", index.alias("i")).join(shares.select("s", "blocks"), "s").filter(F.col("i") < most * F.col("blocks"))
-    passes = numbered.select("s", "blocks", F.floor(F.col("i") / F.col("blocks")).alias("pass"), (F.col("i") % F.col("blocks")).alias("j"))
-    block = permuted(F.col("j"), F.col("blocks"), F.lit(f"pass{seed}"), "s", "pass")
-    return passes.select("s", block.alias("block")).groupBy("s", "block").agg(F.count("*").alias("uses"))
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
+    each = first.select("s", "shard", "begin", "first", step.alias("step"))
+    each = each.select("s", "shard", (F.col("begin") + F.col("step")).alias("slot"), (F.col("first") + F.col("step")).alias("i"))
+    numbered = each.join(shares.select("s", "blocks"), "s").filter(F.col("i") < most * F.col("blocks"))
+    passes = numbered.withColumn("pass", F.floor(F.col("i") / F.col("blocks"))).withColumn("j", F.col("i") % F.col("blocks"))
+    block = permuted(F.col("j"), F.col("blocks"), F.lit(f"pass{seed}"), F.col("s"), F.col("pass"))
+    places = F.sort_array(F.collect_list(F.struct("pass", "shard", "slot")))  # ``most`` at most
+    return passes.withColumn("block", block).groupBy("s", "block").agg(F.count("*").alias("uses"), places.alias("places"))
+
+
+# Rounds of the Feistel network, an even number; steps of a walk, at most.
+_ROUNDS, _WALK = 4, 64
 
 
-def permuted(index: Column, n: Column, *name: Column | str) -> Column:
-    """A permutation of 0..n-1 that depends on ``name``: ``(a * index + b) mod n`` with ``a`` prime to ``n``."""
-    usable = F.filter(F.array(*[F.lit(p).cast("long") for p in PRIMES]), lambda p: n % p != 0)
-    factor = F.element_at(usable, (_draw(F.lit("a"), *name) % F.size(usable) + 1).cast("int"))
-    start = _draw(F.lit("b"), *name) % n
-    wide = "decimal(19,0)"
-    return (((factor % n).cast(wide) * index.cast(wide) + start.cast(wide)) % n.cast(wide)).cast("long")
+def permuted(index: Column, n: Column, *key: Column) -> Column:
+    """A pseudorandom permutation of 0..n-1 that depends on ``key``.
+
+    A keyed Feistel network over pairs from ``a`` times ``b`` numbers, ``a`` the root of ``n`` and ``a * b`` just
+    above it, walked on until it is below ``n``. Fewer than ``a`` pairs lie beyond ``n``, so a walk ends within ``a``
+    steps, and 64 are enough for certain up to 4096; above that a walk takes another step with a
+    probability below 1/64 each, and one that has not ended after 64 raises.
+    """
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    b = F.floor((n + a - 1) / a).cast("long")
+
+    def network(x: Column) -> Column:
+        left, right = x % a, F.floor(x / a).cast("long")
+        for j in range(_ROUNDS):
+            size = b if j % 2 else a
+            left, right = right, F.pmod(left + F.pmod(F.xxhash64(*key, F.lit(j), right), size), size)
+        return a * right + left
+
+    walk = F.aggregate(
+        F.sequence(F.lit(2), F.lit(_WALK)), network(index), lambda x, _: F.when(x < n, x).otherwise(network(x))
+    )
+    return F.when(walk < n, walk).otherwise(F.raise_error(F.lit("a walk of the permutation did not end")).cast("long"))
 
 
 def mix(
@@ -139,7 +163,7 @@ def mix(
     """One row per document: ``id, text_hash, size, source_size, target, taken, spans``.
 
     ``taken`` counts the words the mix takes, repeats included. ``spans`` lists what is taken, in order:
-    ``start`` and ``length`` in words of the document, and ``uses``.
+    ``start`` and ``length`` in words of the document, ``uses``, and the ``places`` (pass, shard, slot) that hold it.
     """
     text = F.col(f"`{text_col}`")
     sized = stored(
@@ -168,7 +192,7 @@ def mix(
         .groupBy("s", "off")
         .agg(
             F.sum(F.col("length") * F.col("uses")).alias("taken"),
-            F.sort_array(F.collect_list(F.struct("start", "length", "uses"))).alias("spans"),
+            F.sort_array(F.collect_list(F.struct("start", "length", "uses", "places"))).alias("spans"),
         )
     )
     # Documents without words share an offset with the next one, so they stay out of the join.
@@ -190,8 +214,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_hash"))
     left = left.withColumn("_n", F.row_number().over(alike))
     right = plan.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "spans").withColumn("_m", F.row_number().over(alike))
-    # Equal rows are told apart by number; as a difference this is no join key, so no row is moved again.
-    same = left["_id"].eqNullSafe(right["_id"]) & (left["_hash"] == right["_hash"]) & (left["_n"] - right["_m"] == 0)
+    # Equal rows are told apart by their number, which is part of the key: each row meets one other.
+    same = left["_id"].eqNullSafe(right["_id"]) & (left["_hash"] == right["_hash"]) & (left["_n"] == right["_m"])
     units = F.regexp_extract_all(F.col(f"row.`{text_col}`"), F.lit(UNIT), F.lit(0))
     both = left.join(right, same).select("row", "spans", units.alias("units"))
     both = both.withColumn("pass", F.explode(F.sequence(F.lit(1), F.array_max(F.col("spans.uses")).cast("int"))))
