@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.llm.voronoi import top_k
+from tidewell.llm.voronoi import join_plan, top_k
 
 LAYOUT = "vec_id long, embedding array<float>, label int, id string, v string, g string"
 
@@ -59,3 +59,35 @@ def test_awkward_rows(spark):
 def test_components_beyond_the_bound_are_refused(spark):
     with pytest.raises(Exception, match="beyond 2\\^62"):
         found(spark, [(0, [1e30]), (1, [1.0])])
+
+
+def share_that_meets(spark, rows, **options):
+    """Pairs of a query and a row that are scored, of all pairs."""
+    df = spark.createDataFrame([(i, v, 0, "x", "x", "x") for i, v in rows], LAYOUT)
+    settings = {"k": 5, "id_col": "vec_id", "vector_col": "embedding", "scale": 256, "n_pivots": None, "chunk_rows": 64, "block_rows": 4}
+    wanted, blocks, chunks, _ = join_plan(df, F.col("id") % 50 == 0, **{**settings, **options})
+    sizes = wanted.join(blocks.selectExpr("piece AS block", "size(ids) AS q"), "block")
+    sizes = sizes.join(chunks.selectExpr("piece AS chunk", "size(ids) AS d"), "chunk")
+    met = sizes.agg(F.sum(F.col("q") * F.col("d"))).first()[0]
+    every = [x.selectExpr("sum(size(ids))").first()[0] for x in (blocks, chunks)]
+    return met / (every[0] * every[1])
+
+
+def test_clustered_vectors_meet_a_part_of_the_rows(spark):
+    draw = random.Random(5)
+    centres = [[draw.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    centres = [[x / math.sqrt(sum(y * y for y in c)) for x in c] for c in centres]
+    rows = [(i, [x + draw.gauss(0, 0.01) for x in centres[draw.randrange(40)]]) for i in range(4000)]
+    assert share_that_meets(spark, rows) <= 0.2
+    assert found(spark, rows, chunk_rows=64, block_rows=4) == brute(rows, 5)
+
+
+def test_the_bounds_hold_for_vectors_of_many_lengths(spark):
+    draw = random.Random(6)
+    rows = [(i, [draw.gauss(0, 1) * 10 ** draw.uniform(-2, 1) for _ in range(3)]) for i in range(1500)]
+    assert found(spark, rows, n_pivots=40, chunk_rows=16, block_rows=4) == brute(rows, 5)
+
+
+def test_a_score_beyond_a_long_is_refused(spark):
+    with pytest.raises(Exception, match="beyond the range of a long"):
+        found(spark, [(0, [3e9] * 8), (1, [3e9] * 8), (2, [1.0] * 8)])

@@ -4,12 +4,17 @@ Vectors become whole numbers, ``floor(scale * x)``. An inner product is turned i
 coordinate: data get ``sqrt(M^2 - |x|^2)`` with M the longest norm, queries get 0, and then
 ``distance^2 = |q|^2 + M^2 - 2 * score``, so the nearest are those of the highest scores.
 
-Queries and data are grouped by their nearest pivot. A data group's summary holds its smallest distances
-to the pivot; a query group's bound on the k-th distance is the k-th smallest of "query radius + pivot
-distance + summary distance" over the groups. By the triangle inequality a data row can only matter to a
-query group if its distance to its own pivot is at least "pivot distance - query radius - bound". Data groups
-are stored in chunks in order of that distance, so the test leaves out chunks, and only the chunks that are
-needed meet a block of queries. Chunks are scored exactly in whole numbers and give their k best to a ranked merge.
+Queries and data are grouped by their nearest pivot; there are four times as many pivots as the root of the rows, up to ``MAX_PIVOTS``. A
+data group's summary holds its smallest distances to the pivot. A query's bound on its k-th distance is the k-th
+smallest of "distance to a pivot + summary distance" over the groups. A data row can only matter to the query if
+
+* its distance to its own pivot differs from the query's by no more than the bound (both sides of the triangle), and
+* the plane between its pivot and the query's lies within the bound, as the row is on its pivot's side.
+
+Data groups are stored in chunks in order of the distance to the pivot, so the first test leaves out chunks and the second
+whole groups. Pivots are numbered so that neighbours in number are neighbours in space, and a block of queries, which are in the order
+of their groups, asks for what any of its queries needs. Only the chunks asked for meet a block. Chunks are
+scored exactly in whole numbers and give their k best to a ranked merge.
 
 Equal vectors score alike, so only the ``k + 1`` smallest ids of each different vector are candidates
 (one more than k, as a query is no candidate of its own). That is exact and keeps a vector that fills a
@@ -18,11 +23,13 @@ third of the table from filling a group.
 Defined results: vectors that are null, empty or hold a null or non-finite component take no part, nor do
 rows without an id; shorter vectors count as filled with zeros; rows that agree in id and vector are one;
 ties go to the smaller id; a query without candidates gives no rows; an empty table gives an empty result.
-A component beyond 2^62 in size is refused with an error; scores beyond a long are cut to its range.
+A component beyond 2^62 in size is refused with an error, and so is a score beyond the range of a long.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,6 +39,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import map_rows, stored
 
 _LONG = 2**63 - 1
+MAX_PIVOTS = 1024
+_COARSE = 1e8
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -61,24 +70,43 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows, cut to the range of a long."""
+    """Exact inner products of integer rows."""
     bound = int(np.abs(left).max(initial=0)) * int(np.abs(right).max(initial=0)) * left.shape[1]
     if bound < 2**53:
         return (left.astype(float) @ right.astype(float).T).astype(np.int64)
     if bound < 2**63:
         return left @ right.T
-    return np.clip(left.astype(object) @ right.astype(object).T, -_LONG - 1, _LONG).astype(np.int64)
+    exact = left.astype(object) @ right.astype(object).T
+    if exact.size and (exact.max() > _LONG or exact.min() < -_LONG):
+        raise OverflowError("a score is beyond the range of a long")
+    return exact.astype(np.int64)
 
 
-def to_pivots(rows: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the nearest pivot and the distance to it. ``extra`` is the added coordinate."""
+def all_distances(rows: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances to all pivots. ``extra`` is the added coordinate."""
     full = np.column_stack([rows.astype(float), extra])
     apart = (full**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * full @ pivots.T
-    nearest = apart.argmin(1)
+    return np.sqrt(np.maximum(apart, 0))
+
+
+def to_pivots(rows: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest pivot and the distance to it."""
+    nearest = all_distances(rows, extra, pivots).argmin(1)
     # Not from the squares above: those lose digits where the distance is small.
+    full = np.column_stack([rows.astype(float), extra])
     return nearest, np.sqrt(((full - pivots[nearest]) ** 2).sum(1))
 
 
+def in_a_row(pivots: np.ndarray) -> np.ndarray:
+    """The pivots in an order in which each is followed by the nearest one left."""
+    left = list(range(1, len(pivots)))
+    order = [0]
+    while left:
+        apart = ((pivots[left] - pivots[order[-1]]) ** 2).sum(1)
+        order.append(left.pop(int(apart.argmin())))
+    return pivots[order]
+
+
 def _grouped(rows: DataFrame, pivots: np.ndarray, longest: float, data: bool) -> DataFrame:
     """Adds the group ``g`` and the distance ``far`` to its pivot."""
     width = pivots.shape[1] - 1
@@ -93,16 +121,38 @@ def _grouped(rows: DataFrame, pivots: np.ndarray, longest: float, data: bool) ->
     return map_rows(rows.select("id", "v"), run, "id long, v array<long>, g int, far double", rows=4096)
 
 
-def _reach(radius: dict[int, float], summary: dict[int, list[float]], pivots: np.ndarray, k: int, slack: float) -> list[tuple]:
-    """``query group, data group, least distance to the data pivot that a row needs``."""
-    pairs = []
-    for i, reach in radius.items():
-        between = {j: float(np.sqrt(((pivots[i] - pivots[j]) ** 2).sum())) for j in summary}
-        bounds = sorted(reach + between[j] + far for j, fars in summary.items() for far in fars)
-        # k + 1, as one of the rows may be the query itself.
-        bound = bounds[k] if len(bounds) > k else float("inf")
-        pairs += [(i, j, between[j] - reach - bound - slack) for j in summary]
-    return pairs
+def _needs(pivots: np.ndarray, summary: np.ndarray, width: int, slack: float):
+    """``block, g, low, high``: the groups a block needs, and of them rows with a distance to the pivot in this range."""
+    between = np.array([np.sqrt(((pivots - p) ** 2).sum(1)) for p in pivots])
+    k = summary.shape[1] - 1
+    # Squares of very long vectors are rounded too coarsely for the test by planes.
+    by_planes = between.max() < _COARSE
+
+    def run(blocks: pa.Array, vectors: pa.Array):
+        out = [[], [], [], []]
+        for block, rows in zip(blocks.to_pylist(), vectors):
+            x = matrix(rows.values, width)
+            apart = all_distances(x, np.zeros(len(x)), pivots)
+            # k + 1, as one of the rows may be the query itself.
+            bound = np.array([np.partition((d[:, None] + summary).ravel(), k)[k] for d in apart])[:, None] + slack
+            home = apart.argmin(1)
+            plane = np.full(apart.shape, -np.inf)
+            if by_planes:
+                beyond = apart**2 - apart[np.arange(len(x)), home][:, None] ** 2
+                np.divide(beyond, 2 * between[home], out=plane, where=between[home] > 0)
+            asked = (plane <= bound) & np.isfinite(summary[:, 0])[None, :]
+            low = np.where(asked, apart - bound, np.inf).min(0)
+            high = np.where(asked, apart + bound, -np.inf).max(0)
+            wanted = np.flatnonzero(asked.any(0))
+            for column, value in zip(out, ([block] * len(wanted), wanted, low[wanted], high[wanted])):
+                column.extend(value)
+        return out
+
+    return run
+
+
+def pivots_for(rows: int) -> int:
+    return min(MAX_PIVOTS, max(16, 4 * math.isqrt(rows)))
 
 
 def top_k(
@@ -112,67 +162,77 @@ def top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = 256,
-    n_pivots: int = 64,
+    n_pivots: int | None = None,
     chunk_rows: int = 2048,
     block_rows: int = 256,
 ) -> DataFrame:
     """``query_id, rank, id, score``: the ``k`` best of all other rows for each row that ``is_query`` holds for.
 
-    ``is_query`` refers to column ``id``. The driver holds the ``n_pivots`` pivots, the bounded sample they
-    are, and ``k + 1`` distances for each pivot.
+    ``is_query`` refers to column ``id``. The driver holds the pivots, at most ``MAX_PIVOTS`` of the rows,
+    and ``k + 1`` distances for each.
     """
+    plan = join_plan(vectors, is_query, k, id_col, vector_col, scale, n_pivots, chunk_rows, block_rows)
+    if plan is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score long")
+    wanted, blocks, chunks, width = plan
+    # Queries travel to the data: a block is an eighth of a chunk.
+    left = blocks.select(F.col("piece").alias("block"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"))
+    right = chunks.select(F.col("piece").alias("chunk"), "ids", "vs")
+    met = wanted.join(left, "block").join(right, "chunk").select("q_ids", "q_vs", "ids", "vs")
+    best = map_rows(met, _scored(k, width), "query_id long, q_key long, id long, score long", rows=1)
+    return _ranked(best, k)
+
+
+def join_plan(
+    vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col: str, scale: int, n_pivots: int | None,
+    chunk_rows: int, block_rows: int,
+) -> tuple[DataFrame, DataFrame, DataFrame, int] | None:
+    """Which ``block`` of queries needs which ``chunk`` of data, both kinds of pieces, and the width; None without queries."""
     spark = vectors.sparkSession
     rows = stored(usable(vectors, id_col, vector_col, scale), "vectors")
     squared = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     longest, width = rows.agg(F.max(squared), F.max(F.size("v"))).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, id long, score long")
     if longest is None:
-        return empty
+        return None
     longest = float(longest) ** 0.5
 
     by_id = W.partitionBy("v").orderBy("id")
     candidates = rows.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1).drop("n")
     # Pivots: the vectors whose hash is smallest, the same for the same rows however they lie.
+    n_pivots = n_pivots or pivots_for(rows.count())
     chosen = candidates.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(n_pivots).collect()
     points = np.zeros((len(chosen), width + 1))
     for row, (v,) in zip(points, chosen):
         row[: len(v)] = v
         row[-1] = max(longest**2 - float((row[:-1] ** 2).sum()), 0) ** 0.5
+    points = in_a_row(points)
 
     data = stored(_grouped(candidates, points, longest, True), "data-groups")
     queries = stored(_grouped(rows.filter(is_query), points, longest, False), "query-groups")
     nearest = W.partitionBy("g").orderBy("far")
-    summary: dict[int, list[float]] = {}
+    summary = np.full((len(points), k + 1), np.inf)
     smallest = data.select("g", "far").withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= k + 1)
-    for g, far, _ in smallest.collect():  # k + 1 rows for each pivot
-        summary.setdefault(g, []).append(far)
-    radius = {g: far for g, far in queries.groupBy("g").agg(F.max("far")).collect()}
-    if not radius:
-        return empty
-    # Distances are rounded; the bounds give way by far more than that.
-    reach = _reach(radius, summary, points, k, slack=1e-6 * (1 + longest))
-    reach = F.broadcast(spark.createDataFrame(reach, "qg int, g int, need double"))  # n_pivots squared rows at most
+    for g, far, n in smallest.collect():  # k + 1 rows for each pivot
+        summary[g, n - 1] = far
+    if queries.isEmpty():
+        return None
 
     chunks = stored(_pieces(data, chunk_rows, "g"), "data-chunks")
     blocks = stored(_pieces(queries, block_rows), "query-blocks")
-    # A block holds queries of neighbouring groups and needs what any of them needs.
-    needs = blocks.select(F.col("piece").alias("block"), F.explode("gs").alias("qg")).join(reach, "qg")
-    needs = needs.groupBy("block", "g").agg(F.min("need").alias("need"))
-    heads = chunks.select(F.explode("gs").alias("g"), F.col("piece").alias("chunk"), "far")
-    wanted = heads.join(needs, "g").filter(F.col("far") >= F.col("need")).select("block", "chunk")
-    # Queries travel to the data: a block is an eighth of a chunk.
-    left = blocks.select(F.col("piece").alias("block"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"))
-    right = chunks.select(F.col("piece").alias("chunk"), "ids", "vs")
-    met = wanted.join(left, "block").join(right, "chunk").select("q_ids", "q_vs", "ids", "vs")
-    best = map_rows(met, _scored(k, width), "query_id long, q_key long, id long, score long", rows=1)
-    return _ranked(best, k)
+    # Distances are rounded; the bounds give way by far more than that.
+    needs = _needs(points, summary, width, slack=1e-6 * (1 + longest))
+    needs = map_rows(blocks.select("piece", "vs"), needs, "block string, g int, low double, high double", rows=1)
+    heads = chunks.select(F.explode("gs").alias("g"), F.col("piece").alias("chunk"), "near", "far")
+    met = (F.col("far") >= F.col("low")) & (F.col("near") <= F.col("high"))
+    wanted = heads.join(stored(needs, "needs"), "g").filter(met).select("block", "chunk")
+    return wanted, blocks, chunks, width
 
 
 def _pieces(rows: DataFrame, size: int, *apart: str) -> DataFrame:
     """Neighbouring rows (by group, then distance to the pivot) in pieces of ``size`` rows or fewer.
 
     Rows that differ in ``apart`` are in different pieces. A piece has ``ids``, ``vs``, its groups ``gs`` and
-    its largest distance ``far``. Pieces are parts of range partitions, so no task orders a whole group.
+    its least and largest distance ``near`` and ``far``. Pieces are parts of range partitions, so no task orders a whole group.
     """
     ranged = rows.repartitionByRange("g", "far", "id").withColumn("part", F.spark_partition_id().cast("long"))
     inside = W.partitionBy("part", *apart).orderBy("g", "far", "id")
@@ -181,10 +241,11 @@ def _pieces(rows: DataFrame, size: int, *apart: str) -> DataFrame:
         F.collect_list("id").alias("ids"),
         F.collect_list("v").alias("vs"),
         F.collect_set("g").alias("gs"),
+        F.min("far").alias("near"),
         F.max("far").alias("far"),
     )
     key = F.concat_ws(":", "part", *apart, "n")
-    return gathered.select(key.alias("piece"), "ids", "vs", "gs", "far")
+    return gathered.select(key.alias("piece"), "ids", "vs", "gs", "near", "far")
 
 
 def _scored(k: int, width: int):
@@ -201,7 +262,7 @@ def _scored(k: int, width: int):
             if len(mine) > k:
                 least = np.partition(mine, -k)[-k]
                 others, mine = others[mine >= least], mine[mine >= least]
-            first = np.lexsort((data[others], -mine.astype(object) if (mine == -_LONG - 1).any() else -mine))[:k]
+            first = np.lexsort((data[others], -mine))[:k]
             out_q += [query[i]] * len(first)
             out_key += [keys[i]] * len(first)
             out_id += data[others[first]].tolist()
