@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidewell.llm.common import map_rows, packed, stored, words_of
 
-_SLICES = 32
+_SLICES = 256
 # Fixed by the rule's definition: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "sentence", "symbol", "other", "beyond")
@@ -133,16 +133,19 @@ def language_references(docs: DataFrame, lang_col: str, text_col: str, limits: L
     size = named.groupBy("lang", "kind").agg(F.sum("n").alias("size"))
     large = size.filter((F.col("lang") == "") | ((F.col("kind") == "word") & (F.col("size") >= limits.min_reference)))
     sizes = {(r["lang"], r["kind"]): r["size"] for r in large.collect()}
-    # The best of each slice of the keys first, one row a slice, then the best of these: no task ranks a language.
+    # The best of each slice of the keys first, one row a slice, then the best of sixteen slices: no task ranks a language.
     kept = F.broadcast(large.select(F.col("lang").alias("large")).distinct())
     sliced = named.join(kept, F.col("lang").eqNullSafe(F.col("large")), "left_semi")
     sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(_SLICES)).cast("int"))
     first = W.partitionBy("lang", "kind", "slice").orderBy(F.desc("n"), "key")
     best = sliced.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= limits.common_words)
-    parts = best.groupBy("lang", "kind", "slice").agg(F.collect_list(F.struct((-F.col("n")).alias("minus"), "key")).alias("part"))
-    top = parts.groupBy("lang", "kind").agg(F.sort_array(F.flatten(F.collect_list("part"))).alias("all"))
+    entry = F.struct((-F.col("n")).alias("minus"), "key")
+    top = best.groupBy("lang", "kind", "slice").agg(F.collect_list(entry).alias("all"))
+    for fewer in (_SLICES // 16, 1):
+        merged = F.slice(F.sort_array(F.flatten(F.collect_list("all"))), 1, limits.common_words)
+        top = top.groupBy("lang", "kind", (F.col("slice") % fewer).alias("slice")).agg(merged.alias("all"))
     found: dict = {}
-    for r in top.select("lang", "kind", F.slice("all", 1, limits.common_words).alias("all")).collect():
+    for r in top.collect():
         found.setdefault(r["lang"], {"class": {}, "word": {}})[r["kind"]] = {x["key"]: -x["minus"] for x in r["all"]}
     references = {}
     for lang, kinds in found.items():
