@@ -11,9 +11,9 @@ smallest of "distance to a pivot + summary distance" over the groups. A data row
 * its distance to its own pivot differs from the query's by no more than the bound (both sides of the triangle), and
 * the plane between its pivot and the query's lies within the bound, as the row is on its pivot's side.
 
-Data groups are stored in chunks in order of the distance to the pivot, so the first test leaves out chunks and the second
-whole groups. Pivots are numbered so that neighbours in number are neighbours in space, and a block of queries, which are in the order
-of their groups, asks for what any of its queries needs. Only the chunks asked for meet a block. Chunks are
+Pivots are numbered so that neighbours in number are neighbours in space. Rows are stored in chunks, and queries in
+blocks, in the order of their groups and of the distance to the pivot. A chunk knows the range of distances it holds of each of its groups, a
+block asks for what any of its queries needs, and only the chunks asked for meet it. Chunks are
 scored exactly in whole numbers and give their k best to a ranked merge.
 
 Equal vectors score alike, so only the ``k + 1`` smallest ids of each different vector are candidates
@@ -217,35 +217,31 @@ def join_plan(
     if queries.isEmpty():
         return None
 
-    chunks = stored(_pieces(data, chunk_rows, "g"), "data-chunks")
-    blocks = stored(_pieces(queries, block_rows), "query-blocks")
+    chunks, heads = _pieces(data, chunk_rows)
+    blocks, _ = _pieces(queries, block_rows)
     # Distances are rounded; the bounds give way by far more than that.
     needs = _needs(points, summary, width, slack=1e-6 * (1 + longest))
     needs = map_rows(blocks.select("piece", "vs"), needs, "block string, g int, low double, high double", rows=1)
-    heads = chunks.select(F.explode("gs").alias("g"), F.col("piece").alias("chunk"), "near", "far")
     met = (F.col("far") >= F.col("low")) & (F.col("near") <= F.col("high"))
-    wanted = heads.join(stored(needs, "needs"), "g").filter(met).select("block", "chunk")
+    heads = heads.withColumnRenamed("piece", "chunk")
+    wanted = heads.join(stored(needs, "needs"), "g").filter(met).select("block", "chunk").distinct()
     return wanted, blocks, chunks, width
 
 
-def _pieces(rows: DataFrame, size: int, *apart: str) -> DataFrame:
-    """Neighbouring rows (by group, then distance to the pivot) in pieces of ``size`` rows or fewer.
+def _pieces(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Neighbouring rows (by group, then distance to the pivot) in pieces of ``size`` rows or fewer: ``piece, ids, vs``.
 
-    Rows that differ in ``apart`` are in different pieces. A piece has ``ids``, ``vs``, its groups ``gs`` and
-    its least and largest distance ``near`` and ``far``. Pieces are parts of range partitions, so no task orders a whole group.
+    Next to them, for each piece and group it holds rows of, their least and largest distance: ``piece, g, near, far``.
+    Pieces are parts of range partitions, so no task orders a whole group.
     """
     ranged = rows.repartitionByRange("g", "far", "id").withColumn("part", F.spark_partition_id().cast("long"))
-    inside = W.partitionBy("part", *apart).orderBy("g", "far", "id")
-    numbered = stored(ranged, "ranged").withColumn("n", F.floor((F.row_number().over(inside) - 1) / size))
-    gathered = numbered.groupBy("part", *apart, "n").agg(
-        F.collect_list("id").alias("ids"),
-        F.collect_list("v").alias("vs"),
-        F.collect_set("g").alias("gs"),
-        F.min("far").alias("near"),
-        F.max("far").alias("far"),
-    )
-    key = F.concat_ws(":", "part", *apart, "n")
-    return gathered.select(key.alias("piece"), "ids", "vs", "gs", "near", "far")
+    inside = W.partitionBy("part").orderBy("g", "far", "id")
+    number = F.floor((F.row_number().over(inside) - 1) / size)
+    numbered = stored(ranged, "ranged").withColumn("piece", F.concat_ws(":", "part", number))
+    numbered = stored(numbered.drop("part"), "numbered")
+    pieces = numbered.groupBy("piece").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))
+    heads = numbered.groupBy("piece", "g").agg(F.min("far").alias("near"), F.max("far").alias("far"))
+    return stored(pieces, "pieces"), stored(heads, "heads")
 
 
 def _scored(k: int, width: int):
