@@ -86,5 +86,5 @@ def test_queries_agree_with_their_sql(spark, sf_dir, name):
 def test_every_operator_is_registered():
     import __spark_entry__
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())

@@ -143,9 +143,10 @@ def permuted(index: Column, n: Column, *key: Column) -> Column:
             left, right = right, F.pmod(left + F.pmod(F.xxhash64(*key, F.lit(j), right), size), size)
         return a * right + left
 
-    walk = F.aggregate(
-        F.sequence(F.lit(2), F.lit(_WALK)), network(index), lambda x, _: F.when(x < n, x).otherwise(network(x))
-    )
+    first = network(index)
+    # Nearly every walk is over after one step; the others are rare enough for a loop.
+    more = F.aggregate(F.sequence(F.lit(2), F.lit(_WALK)), first, lambda x, _: F.when(x < n, x).otherwise(network(x)))
+    walk = F.when(first < n, first).otherwise(more)
     return F.when(walk < n, walk).otherwise(F.raise_error(F.lit("a walk of the permutation did not end")).cast("long"))
 
 
