@@ -28,7 +28,6 @@ from pyspark.sql.window import Window
 from tidewell.functions.text import batch_order
 from tidewell.operators import commits, ledger
 from tidewell.operators.commits import Segment
-from tidewell.session import read_or_empty
 from tidewell.sources import files, layers
 
 
