@@ -249,3 +249,23 @@ def test_casts_tell_why_a_row_should_be_rejected(spark):
     assert plan(got.drop("at")).count("Project") == 1
     plain = clean.cast_with_reasons(df.drop("reject_reasons"))
     assert {tuple(r.reject_reasons) for r in plain.collect()} == {()}
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_dedup_by_hash_shuffles_only_rows_that_share_a_hash(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(clean, "REPEATED", most)
+    some = [("a", None, 1), (None, "a", 2), ("a", None, 0), (None, None, 3), (None, None, 4), ("b", "c", 5)]
+    df = spark.createDataFrame(some, "x string, y string, no long").unionByName(
+        spark.range(1000).select(F.col("id").cast("string").alias("x"), F.lit("y").alias("y"), F.col("id").alias("no"))
+    )
+    for n, keep in enumerate(("no", None)):
+        got = clean.dedup_by_hash(df, f"{tmp_path}/{n}", keep)
+        want = clean.dedup_full_row(df, keep)
+        assert got.columns == df.columns
+        assert rows(got.select("x", "y", "no"), "x", "y", "no") == rows(want.select("x", "y", "no"), "x", "y", "no")
+        text = plan(got)
+        if most:
+            # The rows with a hash of their own come from the branch that has no shuffle.
+            assert "LeftAnti, BuildRight" in text and text.count("Exchange hashpartitioning") == 1
+    maps = df.withColumn("m", F.create_map("no", "no"))
+    assert clean.dedup_by_hash(maps, f"{tmp_path}/maps", "no").count() == clean.dedup_full_row(maps, "no").count()

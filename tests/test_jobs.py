@@ -5,10 +5,12 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tidewell.datasets import BY_NAME, DATASETS
-from tidewell.operators import ledger
+from tidewell.operators import ledger, nested
 from tidewell.operators.quality import ValidationFailed
 from tidewell.plans import jobs, questions, schemas, seeds, star, views
 from tidewell.session import shared_dir
+from tidewell.plans.schemas import conform, processed_schema, source_schema
+from tidewell.sources import layers
 from tidewell.sources.layers import table_path
 
 
@@ -304,3 +306,23 @@ def test_a_run_checks_what_it_loaded(spark, tmp_path):
     with pytest.raises(ValidationFailed, match="orders:in_set:order_status"):
         jobs.run(spark, f"{tmp_path}/fail", {"orders": found}, integrity="fail")
     assert jobs.run(spark, f"{tmp_path}/none", {}, integrity="fail")["integrity"]["success"]
+
+
+def test_processing_does_not_shuffle_whole_rows(spark, tmp_path, monkeypatch):
+    """Documents land once; their events are written by the tasks that read them."""
+    written, land = [], jobs.land
+    monkeypatch.setattr(jobs, "land", lambda df, *a, **k: written.append((df, k)) or land(df, *a, **k))
+    schema = "shipment_id string, updated_at string, events array<struct<event_type:string,event_time:string>>"
+    times = [f"2025-01-0{n}T00:00:00Z" for n in range(1, 4)]
+    docs = [(f"s_{n}", times[0], [("a", t) for t in times] + [("a", times[0])]) for n in range(50)]
+    dataset = BY_NAME["shipments"]
+    for n, some in enumerate((docs[:30], docs[30:])):
+        rows_of = conform(spark.createDataFrame(some, schema), source_schema("shipments"))
+        layers.land(nested.flatten_struct(rows_of), str(tmp_path), "api", "shipments", f"b_{n}")
+    jobs.process_dataset(spark, str(tmp_path), dataset)
+    out = layers.scan_layer(spark, str(tmp_path), "processed", "api", "shipments", processed_schema("shipments"))
+    assert out.count() == 150 and out.select("batch_id").distinct().count() == 2
+    (frame, options), = written
+    assert options["spread"] is False
+    assert frame._jdf.queryExecution().logical().toString().count("Join LeftAnti") == 1
+    assert not list(tmp_path.glob("staging/shipments/*"))

@@ -126,6 +126,32 @@ def dedup_full_row(
     return df.groupBy(*keys).agg(*aggs)
 
 
+# Most values that travel to every task, to tell the rows that need a shuffle from those that don't.
+REPEATED = 2_000_000
+
+
+def dedup_by_hash(df: DataFrame, path: str, keep_first: str | None = None) -> DataFrame:
+    """What ``dedup_full_row`` gives, of a frame that can be read twice: most rows are not shuffled.
+
+    The hashes of the rows are counted and those of several rows stored under ``path``. A row with
+    a hash of its own has no copy. The others are compared as whole rows, so rows that share a hash by chance
+    all stay. Where more than ``REPEATED`` hashes repeat, all rows are compared.
+    """
+    if any(isinstance(f.dataType, T.MapType) for f in df.schema):
+        return dedup_full_row(df, keep_first)
+    spark, own = df.sparkSession, "_row_hash"
+    tagged = df.withColumn(own, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != keep_first]))
+    counted = tagged.groupBy(own).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(own)
+    counted.write.parquet(path)
+    repeated = spark.read.schema(counted.schema).parquet(path)
+    if repeated.count() > REPEATED:
+        return dedup_full_row(df, keep_first)
+    repeated = F.broadcast(repeated)
+    alone = tagged.join(repeated, own, "left_anti").select(*df.columns)
+    several = tagged.join(repeated, own, "left_semi").select(*df.columns)
+    return alone.unionByName(dedup_full_row(several, keep_first))
+
+
 def dedup_metrics(raw: DataFrame, exploded: DataFrame, within: str = "batch_id") -> DataFrame:
     """Rows before, after the explode, removed and final, per batch.
 

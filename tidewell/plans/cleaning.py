@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -35,6 +35,10 @@ SHIPMENT_TIMES = (
 SHIPMENT_INTS = ("order_id",)
 
 
+# How a rule drops exact copies: as ``dedup_full_row`` does, or to the same end.
+Dedup = Callable[..., DataFrame]
+
+
 def clean_products(raw: DataFrame) -> DataFrame:
     return fill_null(raw, BRAND_FILL)
 
@@ -53,8 +57,8 @@ def exploded_sessions(raw: DataFrame, reasons: bool = False) -> DataFrame:
     return _typed(events, SESSION_TIMES, SESSION_INTS, reasons)
 
 
-def clean_sessions(raw: DataFrame, reasons: bool = False) -> DataFrame:
-    return dedup_full_row(exploded_sessions(raw, reasons), keep_first=EVENT_NO)
+def clean_sessions(raw: DataFrame, reasons: bool = False, dedup: Dedup = dedup_full_row) -> DataFrame:
+    return dedup(exploded_sessions(raw, reasons), keep_first=EVENT_NO)
 
 
 def typed_reviews(raw: DataFrame, reasons: bool = False) -> DataFrame:
@@ -63,8 +67,8 @@ def typed_reviews(raw: DataFrame, reasons: bool = False) -> DataFrame:
     return strip_strings(fill_null(df, REVIEW_FILL), ("review_text", "title"))
 
 
-def clean_reviews(raw: DataFrame, reasons: bool = False) -> DataFrame:
-    return dedup_full_row(typed_reviews(raw, reasons))
+def clean_reviews(raw: DataFrame, reasons: bool = False, dedup: Dedup = dedup_full_row) -> DataFrame:
+    return dedup(typed_reviews(raw, reasons))
 
 
 def exploded_shipments(raw: DataFrame, reasons: bool = False) -> DataFrame:
@@ -73,8 +77,8 @@ def exploded_shipments(raw: DataFrame, reasons: bool = False) -> DataFrame:
     return drop_if_exists(events, "delivery_address_extra")
 
 
-def clean_shipments(raw: DataFrame, reasons: bool = False) -> DataFrame:
-    return dedup_full_row(exploded_shipments(raw, reasons), keep_first=EVENT_NO)
+def clean_shipments(raw: DataFrame, reasons: bool = False, dedup: Dedup = dedup_full_row) -> DataFrame:
+    return dedup(exploded_shipments(raw, reasons), keep_first=EVENT_NO)
 
 
 def clean_carriers(raw: DataFrame) -> DataFrame:
@@ -97,8 +101,8 @@ RULES = {
 CASTING = ("customer_sessions", "product_reviews", "shipments")
 
 
-def process(table: str, raw: DataFrame, reasons: bool = False) -> DataFrame:
+def process(table: str, raw: DataFrame, reasons: bool = False, dedup: Dedup = dedup_full_row) -> DataFrame:
     """The cleaned rows; with ``reasons`` bad values are told in ``reject_reasons`` instead of raising."""
-    if reasons and table in CASTING:
-        return RULES[table](raw, reasons=True)
+    if table in CASTING:
+        return RULES[table](raw, reasons=reasons, dedup=dedup)
     return RULES.get(table, pass_through)(raw)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 from tidewell.datasets import BY_NAME, DATASETS, Dataset, of_source
 from tidewell.functions.text import batch_order
 from tidewell.operators import ledger
+from tidewell.operators.clean import dedup_by_hash
 from tidewell.operators.merge import load_landed, loaded_files, read_latest, read_table, row_order
 from tidewell.operators.nested import flatten_struct
 from tidewell.operators.quality import ValidationFailed, validate
@@ -22,6 +25,7 @@ from tidewell.plans.schemas import conform, processed_schema, raw_schema, source
 from tidewell.plans.star import build_star
 from tidewell.plans.suites import SUITES
 from tidewell.session import read_or_empty
+from tidewell.sources import files
 from tidewell.sources.layers import (
     LANDED,
     LANDED_FILE,
@@ -109,18 +113,20 @@ def process_dataset(
         return None
     rows = read_files(spark, raw, raw_schema(name), [(b, None) for b in pending]).drop(LANDED_FILE)
     quarantined = on_failure == "quarantine" and (name in SUITES or name in CASTING)
-    clean = process(name, rows, reasons=quarantined)
+    scratch = f"{root.rstrip('/')}/staging/{name}/{uuid.uuid4().hex}"
+    clean = process(name, rows, reasons=quarantined, dedup=partial(dedup_by_hash, path=scratch))
     suite = SUITES.get(name, () if quarantined else None)
     # Checks run over a written copy, so the cleaning is not computed once per check.
     layer = "checked" if quarantined else "processed"
-    land(clean, root, source, name, layer=layer)
+    land(clean, root, source, name, layer=layer, spread=False)
+    files.remove(spark, scratch)
     summary = None
     if suite is not None:
         checked = scan_layer(spark, root, layer, source, name, clean.schema, pending)
         kept, rejected, summary = validate(checked.select(*clean.columns), suite, on_failure)
         if rejected is not None:
-            write_processed(kept, root, source, name)
-            land(rejected, root, source, name, layer="rejected")
+            write_processed(kept, root, source, name, spread=False)
+            land(rejected, root, source, name, layer="rejected", spread=False)
     # Named last: what is lost before is processed again, into the same folders.
     ledger.append_rows(new.filter(F.col("batch_id").isin(pending)), consumed_path(root, dataset))
     return summary

@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Landed rows take some ten times their file's size in memory: about a million a task, so that sorts don't spill.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    # A task with rows of a few batches writes them side by side instead of sorting by batch.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

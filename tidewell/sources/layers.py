@@ -30,18 +30,20 @@ def land(
     batch_id: str | None = None,
     max_rows: int = MAX_ROWS_PER_FILE,
     layer: str = "raw",
+    spread: bool = True,
 ) -> str:
     """Write one batch, or the batches named by a ``batch_id`` column, replacing only those.
 
     Rows that name the file they come from (``LANDED_FILE``) replace only what that file brought before.
     A single batch is written by the tasks that read it, without a shuffle. Several batches
     are rebalanced first: small ones then share no task with thousands of tiny files, and
-    one that holds most of the rows is split over many tasks.
+    one that holds most of the rows is split over many tasks. ``spread=False`` is for rows read from files
+    of one batch each: written as they lie, they make about as many files as were read.
     """
     path = table_path(root, layer, source, table)
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id))
-    else:
+    elif spread:
         df = df.hint("rebalance", F.col("batch_id"))
     parts = [c for c in ("batch_id", LANDED_FILE) if c in df.columns]
     (
@@ -54,9 +56,9 @@ def land(
     return path
 
 
-def write_processed(df: DataFrame, root: str, source: str, table: str) -> str:
+def write_processed(df: DataFrame, root: str, source: str, table: str, spread: bool = True) -> str:
     """The processed form of the batches in ``df``, under the same batch ids."""
-    return land(df, root, source, table, layer="processed")
+    return land(df, root, source, table, layer="processed", spread=spread)
 
 
 LANDED = T.StructType([T.StructField("batch_id", T.StringType()), T.StructField("file", T.StringType())])
