@@ -327,6 +327,59 @@ def test_a_large_batch_meets_a_bucketed_table_without_shuffling_it(spark, store,
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_buckets_are_small_enough_for_one_task():
+    """A bucket is sorted by one task, and met by its part of a batch."""
+    assert merge.BUCKET_ROWS <= 1_000_000
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_a_large_load_shuffles_keys_only(spark, store, monkeypatch, few):
+    """The rows of unique keys are written as they are read; of keys that repeat the first is kept, hot ones too."""
+    monkeypatch.setattr(merge, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(merge, "HOT_ROWS", 50)
+    if not few:
+        monkeypatch.setattr(merge, "REPEATED", 3)
+    key = F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 4 == 1, F.col("id") % 90).otherwise(F.col("id"))
+    rows_of = spark.range(1_000).select(
+        F.concat(F.lit("b_"), (F.col("id") % 3).cast("string")).alias("batch_id"), key.alias("product_id"),
+        F.col("id").cast("string").alias("brand"),
+    )
+    store.load(rows_of)
+    (segment,) = store.manifest().segments
+    assert segment.index and segment.buckets == 10
+    keys = merge._read_keys(spark, store.root, "products", segment, rows_of.schema, ["product_id"])
+    assert "default.tidewell_" in plan(keys) and keys.columns == ["product_id"]
+    want = merge.first_per_key(rows_of, ["product_id"], [F.col("batch_id"), F.col("brand")])
+    got = store.table().select(*rows_of.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # Another load brings known keys and new ones; a third only known ones.
+    more = rows_of.withColumns({"batch_id": F.lit("b_9"), "product_id": F.col("product_id") + 500})
+    store.load(more)
+    assert store.load(more.withColumn("batch_id", F.lit("b_10")))
+    added = merge.first_per_key(more, ["product_id"], [F.col("brand")]).join(want, "product_id", "left_anti")
+    now = store.table().select(*rows_of.columns)
+    assert now.exceptAll(want.unionByName(added)).isEmpty() and now.count() == want.count() + added.count()
+    assert min(s.rows for s in store.manifest().segments) == 0
+    merge.sweep(spark, store.root, "products", hours=-1)
+    assert store.table().count() == now.count()
+    if few:
+        text = plan(merge._one_per_key(rows_of, ["product_id"], [F.col("brand")], 1_000, f"{store.root}/repeated"))
+        assert "LeftAnti, BuildRight" in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_a_batch_many_times_a_segment_leaves_its_few_buckets(spark, store, monkeypatch):
+    monkeypatch.setattr(merge, "BUCKET_ROWS", 50)
+    rows_of = spark.range(100).select(F.lit("b_1").alias("batch_id"), F.col("id").alias("product_id"), F.lit("x").alias("brand"))
+    store.load(rows_of)
+    (segment,) = store.manifest().segments
+    known = ["products", [segment], rows_of.schema, ["product_id"]]
+    assert segment.buckets == 2
+    for most, times in ((400, 1), (401, 0)):
+        left = merge._without_known(rows_of, store.root, *known, most)
+        assert ("default.tidewell_" in plan(left)) == bool(times)
+        assert left.isEmpty()
+
+
 def test_sweep_removes_what_nobody_needs(spark, store, products, monkeypatch):
     monkeypatch.setattr(merge, "FAN", 2)
     store.load(products)
