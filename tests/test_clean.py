@@ -1,6 +1,7 @@
 """Casts, filling, stripping and de-duplication on the small fixtures."""
 
 from datetime import datetime
+from functools import partial
 
 import pytest
 from conftest import plan, rows
@@ -269,3 +270,66 @@ def test_dedup_by_hash_shuffles_only_rows_that_share_a_hash(spark, tmp_path, mon
             assert "LeftAnti, BuildRight" in text and text.count("Exchange hashpartitioning") == 1
     maps = df.withColumn("m", F.create_map("no", "no"))
     assert clean.dedup_by_hash(maps, f"{tmp_path}/maps", "no").count() == clean.dedup_full_row(maps, "no").count()
+
+
+def _shipment_documents(spark):
+    """Copies of documents, in part or whole, and of events, also by another text of their time; most have none."""
+    one, two = ("2026-07-04 10:30:00", "a", "x", {"k": "1"}), ("2026-07-04T10:30:00Z", "a", "x", {"k": "1"})
+    other, bad, worse = ("2026-07-05", "b", None, None), ("noon", "a", "x", {}), ("one", "a", "x", {})
+    events = [
+        [one, two, other], [one, other], [one, other, other], [bad, worse], [bad, None, None], [None], [], None, [one], [two],
+    ]
+    docs = [(f"S{i}", 1, None, at, None, at, "extra", e) for i, e in enumerate(events) for at in ("2026-07-04", "2026-07-04T00:00:00Z")]
+    docs += [("S1", 1, None, "2026-07-04 00:00", None, "2026-07-04", "none", [one, bad]), (None, None, *[None] * 5, [one]), (None, None, *[None] * 5, [two])]
+    some = spark.createDataFrame(docs, SHIPMENT)
+    many = spark.range(500).select(
+        *[(F.concat(F.lit("T"), F.col("id")) if f.name == "shipment_id" else F.lit(None).cast(f.dataType)).alias(f.name)
+          for f in some.schema if f.name != "events"],
+        F.array(F.struct(*[F.lit(str(v)).alias(c) for c, v in (("event_time", "2026-07-04"), ("event_type", "a"), ("location", "x"))],
+                         F.create_map(F.lit("k"), F.lit("1")).alias("metadata"))).alias("events"),
+    )
+    return some.unionByName(many)
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_event_copies_are_found_by_their_documents(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(clean, "REPEATED", most)
+    docs = _shipment_documents(spark)
+    got = cleaning.clean_shipments(docs, dedup=partial(clean.dedup_by_hash, path=f"{tmp_path}/copies"))
+    want = cleaning.clean_shipments(docs)
+    assert sorted(got.columns) == sorted(want.columns)
+    want = want.select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    if most:
+        # Documents meet the hashes, so a document without copies is exploded and its events typed once, after that.
+        text = plan(got)
+        assert text.index("Generate") < text.index("LeftAnti") and spark.read.parquet(f"{tmp_path}/copies").count() < 40
+
+
+def test_document_times_are_read_before_the_explode(spark):
+    documents = _shipment_documents(spark)
+    text = plan(cleaning.exploded_shipments(documents))
+    above, below = text.split("Generate", 1)
+    assert "shipped_at" in below and above.count("RLIKE") < below.count("RLIKE")
+
+
+def test_documents_without_copies_meet_no_join(spark, tmp_path):
+    df = _shipment_documents(spark).filter("shipment_id LIKE 'T%'")
+    got = cleaning.clean_shipments(df, dedup=partial(clean.dedup_by_hash, path=f"{tmp_path}/copies"))
+    assert "Join" not in plan(got) and "Exchange" not in plan(got) and got.count() == 500
+
+
+def test_session_copies_are_found_by_their_documents(spark, tmp_path):
+    fields = "event_type:string,event_time:string,product_id:string,quantity:string,by:struct<at:string,tags:map<string,string>>"
+    kind = f"_id string, session_id string, started_at string, device struct<os:string>, events array<struct<{fields}>>"
+    one = ("view", "2026-07-04T10:30:00Z", "5", None, ("u", {"a": "b"}))
+    docs = [
+        ("a", "s", "2026-07-04", ("x",), [one, ("view", "2026-07-04 10:30:00", "5.0", None, ("u", {"a": "b"})), ("buy", None, " 7 ", "1", None)]),
+        ("a", "s", "2026-07-04T00:00:00Z", ("x",), [("buy", "noon", "7", "1.", (None, None)), one]),
+        ("b", "s", "late", None, [one, one]), ("c", "s", "later", None, [one]), ("d", "s", None, None, None),
+    ]
+    df = spark.createDataFrame(docs, kind)
+    got = cleaning.clean_sessions(df, dedup=partial(clean.dedup_by_hash, path=f"{tmp_path}/copies"))
+    want = cleaning.clean_sessions(df).select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and want.count() == 5
+    assert spark.read.parquet(f"{tmp_path}/copies").count() == 2

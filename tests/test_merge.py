@@ -367,6 +367,32 @@ def test_a_large_load_shuffles_keys_only(spark, store, monkeypatch, few):
         assert "LeftAnti, BuildRight" in text and text.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("most", [3, 70, 10_000])
+def test_many_known_keys_are_left_out_by_the_few_that_are_new(spark, store, monkeypatch, most):
+    monkeypatch.setattr(merge, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(merge, "REPEATED", most)
+    rows_of = spark.range(1_000).select(F.lit("b_1").alias("batch_id"), F.col("id").alias("product_id"), F.lit("x").alias("brand"))
+    store.load(rows_of)
+    # Half of the new keys come twice, with versions of their own.
+    staged = rows_of.withColumn("product_id", F.col("product_id") + 60).unionByName(rows_of.filter("product_id >= 970").select(
+        "batch_id", (F.col("product_id") + 60).alias("product_id"), F.lit("a").alias("brand")
+    ))
+    left = merge._without_known(
+        staged, store.root, "products", store.manifest().segments, rows_of.schema, ["product_id"], 1_030, f"{store.root}/known"
+    )
+    assert "Exchange hashpartitioning" not in plan(left)
+    assert left.count() == 90 and left.agg(F.min("product_id")).first()[0] == 1_000
+    assert store.load(staged.withColumn("batch_id", F.lit("b_2")))
+    got = store.table().filter("batch_id = 'b_2'")
+    assert {(r.product_id, r.brand) for r in got.collect()} == {(k, "a" if k >= 1_030 else "x") for k in range(1_000, 1_060)}
+    # A rerun ranks nothing.
+    with monkeypatch.context() as patch:
+        ranked = []
+        patch.setattr(merge, "first_per_key", lambda df, *a, f=merge.first_per_key: ranked.append(df.count()) or f(df, *a))
+        assert store.load(staged.withColumn("batch_id", F.lit("b_3")))
+    assert sum(ranked) == 0 and store.table().count() == 1_060
+
+
 def test_a_batch_many_times_a_segment_leaves_its_few_buckets(spark, store, monkeypatch):
     monkeypatch.setattr(merge, "BUCKET_ROWS", 50)
     rows_of = spark.range(100).select(F.lit("b_1").alias("batch_id"), F.col("id").alias("product_id"), F.lit("x").alias("brand"))

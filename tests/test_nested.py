@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tidewell.operators import nested
@@ -32,6 +32,18 @@ def test_nest_is_the_inverse_of_explode(spark):
     assert sorted(rows(back)) == sorted(rows(df))
 
 
+def test_documents_of_whole_keys_meet_others_by_key_without_another_shuffle(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, v long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = nested.nest_events(df, ["k"], ["v"])
+        joined = df.groupBy("k").agg(F.sum("v").alias("n")).join(docs, "k")
+        assert plan(joined).count("Exchange hashpartitioning") == 2
+        assert rows(joined.select("k", "n", "part", "events.v"), "k") == [("a", 3, 0, [1, 2]), ("b", 3, 0, [3])]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_parts_follow_the_content_and_nothing_is_lost(spark):
     hot = spark.range(9000).select(F.lit("hot").alias("k"), (F.col("id") % 4000).alias("v"))
     cold = spark.range(900).select(F.concat(F.lit("k"), F.col("id") % 300).alias("k"), F.col("id").alias("v"))
