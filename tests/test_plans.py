@@ -152,3 +152,8 @@ def test_a_page_by_its_number_costs_a_page(spark):
     text = spark.createDataFrame([(c, n) for c in "bca" for n in range(3)], "c string, n long")
     found, _ = feed.page(text, ["c", "n"], 2, 4, index=feed.page_index(text, ["c", "n"], 4))
     assert rows(found) == [("b", 1), ("b", 2), ("c", 0), ("c", 1)]
+
+
+def test_seeds_make_no_interval_from_its_parts(spark, sf_dir):
+    for name, df in seeds.source_tables(spark, sf_dir).items():
+        assert "make_dt_interval" not in plan(df), name

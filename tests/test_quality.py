@@ -14,6 +14,8 @@ from tidewell.operators.quality import (
     expect_row_count_between,
     expect_unique,
 )
+from tidewell.plans.integrity import integrity_report
+from tidewell.plans.schemas import processed_schema
 from tidewell.plans.suites import PRODUCT_REVIEWS, SUITES
 
 SCHEMA = "k long, name string, score double"
@@ -184,3 +186,27 @@ def test_all_keys_in_one_pass(spark):
     ]
     text = plan(checks.orphan_report(tables, foreign))
     assert text.count("Exchange") == 1 and "Join" not in text
+    both = rows(checks.broken_keys(tables, foreign, unique).select("check", "table_name", "column", "parent", "key", "rows"))
+    assert sorted(both, key=str) == sorted(
+        [("foreign_key", *r) for r in rows(checks.orphan_report(tables, foreign))]
+        + [("unique_key", t, c, None, k, n) for t, c, k, n in rows(checks.duplicate_report(tables, unique))], key=str
+    )
+
+
+def test_a_report_counts_all_keys_in_one_shuffle(spark):
+    tables = {
+        "customers": spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "customer_id long, email string"),
+        "orders": spark.createDataFrame([(1, 5), (1, 1), (2, None)], "order_id long, customer_id long"),
+    }
+    def kinds(name):
+        return [(f.name, f.dataType) for f in processed_schema(name)]
+
+    for name, df in list(tables.items()):
+        tables[name] = df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in kinds(name) if c not in df.columns])
+    found = integrity_report(tables).filter("check LIKE '%key'")
+    shuffles = [line for line in plan(found).splitlines() if "Exchange hashpartitioning" in line and "key#" in line]
+    assert len(shuffles) == 1
+    assert sorted(rows(found)) == [
+        ("customers", "unique_key", "customer_id", 2), ("customers", "unique_key", "email", 2),
+        ("orders", "foreign_key", "customer_id", 1), ("orders", "unique_key", "order_id", 2),
+    ]
