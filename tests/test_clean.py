@@ -1,5 +1,6 @@
 """Casts, filling, stripping and de-duplication on the small fixtures."""
 
+import re
 from datetime import datetime
 from functools import partial
 
@@ -333,3 +334,22 @@ def test_session_copies_are_found_by_their_documents(spark, tmp_path):
     want = cleaning.clean_sessions(df).select(*got.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and want.count() == 5
     assert spark.read.parquet(f"{tmp_path}/copies").count() == 2
+
+
+def test_a_time_makes_little_code(spark, capsys):
+    """The JVM compiles no method beyond 8,000 bytes, and a document has several times."""
+    df = spark.range(10).select(F.col("id").cast("string").alias("t")).repartition(2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.select(parse_timestamp(F.col("t"))).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 2_500
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+@pytest.mark.parametrize("text", ["2025-03-01T08:00Z\n", "2025-03-01 08:00:00 Z\n", "2025-03-01T08:00\n", "2025-03-01T08:00:00Z\n"])
+def test_a_line_end_after_a_time_is_no_matter(spark, text):
+    """As it is to a cast."""
+    assert one(spark, F.unix_micros(parse_timestamp(F.lit(text)))) == 1_740_816_000_000_000
